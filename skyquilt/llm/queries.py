@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from skyquilt.llm import chat_format, decontaminate, quality
+from skyquilt.llm import chat_format, decontaminate, near_dup, quality, sentence_piece, sharding, token_files, warc
 
 QUERIES = {
+    "op1_sharding": sharding.op1_sharding,
+    "op2_warc": warc.op2_warc,
     "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_sentence_piece": sentence_piece.op4_sentence_piece,
+    "op5_token_files": token_files.op5_token_files,
     "op6_quality": quality.op6_quality,
     "op9_chat_format": chat_format.op9_chat_format,
+    "op10_near_duplicates": near_dup.op10_near_duplicates,
 }
 ORACLE_SQL = {
     "op3_decontaminate": decontaminate.OP3_SQL,
