@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyquilt.llm import chat_format, decontaminate, near_dup, quality, sentence_piece, sharding, token_files, warc
+from skyquilt.llm import chat_format, decontaminate, language_model, licenses, near_dup, quality, sentence_piece, sharding, token_files, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -11,11 +11,14 @@ QUERIES = {
     "op4_sentence_piece": sentence_piece.op4_sentence_piece,
     "op5_token_files": token_files.op5_token_files,
     "op6_quality": quality.op6_quality,
+    "op7_licenses": licenses.op7_licenses,
+    "op8_language_model": language_model.op8_language_model,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_near_duplicates": near_dup.op10_near_duplicates,
 }
 ORACLE_SQL = {
     "op3_decontaminate": decontaminate.OP3_SQL,
     "op6_quality": quality.OP6_SQL,
+    "op7_licenses": licenses.OP7_SQL,
     "op9_chat_format": chat_format.OP9_SQL,
 }
