@@ -124,26 +124,26 @@ def embedding_norm(s, d):
 
 # ---------------------------------------------------------------- filters and dates
 
-_DAYS = """daily AS (SELECT ts::DATE AS day, sum(CASE WHEN event_type = 'error' THEN value ELSE 0 END) / 10000 AS rain, avg(value) - 100 AS warmth,
+_DAYS = """daily AS (SELECT ts::DATE AS day, coalesce(avg(CASE WHEN event_type = 'error' THEN value END), 0) / 100 AS rain, avg(value) - 100 AS warmth,
   100.0 * avg(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS cloud FROM events GROUP BY 1)"""
 
 
 def _daily(s, d):
     e = t(s, d, "events")
     return e.groupBy(F.to_date("ts").alias("day")).agg(
-        (F.sum(F.when(F.col("event_type") == "error", F.col("value")).otherwise(0.0)) / 10000).alias("rain"), (F.avg("value") - 100).alias("warmth"),
+        (F.coalesce(F.avg(F.when(F.col("event_type") == "error", F.col("value"))), F.lit(0.0)) / 100).alias("rain"), (F.avg("value") - 100).alias("warmth"),
         (100.0 * F.avg((F.col("event_type") == "view").cast("double"))).alias("cloud"),
     )
 
 
 _CLEAR = """clear AS (SELECT day FROM (SELECT *, coalesce(sum(rain) OVER (ORDER BY day RANGE BETWEEN INTERVAL 2 DAYS PRECEDING AND INTERVAL 1 DAY PRECEDING), 0) AS before FROM daily)
-  WHERE rain <= 1.0 AND before <= 2.0 AND warmth >= -90 AND cloud <= 50)"""
+  WHERE rain <= 0.55 AND before <= 1.05 AND warmth >= -55 AND cloud <= 22)"""
 
 
 @query(f"WITH {_DAYS}, {_CLEAR} SELECT day FROM clear")
 def atmosphere_dates(s, d):
     """F-2, W-1, A-8: days with clear weather, by rain on the day and the two before."""
-    return W.clear_days(_daily(s, d), "day", "rain", "warmth", "cloud", today=1.0, before=2.0, least_warmth=-90).select("day")
+    return W.clear_days(_daily(s, d), "day", "rain", "warmth", "cloud", today=0.55, before=1.05, least_warmth=-55, most_cloud=22).select("day")
 
 
 _MODES = ["catalogue", "weather", "screen", "catalogue_then_screen", "weather_then_screen", "weather_then_catalogue"]
@@ -159,7 +159,7 @@ _MODES = ["catalogue", "weather", "screen", "catalogue_then_screen", "weather_th
 def date_selection_modes(s, d):
     """U-1: the six ways to combine weather, catalogue and screen."""
     daily = _daily(s, d)
-    clear = W.clear_days(daily, "day", "rain", "warmth", "cloud", today=1.0, before=2.0, least_warmth=-90)
+    clear = W.clear_days(daily, "day", "rain", "warmth", "cloud", today=0.55, before=1.05, least_warmth=-55, most_cloud=22)
     e = t(s, d, "events").where("event_type = 'purchase'")
     cat = e.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n")).where("n % 2 = 0")
     scr = daily.where(W.scene_gate("cloud", F.lit(None).cast("double"), F.lit(None).cast("double"), 20.0))
@@ -885,7 +885,7 @@ def aux_alignment(s, d):
 @query()
 def set_cover(s, d):
     """I-2: suppliers that cover all part sizes; checked in tests against a plain loop."""
-    pairs = t(s, d, "lineitem").join(t(s, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey").select("l_suppkey", "p_size")
+    pairs = t(s, d, "lineitem").where("l_quantity >= 49 AND l_discount >= 0.08").join(t(s, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey").select("l_suppkey", "p_size")
     return I.set_cover(pairs.distinct(), "p_size", "l_suppkey")
 
 
@@ -909,10 +909,10 @@ def linked_components(s, d):
 def _pixels(s, d):
     """Orders as a raster: a row for each customer, a column for each fortnight of their days."""
     o = t(s, d, "orders").select((F.col("o_custkey") % 40).cast("int").alias("row"), (F.dayofyear("o_orderdate") % 40).cast("int").alias("col"), "o_totalprice")
-    return o.groupBy("row", "col").agg((F.count_if(F.col("o_totalprice") > 60000) >= 1).cast("int").alias("mask")).select(F.lit("t").alias("tile"), "row", "col", "mask")
+    return o.groupBy("row", "col").agg((F.count_if(F.col("o_totalprice") > 480000) >= 1).cast("int").alias("mask")).select(F.lit("t").alias("tile"), "row", "col", "mask")
 
 
-_PIXELS = "px AS (SELECT (o_custkey % 40)::INT AS row, (dayofyear(o_orderdate) % 40)::INT AS col, (count(*) FILTER (WHERE o_totalprice > 60000) >= 1)::INT AS mask FROM orders GROUP BY 1, 2)"
+_PIXELS = "px AS (SELECT (o_custkey % 40)::INT AS row, (dayofyear(o_orderdate) % 40)::INT AS col, (count(*) FILTER (WHERE o_totalprice > 480000) >= 1)::INT AS mask FROM orders GROUP BY 1, 2)"
 
 
 @query(
