@@ -143,6 +143,12 @@ def utm_zone(lon) -> Column:
     return (F.floor((col(lon) + 180) / 6) + 1).cast("int")
 
 
+def zone_distance(zone, other: int) -> Column:
+    """How many zones lie between two, the shorter way round."""
+    apart = F.abs(col(zone) - other)
+    return F.least(apart, 60 - apart)
+
+
 #: GRS 80 and the Swedish national grid.
 _AXIS, _FLATTENING = 6378137.0, 1 / 298.257222101
 _MERIDIAN, _SCALE, _FALSE_E, _FALSE_N = 15.0, 0.9996, 500000.0, 0.0

@@ -168,6 +168,11 @@ def magnitude(vector) -> Column:
     return F.sqrt(F.aggregate(col(vector), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
 
 
+def water_mask(scl, water_index, water_class: int = 6) -> Column:
+    """The scene class where it is known, else a water index above 0."""
+    return F.coalesce(col(scl) == water_class, col(water_index) > 0)
+
+
 def spread_of_two(a, b) -> Column:
     """Population deviation of two estimates: of one valid estimate 0, of none NaN."""
     ok = lambda x: col(x).isNotNull() & ~F.isnan(col(x))

@@ -194,6 +194,14 @@ def progress(df: DataFrame, done_at: str, total: int, now: Column, recent_minute
     return a.select("done", (100.0 * F.col("done") / total).alias("percent"), left.alias("remaining"), overall.alias("rate_overall"), recent.alias("rate_recent"), (left / F.nullif(rate, F.lit(0.0))).alias("eta_hours"))
 
 
+def weather_features(df: DataFrame, keys: list[str], kelvin: str, rain_m: str, joule: str, base: float = 5.0, days: int = 30) -> DataFrame:
+    """Of monthly means: mean temperature, growing degree days above ``base``, rain in millimetres and radiation in megajoules."""
+    celsius = F.col(kelvin) - 273.15
+    return df.groupBy(*keys).agg(
+        F.avg(celsius).alias("mean_celsius"), (F.sum(F.greatest(celsius - base, F.lit(0.0))) * days).alias("degree_days"), (F.sum(rain_m) * 1000).alias("rain_mm"), (F.sum(joule) / 1e6).alias("radiation_mj")
+    )
+
+
 def source_stats(df: DataFrame, source: str, ok: Column, seconds: str) -> DataFrame:
     """Completed, failed, mean time of completed ones and success rate of each source."""
     return df.groupBy(source).agg(

@@ -78,6 +78,11 @@ def demotion(frames: DataFrame, tile: str, least_valid: float = 0.9, least_good:
     return a.select(tile, "n_good", bad_slots.alias("bad_slots"), F.transform("f", lambda x: x["mask"]).alias("new_mask"), action.alias("action"))
 
 
+def season_complete(mask) -> Column:
+    """Whether the three frames after the first are there."""
+    return F.forall(F.slice(mask, 2, 3), lambda x: x == 1)
+
+
 def coverage_verdict(valid, least: float = 0.9) -> Column:
     return F.when(col(valid) >= least, "pass").otherwise("fail")
 

@@ -232,13 +232,13 @@ def plot_in_tile(s, d):
 
 
 @query(
-    """WITH a AS (SELECT s_suppkey, s_acctbal AS lo, s_acctbal + 50 AS hi FROM supplier), b AS (SELECT c_custkey, c_acctbal AS lo2, c_acctbal + 5 AS hi2 FROM customer WHERE c_custkey % 5 = 0)
+    """WITH a AS (SELECT s_suppkey, s_acctbal AS lo, s_acctbal + 50 AS hi FROM supplier), b AS (SELECT c_custkey, c_acctbal AS lo2, c_acctbal + 5 AS hi2 FROM customer)
     SELECT s_suppkey, c_custkey FROM a JOIN b ON NOT (hi2 < lo OR lo2 > hi)"""
 )
 def interval_overlap(s, d):
     """J-4, J-5, F-6: overlapping intervals by cells; each pair in one cell only."""
     a = t(s, d, "supplier").select("s_suppkey", F.col("s_acctbal").alias("lo"), (F.col("s_acctbal") + 50).alias("hi"))
-    b = t(s, d, "customer").where("c_custkey % 5 = 0").select("c_custkey", F.col("c_acctbal").alias("lo2"), (F.col("c_acctbal") + 5).alias("hi2"))
+    b = t(s, d, "customer").select("c_custkey", F.col("c_acctbal").alias("lo2"), (F.col("c_acctbal") + 5).alias("hi2"))
     return J.range_join(a, b, "lo", "hi", "lo2", "hi2", 100).select("s_suppkey", "c_custkey")
 
 
@@ -265,10 +265,11 @@ def nearest_scene(s, d):
     return near.select(F.col("k").alias("o_orderkey"), F.col("gap_days").cast("long").alias("gap_days"), "l_extendedprice")
 
 
-@query("SELECT s_suppkey, coalesce(n_name, 'unknown') AS nation FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 2 = 0) ON s_nationkey = n_nationkey")
+@query("SELECT s_suppkey, coalesce(n_name, 'unknown') AS nation FROM supplier LEFT JOIN (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA') ON s_nationkey = n_nationkey")
 def class_lookup(s, d):
     """J-10, S-26: codes to names with a default."""
-    n = t(s, d, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nation"))
+    known = t(s, d, "region").where("r_name <> 'ASIA'").select(F.col("r_regionkey").alias("n_regionkey"))
+    n = t(s, d, "nation").join(F.broadcast(known), "n_regionkey", "left_semi").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nation"))
     return J.lookup_join(t(s, d, "supplier").select("s_suppkey", "s_nationkey"), n, "s_nationkey", {"nation": "unknown"}).select("s_suppkey", "nation")
 
 
@@ -664,10 +665,10 @@ def sliding_latency(s, d):
     return x.select("event_id", "p90", F.round("error_rate", 6).alias("error_rate"))
 
 
-@query("SELECT user_id, coalesce(bool_and(value > p OR p IS NULL), true) AS monotone FROM (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events WHERE event_id < 600) GROUP BY 1")
+@query("SELECT user_id, coalesce(bool_and(value > p OR p IS NULL), true) AS monotone FROM (SELECT user_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY 1")
 def monotone_values(s, d):
     """W-2."""
-    e = t(s, d, "events").where("event_id < 600").select("user_id", F.struct("ts", "event_id").alias("at"), "value")
+    e = t(s, d, "events").select("user_id", F.struct("ts", "event_id").alias("at"), "value")
     return W.monotone(e, ["user_id"], "at", "value")
 
 
@@ -771,11 +772,11 @@ def unknown_codes(s, d):
 
 
 @query(
-    """SELECT DISTINCT ON (k) k, src FROM (SELECT c_custkey::BIGINT AS k, 0 AS r, 'a' AS src FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT s_suppkey, 1, 'b' FROM supplier) ORDER BY k, r"""
+    """SELECT DISTINCT ON (k) k, src FROM (SELECT c_custkey::BIGINT AS k, 0 AS r, 'a' AS src FROM customer WHERE c_acctbal > 0 UNION ALL SELECT s_suppkey, 1, 'b' FROM supplier) ORDER BY k, r"""
 )
 def first_source_wins(s, d):
     """U-3, U-7, T-13."""
-    a = t(s, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("long").alias("k"), F.lit("a").alias("src"))
+    a = t(s, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").cast("long").alias("k"), F.lit("a").alias("src"))
     b = t(s, d, "supplier").select(F.col("s_suppkey").cast("long").alias("k"), F.lit("b").alias("src"))
     return W.first_wins([a, b], ["k"])
 

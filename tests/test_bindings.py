@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyquilt.operators import joins as J
-from skyquilt.plans import bindings
+from skyquilt.plans import bindings, scene_bindings  # noqa: F401  adds its queries
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
