@@ -7,12 +7,15 @@ probability of about 2 ** -64. Nothing here knows of Spark; tasks call it on the
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at a time; a longer text is worked on alone.
 PIECE = 2 << 20
+#: Slices that an encoder is given at a time, which bounds what it holds in its own objects.
+CHUNK = 16_384
 _PLACES = 64
 _RANDOM = np.random.Generator(np.random.PCG64(20240101)).integers(1, 2**64 - 1, (_PLACES, 256), dtype=np.uint64)
 _BREAK = np.zeros(256, bool)
@@ -124,16 +127,17 @@ class Encoder:
         known[inside] = self.keys[place[inside]] == unique[inside]
         if not known.all():
             new = np.flatnonzero(~known)
-            text = raw.tobytes()
-            ids = self.encode([text[starts[i] : ends[i]].decode("utf-8", "surrogatepass") for i in first[new]])
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((x for y in ids for x in y), np.int32, int(n.sum()))
+            text, lengths, flat = raw.tobytes(), [], []
+            for k in range(0, len(new), CHUNK):
+                some = first[new[k : k + CHUNK]]
+                ids = self.encode([text[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)])
+                lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+                flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(lengths[-1].sum())))
+            n = np.concatenate(lengths)
             at = len(self.store) + np.cumsum(n) - n
-            self.store = np.concatenate([self.store, flat])
-            keys = np.concatenate([self.keys, unique[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.at, self.n = np.concatenate([self.at, at])[order], np.concatenate([self.n, n])[order]
+            self.store = np.concatenate([self.store, *flat])
+            spot = place[new]  # keys stay sorted
+            self.keys, self.at, self.n = (np.insert(x, spot, y) for x, y in ((self.keys, unique[new]), (self.at, at), (self.n, n)))
             place = np.searchsorted(self.keys, unique)
         place = place[which]
         lengths = self.n[place]

@@ -1,8 +1,9 @@
 """Token-id files, compressed by a grammar of id pairs for each shard.
 
 Documents are cut into ranges of ascending ids of about ``shard_bytes`` of text. A task encodes the texts of a range,
-appends an end id to each document, and compresses the ids by repeated pair replacement: each round counts all
-neighbouring pairs, gives the most frequent ones a nonterminal each, and replaces their occurrences from left to right.
+appends an end id to each document, and goes on in a further file after about ``file_bytes`` of ids. The ids of a file
+are compressed by repeated pair replacement: each round counts all neighbouring pairs, gives the most frequent ones a
+nonterminal each, and replaces their occurrences from left to right.
 No pair holds an end id, so that a document is a run of whole symbols. A file stores the rules, the expansion length of each
 symbol, and for each document its place in tokens and in symbols: any tokens of any document are decoded without the rest.
 
@@ -12,13 +13,14 @@ their null flags (uint8), token places and symbol places (int64, one more than d
 The encoder splits a text at white space and encodes each distinct piece once. That gives what the whole text gives
 for a tokenizer whose pre-tokenizer drops white space and never joins across it, which the one used here does.
 
-Defined cases: a null text is empty and has the end id alone; a null id comes first; equal ids are ordered by text; a run
-of rows beyond ``shard_bytes`` that has one id goes into further files of its shard; an empty table gives no files;
+Defined cases: a null text is empty and has the end id alone; a null id comes first; equal ids are ordered by text, and
+may go into several files of one shard; an empty table gives no files;
 columns other than those named are ignored.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -39,6 +41,7 @@ def word_encoder(path: str) -> Callable[[], Callable[[list[str]], list[list[int]
     """A function for tasks that loads the tokenizer at ``path`` and gives its encoder."""
 
     def load():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -64,27 +67,37 @@ def encode_texts(encoder: ragged.Encoder, column: pa.Array, end_id: int) -> Iter
 
 def pair_grammar(ids: np.ndarray, first_symbol: int, end_id: int, rounds: int = 6, rules_a_round: int = 4096, least: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """``(symbols, rules)``: rule k stands for the pair ``rules[k]`` and has the number ``first_symbol + k``."""
-    a, rules, bits = ids.astype(np.int64), [], 21
-    for _ in range(rounds):
+    a, rules, bits = ids.astype(np.uint32), [], 21
+    for turn in range(rounds):
         if len(a) < 2:
             break
         left, right = a[:-1], a[1:]
-        bucket = ((left * 0x9E3779B1 + right * 0x85EBCA77) & 0xFFFFFFFF) >> (32 - bits)
-        free = (left != end_id) & (right != end_id)
-        bucket = np.where(free, bucket, 0)
+        odd = np.uint32((0x9E3779B1 + 0x3C6EF372 * turn) & 0xFFFFFFFF)  # other collisions each round
+        bucket = (left * odd + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
+        bucket[(left == end_id) | (right == end_id)] = 0
         counts = np.bincount(bucket, minlength=1 << bits)
         counts[0] = 0  # pairs with an end id, and the few that share their bucket
-        floor = max(least, int(np.partition(counts, -rules_a_round)[-rules_a_round]))
-        at = np.flatnonzero(counts[bucket] >= floor)
-        if not len(at):
+        frequent = np.flatnonzero(counts >= max(least, int(np.partition(counts, -rules_a_round)[-rules_a_round])))
+        if not len(frequent):
             break
-        pairs, which, n = np.unique((left[at] << 32) | right[at], return_inverse=True, return_counts=True)
+        rank = np.full(1 << bits, -1, np.int32)
+        rank[frequent] = np.arange(len(frequent))
+        which = rank[bucket]
+        at = np.flatnonzero(which >= 0)
+        which = which[at]
+        # a bucket stands for the pair that it meets first; others in it wait for the next round
+        seen = np.zeros(len(frequent), np.int64)
+        seen[which[::-1]] = at[::-1]
+        same = (left[at] == left[seen][which]) & (right[at] == right[seen][which])
+        at, which = at[same], which[same]
+        n = np.bincount(which, minlength=len(frequent))
         best = np.argsort(-n, kind="stable")[:rules_a_round]
         best = best[n[best] >= least]
         if not len(best):
             break
-        number = np.full(len(pairs), -1, np.int64)
+        number = np.full(len(frequent), -1, np.int64)
         number[best] = np.arange(len(best))
+        new_rules = np.stack([left[seen[best]], right[seen[best]]], axis=1).tolist()
         chosen = number[which] >= 0
         at, symbol = at[chosen], number[which][chosen] + first_symbol + len(rules)
         # of overlapping pairs in a run, every second one stays
@@ -96,8 +109,8 @@ def pair_grammar(ids: np.ndarray, first_symbol: int, end_id: int, rounds: int =
         stay = np.ones(len(a), bool)
         stay[at + 1] = False
         a = a[stay]
-        rules += zip((pairs[best] >> 32).tolist(), (pairs[best] & 0xFFFFFFFF).tolist(), strict=True)
-    return a.astype(np.uint32), np.array(rules, np.uint32).reshape(-1, 2)
+        rules += new_rules
+    return a, np.array(rules, np.uint32).reshape(-1, 2)
 
 
 def expansions(rules: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,9 +234,12 @@ def _writer(root: str, load, vocabulary: int, end_id: int, most_bytes: int):
 
 
 def write_tokens(
-    df: DataFrame, root: str, load, vocabulary: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 8 << 20
+    df: DataFrame, root: str, load, vocabulary: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 32 << 20, file_bytes: int = 8 << 20
 ) -> DataFrame:
-    """Write the files under ``root`` and return the manifest, which is stored there last."""
+    """Write the files under ``root`` and return the manifest, which is stored there last.
+
+    ``shard_bytes``: text of a range, which one task encodes; ``file_bytes``: ids (uncompressed) after which a range goes on in a further file.
+    """
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ends = id_ranges(docs.select("id", (F.octet_length("text") + 4).cast("long").alias("n")), "id", "n", shard_bytes)
@@ -232,7 +248,7 @@ def write_tokens(
         docs.select(shard.alias("shard"), "id", "text")
         .repartitionById(len(ends) + 1, F.col("shard"))
         .sortWithinPartitions("shard", "id", "text")
-        .mapInArrow(_writer(root, load, vocabulary, end_id, 6 * shard_bytes), MANIFEST_SCHEMA)
+        .mapInArrow(_writer(root, load, vocabulary, end_id, file_bytes), MANIFEST_SCHEMA)
     )
     written.write.parquet(f"{root}/_manifest")
     return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/_manifest")
