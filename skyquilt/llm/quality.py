@@ -176,14 +176,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows whose text is kept. The verdict depends on the text alone, given the model, so that it is taken row by
-    row: measures are computed once to fit the model and once to filter, and nothing but vote counts is shuffled."""
-    own = docs.columns
-    patterns = materialize(votes(features(docs)).groupBy("votes").agg(F.count("*").alias("n")), "vote-patterns")
-    model = fit(patterns)
+    """The rows whose text is kept. Rows are written once beside their votes, so that a text is measured once: for
+    the counts that the model is fitted to, and for the verdict. Columns travel in a struct, whatever their names."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    measured = votes(features(docs.select(own.alias("__row"), F.col("text").alias("__text")), "__text", ("__row",)))
+    measured = materialize(measured.select("__row", "votes", "n_words", "n_repeat_words"), "quality-rows")
+    model = fit(materialize(measured.groupBy("votes").agg(F.count("*").alias("n")), "vote-patterns"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    tagged = votes(features(docs.withColumn("__text", F.col("text")), "__text", tuple(own)))
-    return tagged.where(~failed & (posterior_column(model, F.col("votes")) >= 0.5)).select(*own)
+    kept = measured.where(~failed & (posterior_column(model, F.col("votes")) >= 0.5))
+    return kept.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
 
 
 def _em_sql(iterations: int = ITERATIONS) -> str:

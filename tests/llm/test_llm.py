@@ -229,6 +229,14 @@ def test_quality_measures(spark, odd):
     assert quality.judge(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_quality_stage(spark, odd):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    docs = docs.withColumns({c: F.lit("x") for c in ("t", "w", "l", "votes", "n_words", "posterior")}).unionByName(odd.select("doc_id", "text"), allowMissingColumns=True)
+    got = quality.stage(spark, docs, DATA)
+    want = quality.judge(docs.select("doc_id", "text")).where("kept")
+    assert got.columns == docs.columns and sorted(str(r.doc_id) for r in got.collect()) == sorted(str(r.doc_id) for r in want.collect())
+
+
 def test_quality_agrees_with_labels(spark):
     d = "/root/testdata/sf0.01"
     j = quality.judge(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("NOT base_failed")
