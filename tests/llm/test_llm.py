@@ -302,6 +302,34 @@ def test_model_is_a_distribution():
         assert p[context == k][known].sum() == pytest.approx(1.0, abs=1e-9)
 
 
+def test_order_of_words_counts(spark):
+    """A held-out text in the order that was learnt is likelier than the same words in another; a unigram model has them equal."""
+    line = "the cat sat on a mat while that dog ran over some green hill"
+    rows = [(i, line, "en", False) for i in range(30)] + [(100, line, "en", True), (101, " ".join(line.split()[::-1]), "en", True)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, held boolean")
+    got = {r.doc_id: r for r in language_model.score_texts(df, held_out=F.col("held")).collect()}
+    a, b = got[100], got[101]
+    assert a.base_score == pytest.approx(b.base_score) and a.score > b.score + 10 and a.perplexity < 2 < b.perplexity
+    assert a.perplexity == pytest.approx(10 ** (-a.score / a.n_tokens)) and a.held_out_perplexity == pytest.approx(10 ** (-(a.score + b.score) / (a.n_tokens + b.n_tokens)))
+
+
+def test_pairs_are_a_distribution():
+    """Over the known words and one unknown, after each word of each language, after several sweeps."""
+    rng = np.random.default_rng(0)
+    n, lang = 40, np.array([3, 3, 9])
+    word, context = np.repeat(np.arange(n), 3), np.tile([0, 1, 2], n)
+    counts = np.where(rng.random(3 * n) < 0.6, rng.zipf(1.6, 3 * n) % 5000, 0)
+    counts[:3] = 0  # the unknown word
+    h = np.sort(token_files.ragged.mix((np.arange(n) + 1).astype(np.uint64)))[word]
+    row = {"hashes": h.tobytes(), "contexts": (context + 5).astype(np.uint64).tobytes(), "langs": lang[context].astype(np.int64).tobytes(), "counts": counts.astype(np.int64).tobytes()}
+    slot = language_model.Pairs(row, (0.7, 0.6), int((np.bincount(word, weights=counts) > 0).sum()) + 1)
+    for k in range(3):
+        slot.sweep(k, slot.sums())
+    p, known = slot.predict(slot.sums()), (np.bincount(word, weights=counts) > 0)[word] | (word == 0)
+    for k in range(3):
+        assert p[(context == k) & known].sum() == pytest.approx(1.0, abs=1e-9)
+
+
 def test_seating_follows_the_rule():
     """Mean tables of the fast draw against customers seated one by one."""
     rng = np.random.default_rng(1)
