@@ -3,7 +3,12 @@
 A text is made canonical line by line: lower case, punctuation to spaces, equivalent spellings to one, copyright lines gone. The
 digests of a document's whole text, of each of its paragraphs (lines between blank ones) and of each of its lines are
 looked up, as entire texts, in the digests of the known licences and notices by a hash join. The catalogue is a table; the one below
-is the default. It is broadcast where it has ``broadcast_rows`` rows at most (checked), else joined by a shuffle.
+is the default, with the digests of the common licences' whole texts and headers (``license_digests``). It is broadcast where it has ``broadcast_rows`` rows at most (checked), else joined by a shuffle.
+
+A known text that is cut by blank lines is found as a run of paragraphs, however it is cut and wrapped: where a paragraph begins
+with the ``OPENING`` first characters of a known text, the runs from there that end with a paragraph and are as long as a known text are
+looked up too (unit ``run``). Equivalent spellings are applied to a run as a whole. A run that equals the whole text or a
+paragraph as listed isn't listed again.
 
 Defined cases: a null text is empty and matches nothing; a unit that is empty once canonical matches nothing; a document of one line is
 found as a whole text, a paragraph and a line; equal ids and repeated rows are reported each; an empty table gives no
@@ -16,6 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyquilt.llm.common import let, materialize, table
+from skyquilt.llm.license_digests import WHOLE
+
+#: Characters at the start of a known text by which runs are begun.
+OPENING = 16
 
 #: Spellings that mean the same in a licence; the second is kept. Canonical words, spaces around.
 EQUIVALENT = [
@@ -78,14 +87,21 @@ CATALOGUE = [
 
 
 def canonical_line(line: Column) -> Column:
-    out = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    return same_spelling(F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " ")))
+
+
+def same_spelling(words: Column) -> Column:
+    out = F.concat(F.lit(" "), words, F.lit(" "))
     for a, b in EQUIVALENT:
         out = F.replace(out, F.lit(f" {a} "), F.lit(f" {b} "))
     return F.trim(out)
 
 
-def units(text: Column) -> Column:
-    """Canonical units of a text: ``unit`` (text, paragraph, line), ``line`` (number of its first, from 1) and ``canonical``."""
+def units(text: Column, starts: dict[str, list[int]] | None = None) -> Column:
+    """Canonical units of a text: ``unit`` (text, paragraph, line, run), ``line`` (number of its first, from 1) and ``canonical``.
+
+    ``starts``: the openings of the texts that runs may be, and the lengths in characters of those with that opening.
+    """
     unit = lambda kind, at, canonical: F.struct(F.lit(kind).alias("unit"), at.cast("int").alias("line"), canonical.alias("canonical"))
     stays = lambda x: (x != "") & ~x.rlike(COPYRIGHT_LINE)
     join = lambda lines: F.array_join(F.filter(lines, stays), " ")
@@ -100,23 +116,60 @@ def units(text: Column) -> Column:
             ),
         )
         single = F.transform(lines, lambda x, i: unit("line", i + 1, F.when(stays(x), x).otherwise("")))
-        return F.filter(F.concat(F.array(unit("text", F.lit(1), join(lines))), paragraphs, single), lambda u: u["canonical"] != "")
+        found = F.filter(F.concat(F.array(unit("text", F.lit(1), join(lines))), paragraphs, single), lambda u: u["canonical"] != "")
+        return let(found, lambda f: F.concat(f, runs(F.filter(f, lambda u: u["unit"] == "paragraph"), F.get(f, F.lit(0))["canonical"]))) if starts else found
+
+    def runs(paragraphs: Column, whole: Column) -> Column:
+        opening = lambda x: F.substring(x, 1, OPENING)
+        near = lambda i: same_spelling(F.array_join(F.transform(F.slice(paragraphs, i + 1, OPENING), lambda u: u["canonical"]), " "))
+        firsts = sorted({k.split(" ")[0] for k in starts})
+        places = F.transform(paragraphs, lambda u, i: F.when(F.substring_index(same_spelling(F.substring_index(u["canonical"], " ", 3)), " ", 1).isin(firsts) & opening(near(i)).isin(list(starts)), i))
+        # from there to the end, paragraphs apart by a line feed
+        rest = lambda i: F.array_join(F.transform(F.slice(paragraphs, i + 1, F.size(paragraphs)), lambda u: same_spelling(u["canonical"])), "\n")
+        lengths = lambda x: F.coalesce(*[F.when(x == k, F.array(*[F.lit(n) for n in v])) for k, v in sorted(starts.items())])
+        one = lambda i: let(
+            F.struct(F.concat(rest(i), F.lit("\n")).alias("r"), F.get(paragraphs, i)["line"].alias("line"), F.get(paragraphs, i)["canonical"].alias("first")),
+            lambda s: F.filter(
+                F.transform(
+                    F.filter(lengths(opening(F.translate(s["r"], "\n", " "))), lambda n: F.substring(s["r"], n + 1, F.lit(1)) == "\n"),
+                    lambda n: unit("run", s["line"], F.translate(F.substring(s["r"], F.lit(1), n), "\n", " ")),
+                ),
+                lambda u: (u["canonical"] != whole) & (u["canonical"] != s["first"]),
+            ),
+        )
+        return F.flatten(F.transform(F.filter(places, lambda i: i.isNotNull()), lambda i: F.coalesce(one(i), F.filter(paragraphs, lambda u: F.lit(False)))))
 
     return let(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), canonical_line), of)
 
 
 def catalogue(spark: SparkSession, rows: list[tuple[str, str]] | None = None) -> DataFrame:
-    """``license_id`` and ``digest`` of the known texts."""
+    """``license_id`` and ``digest`` of the known texts, and the ``opening`` and length in characters (``chars``) by which runs are found.
+
+    Of given texts, or by default of those here and in ``license_digests``.
+    """
     given = spark.createDataFrame(CATALOGUE if rows is None else rows, "license_id string, text string")
-    whole = F.filter(units(F.col("text")), lambda u: u["unit"] == "text")
-    return given.select("license_id", F.sha2(F.get(whole, F.lit(0))["canonical"], 256).alias("digest")).where("digest IS NOT NULL").distinct()
+    whole = F.get(F.filter(units(F.col("text")), lambda u: u["unit"] == "text"), F.lit(0))["canonical"]
+    both = F.explode(F.array_distinct(F.array(whole, same_spelling(whole)))).alias("canonical")
+    texts = given.select("license_id", both).where("canonical IS NOT NULL")
+    texts = texts.select("license_id", F.sha2("canonical", 256).alias("digest"), F.substring("canonical", 1, OPENING).alias("opening"), F.length("canonical").alias("chars"))
+    if rows is None:
+        texts = texts.unionByName(spark.createDataFrame(WHOLE, "license_id string, digest string, opening string, chars int"))
+    return texts.distinct()
 
 
 def scan(df: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 100_000) -> DataFrame:
-    """A row for each unit that is a known text: ``doc_id unit line license_id digest``."""
+    """A row for each unit that is a known text: ``doc_id unit line license_id digest``.
+
+    ``known``: as from ``catalogue``; without ``opening`` and ``chars`` no runs are looked up. Openings and lengths go through the driver.
+    """
     known = materialize(known, "licenses")
     small = known.count() <= broadcast_rows
-    found = df.select(F.col(id_col).alias("doc_id"), F.explode(units(F.col(text_col))).alias("u")).select(
+    starts: dict[str, list[int]] = {}
+    if {"opening", "chars"} <= set(known.columns):
+        for r in known.select("opening", "chars").distinct().collect():
+            starts.setdefault(r["opening"], []).append(r["chars"])
+    known = known.select("license_id", "digest").distinct()
+    found = df.select(F.col(id_col).alias("doc_id"), F.explode(units(F.col(text_col), starts)).alias("u")).select(
         "doc_id", "u.unit", "u.line", F.sha2("u.canonical", 256).alias("digest")
     )
     return found.join(F.broadcast(known) if small else known, "digest").select("doc_id", "unit", "line", "license_id", "digest")

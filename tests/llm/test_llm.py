@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import math
+import os
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -255,6 +257,51 @@ def test_licenses(spark, odd):
     assert licenses.scan(spark.createDataFrame([], EMPTY), licenses.catalogue(spark)).count() == 0
 
 
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_licenses_in_several_paragraphs(spark):
+    """Whole texts and headers with blank lines inside, wrapped and within other text."""
+    wrapped = "\n\n".join(textwrap.fill(x, 44) for x in BSD.split("\n\n"))
+    around = lambda x: f"some words before\nand more\n\n{x}\n\nsome words after"
+    mit = licenses._MIT.replace("\n", "\n\n")
+    rows = [(1, around(mit)), (2, around(wrapped)), (3, around(HEADER)), (4, HEADER), (5, around(BSD.replace("DAMAGE.", "HARM."))), (6, "Permission is hereby granted, free of charge,\n\nto nobody"), (7, around(mit + "\n\n" + HEADER))]
+    for limit in (100_000, 0):
+        out = licenses.scan(spark.createDataFrame(rows, EMPTY), licenses.catalogue(spark), broadcast_rows=limit).collect()
+        assert sorted((r.doc_id, r.unit, r.line, r.license_id) for r in out) == [
+            (1, "run", 4, "MIT"), (2, "run", 4, "BSD-2-Clause"), (3, "run", 4, "Apache-2.0"), (4, "text", 1, "Apache-2.0"), (7, "run", 4, "MIT"), (7, "run", 10, "Apache-2.0"),
+        ]
+
+
+@pytest.mark.parametrize("name, license_id", [("Apache-2.0", "Apache-2.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3", "LGPL-3.0"), ("MPL-2.0", "MPL-2.0")])
+def test_whole_licenses(spark, name, license_id):
+    path = f"/usr/share/common-licenses/{name}"
+    if not os.path.exists(path):
+        pytest.skip("the text isn't on this machine")
+    with open(path) as f:
+        text = f.read()
+    rows = [(1, text), (2, f"words\n\n{text}\n\nwords")]
+    got = {(r.doc_id, r.unit, r.license_id) for r in licenses.scan(spark.createDataFrame(rows, EMPTY), licenses.catalogue(spark)).collect()}
+    assert {(1, "text", license_id), (2, "run", license_id)} <= got
+
+
 # -- 8
 
 
