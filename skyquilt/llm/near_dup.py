@@ -1,6 +1,7 @@
-"""Near-duplicate documents by ProbMinHash signatures of weighted shingles.
+"""Near-duplicate documents by ProbMinHash signatures of shingles.
 
-A shingle is a run of five words, and its weight grows with the number of times it occurs in the text. Each shingle starts
+A shingle is a run of five words. All have the same weight, so that candidates are found by the similarity that decides; as an option
+(``weighted``) the weight grows with the number of times it occurs in the text, and pairs that repeat unlike parts are missed more often. Each shingle starts
 a Poisson process whose rate is its weight; every arrival goes to one of ``m`` components, which keeps the earliest arrival
 and its shingle. A shingle stops as soon as its next arrival is later than the latest of all components, which is early for
 nearly all of them. Two signatures agree in a component with the probability Jaccard similarity of the two weighted sets.
@@ -105,7 +106,7 @@ def weights(counts: np.ndarray) -> np.ndarray:
     return 1 + np.log(counts)
 
 
-def _signer(bands: int, rows: int, width: int):
+def _signer(bands: int, rows: int, width: int, weighted: bool):
     m = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +115,7 @@ def _signer(bands: int, rows: int, width: int):
             for i, j in ragged.pieces(offsets, 1 << 20):
                 h, before, digest = shingles(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
                 s, doc, n = _sets(h, before)
-                signature = prob_min_hash(s, doc, weights(n), j - i, m)
+                signature = prob_min_hash(s, doc, weights(n) if weighted else np.ones(len(n)), j - i, m)
                 some = np.flatnonzero(np.diff(before))
                 value = np.zeros((len(some), bands), np.uint64)
                 with np.errstate(over="ignore"):
@@ -223,13 +224,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, threshold: float = THRESHOLD, block: int = 4096
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, threshold: float = THRESHOLD, block: int = 4096, weighted: bool = False
 ) -> DataFrame:
     """One row a document: ``doc_id``, ``class_id`` (the least id of its class) and ``copy_of`` (the least id with the same words)."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = docs.where("id IS NOT NULL")
     # one pass over the texts; whatever follows is on digests and bands until a few texts are compared
-    signed = materialize(known.mapInArrow(_signer(bands, rows, width), "id bigint, digest bigint, buckets array<bigint>"), "signatures")
+    signed = materialize(known.mapInArrow(_signer(bands, rows, width, weighted), "id bigint, digest bigint, buckets array<bigint>"), "signatures")
     same = signed.groupBy("id").agg(F.min("digest").alias("digest"))
     first = materialize(same.groupBy("digest").agg(F.min("id").alias("id")), "representatives")
     members = materialize(signed.join(first, ["id", "digest"], "left_semi").select("id", F.explode(F.array_distinct("buckets")).alias("bucket")).distinct(), "bands")

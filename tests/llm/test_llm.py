@@ -453,6 +453,18 @@ def test_near_duplicates_against_brute_force(spark):
         assert got == brute_classes(rows)
 
 
+def test_near_duplicates_with_uneven_repeats(spark):
+    """One text has a line once, its copy a hundred times: alike as sets, unlike by counts."""
+    rows, n = [], 60
+    for i in range(n):
+        line, rest, own = ([f"{c}{i}x{k}" for k in range(m)] for c, m in (("l", 20), ("r", 100), ("o", 14)))
+        rows += [(2 * i, " ".join(line * 100 + rest + own[:7])), (2 * i + 1, " ".join(line * 2 + rest + own[7:]))]
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 0.85 < len(a & b) / len(a | b) < 0.95
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, EMPTY)).collect()}
+    assert got == {i: i - i % 2 for i in range(2 * n)}
+
+
 def test_near_duplicates_edges(spark, odd):
     got = near_dup.near_duplicates(odd).collect()
     assert sorted((r.class_id for r in got if r.doc_id in (6, 7, 8))) == [6, 6, 6] and {r.class_id for r in got if r.doc_id in (2, 3, 4)} == {2}
