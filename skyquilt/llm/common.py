@@ -58,48 +58,65 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
 
 
-def id_ranges(df: DataFrame, id_col: str, size_col: str, target: int, slots: int = 4096) -> list[int]:
-    """Lower ends of contiguous id ranges holding about ``target`` of ``size_col`` each, the first one's left out.
-
-    Ids fall into ``slots`` spans of equal width, whose exact sums alone come to the driver; a span that holds
-    more than ``target`` and more than one id is split into ``slots`` spans again. Sums are exact, so
-    the ranges depend on nothing but the rows. Null ids belong to the first range.
+def id_ranges(df: DataFrame, id_col: str, size_col: str, target: int, divide: bool = False, most: int = 4096, cells: int = 1 << 16) -> list[tuple[int, int]]:
+    """Lower ends of contiguous ranges of ids that hold about ``target`` of ``size_col`` each, the first one's left out.
+
+    There are about ``most`` ranges at most: beyond that they grow with the input. The span of all ids is cut into ``cells`` cells of
+    equal width; those that hold more than ``target`` are all cut again by one further job, until none of them has more than one
+    id, so that the jobs number as many as the levels (one where ids lie even), not as the ranges. Exact sums of about ``cells`` cells a
+    level come to the driver. An end is a pair: an id, and a number below 2 ** 31 from which on
+    rows of that id belong to the range; it isn't 0 where ``divide`` asks to cut ids that alone hold more than a range may. Ranges depend on nothing but the rows. Null
+    ids belong to the first range. Pass a written table: it is read once a level.
     """
-    low, high = df.agg(F.min(id_col), F.max(id_col)).first()
+    known = df.where(F.col(id_col).isNotNull())
+    low, high, total = known.agg(F.min(id_col), F.max(id_col), F.sum(size_col)).first()
     if low is None:
         return []
-
-    def spans(start: int, end: int) -> list[tuple[int, int]]:
-        width = -(-(end - start + 1) // slots)
-        part = df.where(F.col(id_col).between(start, end)) if (start, end) != (low, high) else df.where(F.col(id_col).isNotNull())
-        offset = F.col(id_col).cast("decimal(20,0)") - F.lit(start).cast("decimal(20,0)")
-        got = part.groupBy(F.floor(offset / F.lit(width)).cast("long").alias("s")).agg(F.sum(size_col).alias("n")).collect()
-        out: list[tuple[int, int]] = []
-        for s, n in sorted((r["s"], r["n"]) for r in got):
-            a, b = start + s * width, min(end, start + (s + 1) * width - 1)
-            out += spans(a, b) if n > target and b > a else [(a, n)]
-        return out
-
+    target = max(target, -(-total // most))
+    atoms: list[tuple[int, int, int]] = []  # first id, last id, size
+    wide = [(low, high)]
+    while wide:
+        fan = max(16, cells // len(wide))
+        widths = [-(-(b - a + 1) // fan) for a, b in wide]
+        spark = df.sparkSession
+        k = range_of(F.col(id_col), [(a, 0) for a, _ in wide[1:]], F.lit(0))
+        spans = spark.createDataFrame([(i, a, b, w) for i, ((a, b), w) in enumerate(zip(wide, widths, strict=True))], "k int, a long, b long, w long")
+        inside = known.withColumn("k", k).join(F.broadcast(spans), "k").where(F.col(id_col) <= F.col("b"))  # at most ``most`` spans
+        offset = (F.col(id_col).cast("decimal(20,0)") - F.col("a").cast("decimal(20,0)")) / F.col("w")
+        got = inside.groupBy("k", F.floor(offset).cast("long").alias("c")).agg(F.sum(size_col).alias("n")).collect()
+        again = []
+        for r in sorted(got, key=lambda r: (r["k"], r["c"])):
+            (a, b), w = wide[r["k"]], widths[r["k"]]
+            first, last = a + r["c"] * w, min(b, a + (r["c"] + 1) * w - 1)
+            if r["n"] > target and last > first:
+                again.append((first, last))
+            else:
+                atoms.append((first, last, r["n"]))
+        wide = again
     ends, held = [], 0
-    for start, n in spans(low, high):
+    for first, last, n in sorted(atoms):
         if held and held + n > target:
-            ends.append(start)
+            ends.append((first, 0))
             held = 0
         held += n
+        if n > target and divide:
+            parts = -(-n // target)
+            ends += [(first, (j << 31) // parts) for j in range(1, parts)]
+            held = n // parts
     return ends
 
 
-def range_of(id_col: Column, ends: list[int], spark: SparkSession) -> Column:
-    """Which of the ranges an id lies in; a binary search over the ends, in a literal array."""
+def range_of(id_col: Column, ends: list[tuple[int, int]], sub_col: Column) -> Column:
+    """Which of the ranges a row lies in, null ids in the first: a binary search of the ends, in arrays that the plan holds as two constants."""
     if not ends:
         return F.lit(0)
-    found = F.lit(0)
-    step = 1
-    while step * 2 <= len(ends):
-        step *= 2
-    array = F.array(*[F.lit(e) for e in ends]) if len(ends) <= 64 else F.from_json(F.lit(str(ends)), "array<bigint>")
-    while step:
-        nxt = found + F.lit(step)
-        found = F.when((nxt <= len(ends)) & (F.get(array, nxt - 1) <= id_col), nxt).otherwise(found)
-        step //= 2
-    return found
+    array = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")  # noqa: E731  folded to a constant
+    ids, subs = array([e[0] for e in ends]), array([e[1] for e in ends])
+    steps = [1 << k for k in range(len(ends).bit_length() - 1, -1, -1)]
+
+    def step(found: Column, width: Column) -> Column:
+        at = found + width - 1
+        end, sub = F.get(ids, at), F.get(subs, at)  # null beyond the last end
+        return F.when((end < id_col) | ((end == id_col) & (sub <= sub_col)), found + width).otherwise(found)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)

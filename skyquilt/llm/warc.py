@@ -10,6 +10,8 @@ Payloads that occur more than once are stored once: the record with the least id
 revisit records which name it. Which payloads repeat is found from their digests alone; what a range must know about its
 revisits reaches its task as marker rows, sorted in before the pages, so that each page is shuffled once.
 
+A url goes into its header with control characters, spaces and ``%`` as percent escapes, and is read back as it was.
+
 Defined cases: a null payload is empty; a null url is the empty string; a null id sorts first (it is a revisit where another
 row has its payload, and two null ids with one payload are response and revisit); of rows that agree in id and payload
 the first is the response and the others revisit it; an empty table gives an empty manifest; columns other than those named are ignored.
@@ -20,9 +22,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +35,20 @@ from pyspark.sql import functions as F
 from skyquilt.llm.common import id_ranges, materialize, new_path, range_of, table
 from skyquilt.llm.files import read_stream, whole_file
 
+#: About what a record has besides its payload, for the sizes of ranges.
+HEAD_BYTES = 700
 MANIFEST_SCHEMA = "shard int, file string, records bigint, bytes bigint, sha256 string"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122: URLs
 
 
+#: What can't stand in a header as it is: control characters (line ends among them), spaces, the escape itself.
+UNSAFE = re.compile("[\x00-\x20\x7f-\x9f\u2028\u2029%]")
+
+
+def escape_url(url: str) -> str:
+    return UNSAFE.sub(lambda m: "".join(f"%{b:02X}" for b in m.group().encode()), url)
+
+
 def base32_sha1(raw: bytes) -> str:
     return base64.b32encode(hashlib.sha1(raw).digest()).decode()
 
@@ -96,7 +110,7 @@ def _page(row, responder, copy: int, first, date: str) -> bytes:
     html = bytes(row.payload)
     digest = base32_sha1(html)
     me = None if row.id is None else int(row.id)
-    headers = [("WARC-Target-URI", row.url), ("WARC-Payload-Digest", f"sha1:{digest}")]
+    headers = [("WARC-Target-URI", escape_url(row.url)), ("WARC-Payload-Digest", f"sha1:{digest}")]
     headers += [("X-Page-Id", str(me))] if me is not None else []
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(html)}\r\n\r\n".encode()
     if first:
@@ -150,20 +164,23 @@ def write_warc(
     url_col: str = "url",
     html_col: str = "html",
     date: str = "2024-01-01T00:00:00Z",
-    shard_bytes: int = 16 << 20,
-    roll_bytes: int = 64 << 20,
+    shard_bytes: int = 32 << 20,
+    roll_bytes: int = 4 << 20,
     min_bytes: int = 0,
 ) -> DataFrame:
     """Write one record a row under ``root`` and return the manifest, a table that is stored there as well.
 
-    ``shard_bytes``: payload bytes a task writes; ``min_bytes``: smaller payloads are responses every time.
+    ``shard_bytes``: bytes that a task writes, records' heads included, before compression; more where 4,096 tasks wouldn't do. ``roll_bytes``: compressed
+    bytes after which a task goes on in a further file. ``min_bytes``: smaller payloads are responses every time.
     """
     spark = df.sparkSession
     payload = F.coalesce(F.col(html_col).cast("binary"), F.lit("").cast("binary"))
     pages = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), payload.alias("payload"))
-    light = materialize(pages.select("id", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("n")), "payload-digests")
-    ends = id_ranges(light, "id", "n", shard_bytes)
-    shard = F.when(F.col("id").isNull(), 0).otherwise(range_of(F.col("id"), ends, spark))
+    pages = pages.withColumn("digest", F.sha1("payload"))
+    light = materialize(pages.select("id", "digest", F.octet_length("payload").cast("long").alias("n")), "payload-digests")
+    ends = id_ranges(light.withColumn("n", F.col("n") + HEAD_BYTES), "id", "n", shard_bytes, True)
+    # rows of one id are told apart by their payloads, so that an id with many of them goes to several tasks
+    shard = range_of(F.col("id"), ends, F.conv(F.substring("digest", 1, 7), 16, 10).cast("long") * 8)
     # nulls last: a row with an id is the response before one without
     repeated = light.where(F.col("n") >= min_bytes).groupBy("digest").agg(F.min("id").alias("responder"), F.count("*").alias("c")).where("c > 1").drop("c")
     repeated = materialize(repeated, "repeated-payloads")
@@ -175,7 +192,7 @@ def write_warc(
         .distinct()
         .select(shard.alias("shard"), "id", "digest", F.lit(0).alias("kind"), "responder", F.lit("").alias("url"), F.lit("").cast("binary").alias("payload"))
     )
-    full = pages.select(shard.alias("shard"), "id", F.sha1("payload").alias("digest"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("responder"), "url", "payload")
+    full = pages.select(shard.alias("shard"), "id", "digest", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("responder"), "url", "payload")
     written = (
         full.unionByName(markers)
         .repartitionById(len(ends) + 1, F.col("shard"))
@@ -234,7 +251,7 @@ def _reader(root: str, with_payload: bool):
                         if fields["WARC-Type"] == "response" and (base32_sha1(payload) != digest or len(payload) != int(http["Content-Length"])):
                             raise ValueError(f"damaged payload in {fields['WARC-Record-ID']}")
                         number = lambda k: int(fields[k]) if k in fields else None  # noqa: B023, E731
-                        row = (number("X-Page-Id"), fields.get("WARC-Target-URI", ""), int(http["Content-Length"]), digest, fields["WARC-Type"], number("X-Refers-To-Page-Id"), fields["WARC-Record-ID"], fields.get("WARC-Refers-To"))
+                        row = (number("X-Page-Id"), unquote(fields.get("WARC-Target-URI", "")), int(http["Content-Length"]), digest, fields["WARC-Type"], number("X-Refers-To-Page-Id"), fields["WARC-Record-ID"], fields.get("WARC-Refers-To"))
                         out.append((*row, payload) if with_payload else row)
                         held += len(payload) if with_payload else 200
                         if held > 8 << 20:
