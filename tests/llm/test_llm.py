@@ -389,70 +389,115 @@ def test_language_model(spark, odd):
     assert language_model.score_texts(spark.createDataFrame([], EMPTY)).count() == 0
 
 
-def test_model_is_a_distribution():
-    """Over the known words and one unknown, in each context, after several sweeps."""
-    rng = np.random.default_rng(0)
-    n = 60
-    word, context = np.repeat(np.arange(n), 2), np.tile([3, 9], n)
-    counts = np.where(rng.random(2 * n) < 0.7, rng.zipf(1.6, 2 * n) % 5000, 0)
-    counts[0:2] = 0  # the unknown word
-    h = token_files.ragged.mix((word + 1).astype(np.uint64))
-    row = {"hashes": h.tobytes(), "contexts": context.astype(np.int32).tobytes(), "counts": counts.astype(np.int64).tobytes()}
-    slot = language_model.Slot(row, 0.6, int((np.bincount(word, weights=counts) > 0).sum()) + 1)
-
-    def sums():
-        out = {k: (int(counts[context == k].sum()), int(slot.tables[context == k].sum())) for k in (3, 9)}
-        return {**out, -1: (int(slot.parent.sum()), int(slot.parent_tables.sum()))}
-
-    for k in range(3):
-        slot.sweep(k, sums())
-        assert (slot.tables <= counts).all() and (slot.tables[counts > 0] > 0).all()
-    p, total = slot.predict(sums()), np.bincount(word, weights=counts)
-    known = (total > 0) | (word.reshape(n, 2)[:, 0] == 0)
-    for k in (3, 9):
-        assert p[context == k][known].sum() == pytest.approx(1.0, abs=1e-9)
-
-
-def test_order_of_words_counts(spark):
-    """A held-out text in the order that was learnt is likelier than the same words in another; a unigram model has them equal."""
-    line = "the cat sat on a mat while that dog ran over some green hill"
-    rows = [(i, line, "en", False) for i in range(30)] + [(100, line, "en", True), (101, " ".join(line.split()[::-1]), "en", True)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, held boolean")
-    got = {r.doc_id: r for r in language_model.score_texts(df, held_out=F.col("held")).collect()}
-    a, b = got[100], got[101]
-    assert a.base_score == pytest.approx(b.base_score) and a.score > b.score + 10 and a.perplexity < 2 < b.perplexity
-    assert a.perplexity == pytest.approx(10 ** (-a.score / a.n_tokens)) and a.held_out_perplexity == pytest.approx(10 ** (-(a.score + b.score) / (a.n_tokens + b.n_tokens)))
+def small_slot(rng, n=40, contexts=3):
+    """All pairs of a few words and contexts in one slot; the first word is never seen."""
+    word, before = np.repeat(np.arange(n), contexts), np.tile(np.arange(contexts), n)
+    counts = np.where(rng.random(n * contexts) < 0.6, rng.zipf(1.6, n * contexts) % 3000, 0)
+    counts[:contexts] = 0
+    gap = np.where(np.diff(word, prepend=-1) != 0, before, np.diff(before, prepend=0))
+    seen = np.bincount(word, weights=counts) > 0
+    return language_model.Slot({"words": language_model.steps(word), "befores": gap, "counts": counts}, int(seen.sum()) + 1), seen[word] | (word == 0), before
 
 
 def test_pairs_are_a_distribution():
-    """Over the known words and one unknown, after each word of each language, after several sweeps."""
+    """Over the known words and one unknown, after each word, after several sweeps."""
     rng = np.random.default_rng(0)
-    n, lang = 40, np.array([3, 3, 9])
-    word, context = np.repeat(np.arange(n), 3), np.tile([0, 1, 2], n)
-    counts = np.where(rng.random(3 * n) < 0.6, rng.zipf(1.6, 3 * n) % 5000, 0)
-    counts[:3] = 0  # the unknown word
-    h = np.sort(token_files.ragged.mix((np.arange(n) + 1).astype(np.uint64)))[word]
-    row = {"hashes": h.tobytes(), "contexts": (context + 5).astype(np.uint64).tobytes(), "langs": lang[context].astype(np.int64).tobytes(), "counts": counts.astype(np.int64).tobytes()}
-    slot = language_model.Pairs(row, (0.7, 0.6), int((np.bincount(word, weights=counts) > 0).sum()) + 1)
+    slot, known, before = small_slot(rng)
+    parameters, top = (0.7, 1.3, 0.6, 0.9), (int(slot.served().sum()), 0)
+    for k in range(5):
+        slot.sweep(k, parameters, np.stack(slot.sums()), top, 4, rng)
+        top = (int(slot.top.sizes.sum()), len(slot.top.sizes))
+        assert (slot.low.customers == slot.count[slot.many]).all() and (slot.top.customers == slot.served()).all() and (slot.low.sizes > 0).all()
+        assert (np.diff(slot.low.dish) >= 0).all() and (slot.tables() <= slot.count).all() and (slot.tables()[slot.count > 0] > 0).all()
+    p = slot.predict(parameters, np.stack(slot.sums()), top)
     for k in range(3):
-        slot.sweep(k, slot.sums())
-    p, known = slot.predict(slot.sums()), (np.bincount(word, weights=counts) > 0)[word] | (word == 0)
-    for k in range(3):
-        assert p[(context == k) & known].sum() == pytest.approx(1.0, abs=1e-9)
+        assert p[(before == k) & known].sum() == pytest.approx(1.0, abs=1e-9)
+    uri = f"file:///tmp/checkpoints/skyquilt/slot-{os.getpid()}"
+    slot.store(uri)
+    again, _, _ = small_slot(np.random.default_rng(0))
+    again.restore(uri)
+    assert np.array_equal(again.predict(parameters, np.stack(again.sums()), top), p)
 
 
 def test_seating_follows_the_rule():
-    """Mean tables of the fast draw against customers seated one by one."""
+    """Numbers and sizes of tables of the fast draw against customers seated one by one."""
     rng = np.random.default_rng(1)
-    customers, pull, d = 400, 0.8, 0.5
-    slow = []
-    for _ in range(400):
-        t = 1
+    customers, pull, d, slow, largest = 120, 0.8, 0.5, [], []
+    for _ in range(1500):
+        sizes = [1]
         for n in range(1, customers):
-            t += rng.random() < pull / (n - d * t + pull)
-        slow.append(t)
-    fast = language_model.seat(np.full(4000, customers), np.full(4000, pull), d, token_files.ragged.mix(np.arange(4000, dtype=np.uint64)))
-    assert fast.mean() == pytest.approx(np.mean(slow), rel=0.08)
+            w = np.array([x - d for x in sizes] + [pull])
+            k = int(np.searchsorted(np.cumsum(w), rng.random() * w.sum()))
+            if k == len(sizes):
+                sizes.append(0)
+            sizes[k] += 1
+        slow.append(len(sizes))
+        largest.append(max(sizes))
+    sizes, dish = language_model.seat(np.full(4000, customers), np.full(4000, pull), d, rng)
+    assert (np.bincount(dish, weights=sizes) == customers).all() and (sizes > 0).all()
+    assert np.bincount(dish).mean() == pytest.approx(np.mean(slow), rel=0.05)
+    most = np.zeros(4000)
+    np.maximum.at(most, dish, sizes)
+    assert most.mean() == pytest.approx(np.mean(largest), rel=0.05)
+    assert np.allclose(language_model.log_gamma(np.array([0.05, 0.5, 1, 7.5, 1e6])), [math.lgamma(x) for x in (0.05, 0.5, 1, 7.5, 1e6)], rtol=1e-10, atol=1e-10)
+
+
+def test_gibbs_moves_keep_the_posterior():
+    """Tables of one dish after many moves against their exact distribution, by generalised Stirling numbers."""
+    rng = np.random.default_rng(2)
+    n, d, strength, p, other = 7, 0.4, 1.5, 0.3, 5
+    stirling = np.zeros((n + 1, n + 2))
+    stirling[0, 0] = 1
+    for m in range(n):
+        for t in range(1, n + 1):
+            stirling[m + 1, t] = stirling[m, t - 1] + (m - d * t) * stirling[m, t]
+    weight = np.array([stirling[n, t] * np.prod([strength + d * (other + i) for i in range(t)]) * p**t for t in range(n + 1)])
+    want = (weight * np.arange(n + 1)).sum() / weight.sum()
+    copies = 4000
+    seating = language_model.Seating(np.full(copies, n), np.arange(copies), copies)
+    every = np.arange(copies)
+    for _ in range(25):  # the restaurant's other tables stay as they are
+        seating.move(every, strength, d, other + seating.tables, np.full(copies, p), 4, rng)
+    assert seating.tables.mean() == pytest.approx(want, rel=0.03)
+
+
+def test_parameters_are_recovered():
+    """Discount and strength of restaurants seated by known ones."""
+    rng, d, strength = np.random.default_rng(3), 0.6, 2.0
+    customers = np.full(400, 200)
+    tables = np.ones(400, np.int64)
+    sizes_of = [[1] for _ in range(400)]
+    for r in range(400):
+        for n in range(1, 200):
+            w = np.array([x - d for x in sizes_of[r]] + [strength + d * len(sizes_of[r])])
+            k = int(np.searchsorted(np.cumsum(w), rng.random() * w.sum()))
+            if k == len(sizes_of[r]):
+                sizes_of[r].append(0)
+            sizes_of[r][k] += 1
+        tables[r] = len(sizes_of[r])
+    flat, now, drawn = np.concatenate(sizes_of), (0.3, 0.5), []
+    for _ in range(60):
+        logs, up, down = language_model.strength_events(customers, tables, *now, rng)
+        now = language_model.draw_parameters(logs, up, down, language_model.discount_events(flat, now[0], rng), rng)
+        drawn.append(now)
+    got = np.mean(drawn[20:], axis=0)
+    assert got[0] == pytest.approx(d, abs=0.04) and got[1] == pytest.approx(strength, rel=0.25)
+
+
+def test_numbers_in_planes():
+    for x in ([], [0], [0, 255, 256, 2**40], [2**63 + 5]):
+        assert language_model.numbers(language_model.planes(np.array(x, np.uint64))).view(np.uint64).tolist() == x
+
+
+def test_order_of_words_counts(spark):
+    """A held-out text in the order that was learnt is likelier than the same words in another; a unigram model has them equal."""
+    line = "the cat sat on a mat while that dog ran over some green hill"
+    rows = [(i, line, False) for i in range(30)] + [(100, line, True), (-101, " ".join(line.split()[::-1]), True)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, held boolean")
+    got = {r.doc_id: r for r in language_model.score_texts(df, held_out=F.col("held")).collect()}
+    a, b = got[100], got[-101]
+    assert a.base_score == pytest.approx(b.base_score) and a.score > b.score + 10 and a.perplexity < 2 < b.perplexity
+    assert a.perplexity == pytest.approx(10 ** (-a.score / a.n_tokens)) and a.held_out_perplexity == pytest.approx(10 ** (-(a.score + b.score) / (a.n_tokens + b.n_tokens)))
 
 
 # -- 9
