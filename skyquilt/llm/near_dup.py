@@ -6,22 +6,25 @@ a Poisson process whose rate is its weight; every arrival goes to one of ``m`` c
 and its shingle. A shingle stops as soon as its next arrival is later than the latest of all components, which is early for
 nearly all of them. Two signatures agree in a component with the probability Jaccard similarity of the two weighted sets.
 
-Texts whose words are equal fall into one class first; only one of each is signed. Signatures are cut into ``bands``;
-texts that share a band meet in a bucket, where each is compared with the bucket's least id: a number of
-comparisons in proportion to the rows, however large a bucket is. Exact Jaccard similarity of the shingle sets decides. Buckets whose members
-are in one component then are done. In each of the others, all members are compared across components, hubs first and only
-until two components join; a bucket of more than ``block`` members is compared block against block, so that a task holds
-two blocks. Components are found by joins, and written to the shared folder between rounds.
+Texts whose words are equal fall into one class first; one of each is a node, named by the digest of its words. Signatures are cut into ``bands``;
+nodes that share a band meet in a bucket. Each is compared there with the bucket's least node: a number of
+comparisons in proportion to the rows, however large a bucket is. Buckets whose members are in one component then are done. In each of
+the others members of unlike components are compared, block against block, by sketches: a byte of each component of
+the signature, 125 bytes a text. Pairs whose sketches agree too rarely for the threshold are no links (one link in a million is
+taken for one of them); of the other pairs first the best of two components in two blocks goes on, and where that didn't join them, all of them.
+Exact Jaccard similarity of the shingle sets decides on every pair that goes on; a set is sent once to each task that needs it.
+Components are found by joins, and written to the shared folder between rounds.
 
 Words are as in the other operators (``WORD_BREAK``), with A to Z in lower case. A text of one to four words is one shingle.
 
-Defined cases: a text without words (null, empty or white space) is like every other such text; a null id is a
-document like others, of its own; equal ids are one document, whose shingles are those of its first text; repeated rows and
-ties fall together, the least id is the class; an empty table gives no rows; columns other than those named are ignored.
+Defined cases: a text without words (null, empty or white space) is like every other such text; every row has a class by its text,
+whatever its id: rows without an id and rows that share one are judged each by itself; ties fall together; the least id is the
+class, and the class of texts that have no id at all is null; an empty table gives no rows; columns other than those named are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,12 +109,26 @@ def weights(counts: np.ndarray) -> np.ndarray:
     return 1 + np.log(counts)
 
 
+def sketch_least(m: int, threshold: float, miss: float = 1e-6) -> int:
+    """The number of equal bytes that a link's sketches of ``m`` bytes fall short of with probability ``miss`` at most."""
+    p = threshold + (1 - threshold) / 256
+    below, k = 0.0, 0
+    while True:
+        below += math.exp(math.lgamma(m + 1) - math.lgamma(k + 1) - math.lgamma(m - k + 1) + k * math.log(p) + (m - k) * math.log1p(-p))
+        if below > miss or k == m:
+            return k
+        k += 1
+
+
+SIGNED_SCHEMA = "id bigint, hash bigint, digest bigint, buckets array<bigint>, sketch binary"
+
+
 def _signer(bands: int, rows: int, width: int, weighted: bool):
     m = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offsets = ragged.buffers(batch.column(1))
+            raw, offsets = ragged.buffers(batch.column(2))
             for i, j in ragged.pieces(offsets, 1 << 20):
                 h, before, digest = shingles(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
                 s, doc, n = _sets(h, before)
@@ -124,24 +141,25 @@ def _signer(bands: int, rows: int, width: int, weighted: bool):
                     value = ragged.mix(value + np.arange(bands, dtype=np.uint64) * _STEP)
                 at = np.concatenate([[0], np.cumsum(np.where(np.diff(before) > 0, bands, 0))])
                 buckets = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value.reshape(-1).view(np.int64)))
-                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(digest.view(np.int64)), buckets], names=["id", "digest", "buckets"])
+                sketch = ragged.mix(signature.reshape(-1)).astype(np.uint8).tobytes()
+                sketches = pa.array([sketch[k * m : (k + 1) * m] for k in range(j - i)], pa.binary())
+                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(digest.view(np.int64)), buckets, sketches], names=[x.split()[0] for x in SIGNED_SCHEMA.split(", ")])
 
     return run
 
 
 def _shingler(width: int):
-    """Shingle sets of texts with the digest asked for, as sorted arrays in bytes."""
+    """Shingle sets of texts, as sorted arrays in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = ragged.buffers(batch.column(1))
             for i, j in ragged.pieces(offsets):
-                h, before, digest = shingles(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
+                h, before, _ = shingles(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
                 s, doc, _ = _sets(h, before)
-                asked = pa.array(batch.column(2).to_numpy()[i:j] == digest.view(np.int64))
                 at = np.searchsorted(doc, np.arange(j - i + 1)) * 8
                 sets = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(s.tobytes())]).cast(pa.binary())
-                yield pa.record_batch([batch.column(0).slice(i, j - i), sets], names=["id", "shingles"]).filter(asked)
+                yield pa.record_batch([batch.column(0).slice(i, j - i), sets], names=["node", "shingles"])
 
     return run
 
@@ -155,45 +173,51 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     return shared >= threshold * (len(a) + len(b) - shared) - 1e-9
 
 
-def _verifier(threshold: float):
+def _alike(least: int):
+    """Pairs whose sketches agree in ``least`` bytes."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ok = [similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), threshold) for a, b in zip(pdf["a_set"], pdf["b_set"], strict=True)]
-            yield pdf.loc[ok, ["a", "b"]]
+            if len(pdf):
+                a, b = (np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(len(pdf), -1) for c in ("a_sketch", "b_sketch"))
+                yield pdf.loc[(a == b).sum(axis=1) >= least, ["a", "b"]]
 
     return run
 
 
-def _across(threshold: float):
-    """Links between members of a bucket that are in unlike components, enough of them to join what they join."""
+def _verifier(threshold: float):
+    """Of the pairs of a centre and a part of its partners those that are similar; in the centre's row it is its own partner."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
-        ids, out = pdf["id"].to_numpy(), []
-        side = pdf["side"].to_numpy()
-        group: dict[int, list[int]] = {}
-        for k, c in enumerate(pdf["component"]):
-            group.setdefault(c, []).append(k)
-        done: list[list[int]] = []
-        for members in sorted(group.values(), key=len, reverse=True):
-            members, rest = list(members), []
-            for other in done:
-                found = None
-                for x in members:
-                    for spot, y in enumerate(other):
-                        if (side[x] != side[y] or side[x] == 2) and similar(sets[x], sets[y], threshold):
-                            found = (x, y)
-                            other.insert(0, other.pop(spot))  # hubs first
-                            break
-                    if found:
-                        break
-                if found:
-                    out.append((min(ids[found[0]], ids[found[1]]), max(ids[found[0]], ids[found[1]])))
-                    members = other + members
-                else:
-                    rest.append(other)
-            done = [*rest, members]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        is_centre = (pdf["a"] == pdf["b"]).to_numpy()
+        centre = np.frombuffer(pdf.loc[is_centre, "shingles"].iloc[0], np.uint64)
+        rest = pdf.loc[~is_centre]
+        ok = [similar(centre, np.frombuffer(x, np.uint64), threshold) for x in rest["shingles"]]
+        return rest.loc[ok, ["a", "b"]]
+
+    return run
+
+
+def _across(least: int, every: bool):
+    """Pairs of members of two blocks of a bucket, in unlike components, whose sketches agree in ``least`` bytes: the best pair of two components, or every one."""
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes, component, side = pdf["node"].to_numpy(), pdf["component"].to_numpy(), pdf["side"].to_numpy()
+        sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # a block with itself: 2
+        a, b, score = [], [], []
+        for k in range(0, len(left), 64):
+            mine = left[k : k + 64]
+            agree = (sketch[mine][:, None, :] == sketch[right][None, :, :]).sum(axis=2, dtype=np.int16)
+            x, y = np.nonzero((agree >= least) & (component[mine][:, None] != component[right][None, :]))
+            a.append(mine[x])
+            b.append(right[y])
+            score.append(agree[x, y])
+        a, b, score = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b, score))
+        out = pd.DataFrame({"a": np.minimum(nodes[a], nodes[b]), "b": np.maximum(nodes[a], nodes[b]), "x": np.minimum(component[a], component[b]), "y": np.maximum(component[a], component[b]), "score": score})
+        if not every:
+            out = out.sort_values(["score", "a", "b"], ascending=[False, True, True]).drop_duplicates(["x", "y"])
+        return out[["a", "b"]].drop_duplicates()
 
     return run
 
@@ -224,50 +248,78 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, threshold: float = THRESHOLD, block: int = 4096, weighted: bool = False
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = WIDTH,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    threshold: float = THRESHOLD,
+    block: int = 256,
+    weighted: bool = False,
+    keep_hash: bool = False,
 ) -> DataFrame:
-    """One row a document: ``doc_id``, ``class_id`` (the least id of its class) and ``copy_of`` (the least id with the same words)."""
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    known = docs.where("id IS NOT NULL")
-    # one pass over the texts; whatever follows is on digests and bands until a few texts are compared
-    signed = materialize(known.mapInArrow(_signer(bands, rows, width, weighted), "id bigint, digest bigint, buckets array<bigint>"), "signatures")
-    same = signed.groupBy("id").agg(F.min("digest").alias("digest"))
-    first = materialize(same.groupBy("digest").agg(F.min("id").alias("id")), "representatives")
-    members = materialize(signed.join(first, ["id", "digest"], "left_semi").select("id", F.explode(F.array_distinct("buckets")).alias("bucket")).distinct(), "bands")
-
-    centres = members.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("size")).where("size > 1")
-    centres = materialize(centres, "buckets")
-    stars = materialize(members.join(centres, "bucket").where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(), "stars")
-    wanted = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
-    asked = known.join(wanted.join(first, "id"), "id").select("id", "text", "digest")
-    sets = materialize(asked.mapInArrow(_shingler(width), "id bigint, shingles binary"), "shingle-sets")
-
-    def with_set(pairs: DataFrame, side: str) -> DataFrame:
-        return pairs.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}_set")), side)
+    """One row a document: ``doc_id``, ``class_id`` (the least id of its class) and ``copy_of`` (the least id with the same words).
 
-    links = materialize(with_set(with_set(stars, "a"), "b").select("a", "b", "a_set", "b_set").mapInPandas(_verifier(threshold), "a bigint, b bigint"), "links")
+    ``keep_hash``: also ``hash``, xxhash64 of the text (null: empty), and ``keep``, which is true of one row of each class.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    # one pass over the texts; whatever follows is on digests, bands and sketches until a few texts are compared
+    signed = materialize(docs.mapInArrow(_signer(bands, rows, width, weighted), SIGNED_SCHEMA), "signatures")
+    one = F.min(F.struct(F.col("id").isNull().alias("n"), "id", "hash")).alias("row")
+    nodes = signed.groupBy(F.col("digest").alias("node")).agg(one, F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"))
+    nodes = materialize(nodes.select("node", "row.id", "row.hash", "buckets", "sketch"), "nodes")
+    sketches = nodes.select("node", "sketch")
+    members = materialize(nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket")), "bands")
+    least = 0 if weighted else sketch_least(bands * rows, threshold)
+
+    centres = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("size")).where("size > 1")
+    centres = materialize(centres, "buckets")
+    stars = materialize(members.join(centres, "bucket").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    both = stars.join(sketches.toDF("a", "a_sketch"), "a").join(sketches.toDF("b", "b_sketch"), "b").select("a", "b", "a_sketch", "b_sketch")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that are similar. Texts are read again for the nodes among them."""
+        pairs = materialize(pairs, "pairs")
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = materialize(wanted.join(nodes.select("node", F.col("id").alias("own"), F.col("hash").alias("h")), "node"), "wanted")
+        few = wanted.count() <= 100_000  # three numbers each
+        asked = docs.join(F.broadcast(wanted) if few else wanted, (F.col("hash") == F.col("h")) & F.col("id").eqNullSafe(F.col("own"))).select("node", "text")
+        sets = materialize(asked.mapInArrow(_shingler(width), "node bigint, shingles binary").dropDuplicates(["node"]), "shingle-sets")
+        counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+        dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
+        theirs = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "shingles")
+        own = dealt.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "part", F.col("a").alias("b"), "shingles")
+        return materialize(theirs.unionByName(own).groupBy("a", "part").applyInPandas(_verifier(threshold), "a bigint, b bigint"), "links")
+
+    links = linked(both.mapInPandas(_alike(least), "a bigint, b bigint"))
     found = components(links)
-
-    # buckets whose members aren't in one component yet
-    placed = members.join(centres.select("bucket", "size"), "bucket").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("size").alias("size")).where("low <> high")
-    open_ = materialize(open_.select("bucket", "size"), "open-buckets")
-    part = F.ceil(F.col("size") / block).cast("int")
-    mine = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    tasks = (
-        placed.drop("size").join(open_, "bucket").withColumn("parts", part).withColumn("mine", mine)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("bucket", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"), F.when(F.col("mine") == F.col("with"), 2).otherwise((F.col("mine") > F.col("with")).cast("int")).alias("side"), "id", "component")
-    )
-    # a pair of blocks (i, i) holds block i once; of (i, j) the two sides
-    more = tasks.join(sets, "id").groupBy("bucket", "i", "j").applyInPandas(_across(threshold), "a bigint, b bigint")
-    more = materialize(more.distinct(), "more-links")
-    if not more.isEmpty():
-        found = components(links.unionByName(more))
-    copies = same.join(first.withColumnRenamed("id", "copy_of"), "digest").select("id", "copy_of")
-    classes = copies.join(found.withColumnRenamed("id", "copy_of"), "copy_of", "left").select(F.col("id").alias("doc_id"), F.coalesce("component", "copy_of").alias("class_id"), "copy_of")
-    nameless = docs.where("id IS NULL").select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"), F.col("id").alias("copy_of"))
-    return classes.unionByName(nameless)
+    for every in (False, True):
+        # buckets whose members aren't in one component yet
+        placed = members.join(centres.select("bucket", "size"), "bucket").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("size").alias("size")).where("low <> high")
+        open_ = materialize(open_.select("bucket", F.ceil(F.col("size") / block).cast("int").alias("parts")), "open-buckets")
+        mine, i = F.col("mine"), F.col("with")
+        tasks = (
+            placed.drop("size").join(open_, "bucket").withColumn("mine", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("bucket", F.least(mine, i).alias("i"), F.greatest(mine, i).alias("j"), F.when(mine == i, 2).otherwise((mine > i).cast("int")).alias("side"), "node", "component")
+        )
+        # a pair of blocks (i, i) holds block i once; of (i, j) the two sides
+        more = tasks.join(sketches, "node").groupBy("bucket", "i", "j").applyInPandas(_across(least, every), "a bigint, b bigint").distinct()
+        more = linked(more)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = components(links)
+    classes = nodes.select("node", "id", "hash").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    head = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "hash")).alias("head"))
+    classes = classes.join(head, "component").select(F.col("node").alias("digest"), F.col("head.id").alias("class_id"), F.col("head.hash").alias("head_hash"), F.col("id").alias("copy_of"))
+    out = signed.select("id", "hash", "digest").join(classes, "digest")
+    names = [F.col("id").alias("doc_id"), "class_id", "copy_of"]
+    if not keep_hash:
+        return out.select(*names)
+    return out.select(*names, "hash", (F.col("id").eqNullSafe(F.col("class_id")) & (F.col("hash") == F.col("head_hash"))).alias("keep"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +327,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are the least of their class, and those without an id."""
-    gone = materialize(near_duplicates(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("gone_id")).distinct(), "near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One document of each class: the least id, and of rows that share it the least text by hash; of rows equal in both, all stay."""
+    gone = near_duplicates(docs, keep_hash=True).where("NOT keep").select(F.col("doc_id").alias("gone_id"), F.col("hash").alias("gone_hash")).distinct()
+    gone = materialize(gone, "near-copies")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_hash"]), "left_anti")

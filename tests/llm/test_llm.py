@@ -525,24 +525,24 @@ def shingles(text, width=5):
 
 
 def brute_classes(rows):
-    sets = {}
-    for i, t in rows:
-        sets.setdefault(i, shingles(t))
-    parent = {i: i for i in sets}
+    """The least id of each row's class, in the rows' order; rows without an id are rows like others."""
+    sets, parent = [shingles(t) for _, t in rows], list(range(len(rows)))
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    ids = sorted(sets)
-    for k, a in enumerate(ids):
-        for b in ids[:k]:
+    for a in range(len(rows)):
+        for b in range(a):
             x, y = sets[a], sets[b]
             if (not x and not y) or (x and len(x & y) >= 0.8 * len(x | y) - 1e-9):
-                p, q = find(a), find(b)
-                parent[max(p, q)] = min(p, q)
-    return {i: find(i) for i in ids}
+                parent[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    return [least.get(find(k)) for k in range(len(rows))]
 
 
 def test_near_duplicates_against_brute_force(spark):
@@ -556,10 +556,41 @@ def test_near_duplicates_against_brute_force(spark):
         rows.append((i, " ".join(w)))
     rows += [(100 + i, " ".join(f"s{x}" for x in rng.integers(0, 900, 120))) for i in range(40)]
     rows += [(200, None), (201, ""), (202, " "), (203, "Two words"), (204, "two WORDS"), (205, rows[70][1])]
+    # ids that are shared or missing: every row is judged by its own text
+    rows += [(300, rows[80][1]), (300, "a text that shares its id with another one"), (300, rows[3][1]), (None, rows[90][1]), (None, "one of its own kind and no id"), (None, rows[5][1])]
     df = spark.createDataFrame(rows, EMPTY).withColumns({"id": F.lit(1), "bucket": F.lit(1), "digest": F.lit(1)})
+    want = sorted((str(i), str(c)) for (i, _), c in zip(rows, brute_classes(rows), strict=True))
     for block in (4096, 7):
-        got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df, block=block).collect()}
-        assert got == brute_classes(rows)
+        got = sorted((str(r.doc_id), str(r.class_id)) for r in near_dup.near_duplicates(df, block=block).collect())
+        assert got == want
+    kept = near_dup.stage(spark, df, DATA).collect()
+    assert len(kept) == len({c for _, c in want if c != "None"}) + 1  # and the class without an id
+    assert {"one of its own kind and no id", "a text that shares its id with another one"} <= {r.text for r in kept}
+
+
+def test_near_duplicates_recall(spark):
+    """All pairs of the real table at 0.8 or more against the classes found."""
+    docs = [(r.doc_id, shingles(r.text)) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    near_dup_class = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    of = defaultdict(list)
+    for k, (_, x) in enumerate(docs):
+        for g in x:
+            of[g].append(k)
+    shared = Counter()
+    for ks in of.values():
+        for n, a in enumerate(ks):
+            for b in ks[:n]:
+                shared[a, b] += 1
+    pairs = [(docs[a][0], docs[b][0]) for (a, b), n in shared.items() if n >= 0.8 * (len(docs[a][1]) + len(docs[b][1]) - n) - 1e-9]
+    found = [near_dup_class[a] == near_dup_class[b] for a, b in pairs]
+    print("recall", np.mean(found), "of", len(pairs))
+    assert len(pairs) > 50 and np.mean(found) > 0.999
+
+
+def test_sketches_keep_links():
+    least = near_dup.sketch_least(125, 0.8)
+    rng = np.random.default_rng(0)
+    assert 70 < least < 85 and (rng.binomial(125, 0.8, 200_000) < least).sum() <= 4
 
 
 def test_near_duplicates_with_uneven_repeats(spark):
@@ -576,8 +607,8 @@ def test_near_duplicates_with_uneven_repeats(spark):
 
 def test_near_duplicates_edges(spark, odd):
     got = near_dup.near_duplicates(odd).collect()
-    assert sorted((r.class_id for r in got if r.doc_id in (6, 7, 8))) == [6, 6, 6] and {r.class_id for r in got if r.doc_id in (2, 3, 4)} == {2}
-    assert [r.class_id for r in got if r.doc_id is None] == [None]
+    assert sorted((r.class_id for r in got if r.doc_id in (6, 7, 8))) == [6, 6, 6, 6] and {r.class_id for r in got if r.doc_id in (2, 3, 4)} == {2}
+    assert [r.class_id for r in got if r.doc_id is None] == [None] and len(got) == len(ODD)
     assert near_dup.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
 
@@ -607,8 +638,8 @@ def test_pipeline(spark, tmp_path):
     got = {r.doc_id for r in corpus_pipeline.run(spark, DATA).select("doc_id").collect()}
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     kept = {r.doc_id for r in quality.judge(spark.read.parquet(f"{DATA}/documents.parquet")).where("kept").collect()}
-    classes = brute_classes([(d, docs[d]) for d in sorted(kept)])
-    kept = {d for d in kept if classes[d] == d}
+    kept = sorted(kept)
+    kept = {d for d, c in zip(kept, brute_classes([(d, docs[d]) for d in kept]), strict=True) if c == d}
     plain = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     grams = lambda t: {tuple(plain(t)[i : i + 5]) for i in range(len(plain(t)) - 4)}
     items = [grams(r.text) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
