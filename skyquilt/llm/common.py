@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyquilt.llm.files import locate
+
 #: Fixed value of the row contracts: what separates words (space, tab, LF, VT, FF, CR).
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
@@ -40,12 +42,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
-    """As ``materialize``, dealt by ``key``: joins on it don't move these rows."""
-    path = new_path(df.sparkSession, name)
-    known = f"{name}_{uuid.uuid4().hex}"
-    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(known, format="parquet")
-    return df.sparkSession.table(known)
+def discard(*written: DataFrame | None) -> None:
+    """Delete tables that ``materialize`` made and that nothing will read again, not even after the loss of an executor: whatever was made of them is written."""
+    for df in written:
+        files = df.inputFiles() if df is not None else []
+        if files:
+            store, path = locate(files[0].rsplit("/", 1)[0])
+            store.delete_dir(path)
 
 
 def let(value: Column, body) -> Column:
