@@ -10,9 +10,10 @@ Texts whose words are equal fall into one class first; one of each is a node, na
 nodes that share a band meet in a bucket. Each is compared there with the bucket's least node: a number of
 comparisons in proportion to the rows, however large a bucket is. Buckets whose members are in one component then are done. In each of
 the others members of unlike components are compared, block against block, by sketches: a byte of each component of
-the signature, 125 bytes a text. Pairs whose sketches agree too rarely for the threshold are no links (one link in a million is
+the signature, 125 bytes a text. Pairs whose sketches agree too rarely for the threshold are no links (one link in 100,000 is
 taken for one of them); of the other pairs first the best of two components in two blocks goes on, and where that didn't join them, all of them.
-Exact Jaccard similarity of the shingle sets decides on every pair that goes on; a set is sent once to each task that needs it.
+Exact Jaccard similarity of the shingle sets decides on every pair that goes on; a set is sent once to each task that needs it. Where very
+many texts share a band and no two of them are similar, all their sketches are compared: that work grows with the square of such a bucket.
 Components are found by joins, and written to the shared folder between rounds.
 
 Words are as in the other operators (``WORD_BREAK``), with A to Z in lower case. A text of one to four words is one shingle.
@@ -37,6 +38,8 @@ from skyquilt.llm import ragged
 from skyquilt.llm.common import materialize, table
 
 WIDTH, BANDS, ROWS, THRESHOLD = 5, 25, 5, 0.8
+#: Partners of a text that are compared with it in one task.
+PART = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,7 +112,7 @@ def weights(counts: np.ndarray) -> np.ndarray:
     return 1 + np.log(counts)
 
 
-def sketch_least(m: int, threshold: float, miss: float = 1e-6) -> int:
+def sketch_least(m: int, threshold: float, miss: float = 1e-5) -> int:
     """The number of equal bytes that a link's sketches of ``m`` bytes fall short of with probability ``miss`` at most."""
     p = threshold + (1 - threshold) / 256
     below, k = 0.0, 0
@@ -204,14 +207,21 @@ def _across(least: int, every: bool):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         nodes, component, side = pdf["node"].to_numpy(), pdf["component"].to_numpy(), pdf["side"].to_numpy()
         sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # a block with itself: 2
         a, b, score = [], [], []
-        for k in range(0, len(left), 64):
-            mine = left[k : k + 64]
-            agree = (sketch[mine][:, None, :] == sketch[right][None, :, :]).sum(axis=2, dtype=np.int16)
-            x, y = np.nonzero((agree >= least) & (component[mine][:, None] != component[right][None, :]))
+        if (side == 2).all():
+            # a block with itself: every pair once, and none within the largest component, which comes last
+            size = pd.Series(component).groupby(component).transform("size").to_numpy()
+            left = np.lexsort((component, size))
+            right, stop = left, int((component[left] != component[left[-1]]).sum())
+        else:
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            stop = len(left)
+        for k in range(0, stop, 64):
+            mine, theirs = left[k : min(k + 64, stop)], right[k + 1 :] if right is left else right
+            agree = (sketch[mine][:, None, :] == sketch[theirs][None, :, :]).sum(axis=2, dtype=np.uint8)
+            x, y = np.nonzero((agree >= least) & (component[mine][:, None] != component[theirs][None, :]))
             a.append(mine[x])
-            b.append(right[y])
+            b.append(theirs[y])
             score.append(agree[x, y])
         a, b, score = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b, score))
         out = pd.DataFrame({"a": np.minimum(nodes[a], nodes[b]), "b": np.maximum(nodes[a], nodes[b]), "x": np.minimum(component[a], component[b]), "y": np.maximum(component[a], component[b]), "score": score})
@@ -255,7 +265,7 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     threshold: float = THRESHOLD,
-    block: int = 256,
+    block: int = 4096,
     weighted: bool = False,
     keep_hash: bool = False,
 ) -> DataFrame:
@@ -278,16 +288,16 @@ def near_duplicates(
     centres = materialize(centres, "buckets")
     stars = materialize(members.join(centres, "bucket").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     both = stars.join(sketches.toDF("a", "a_sketch"), "a").join(sketches.toDF("b", "b_sketch"), "b").select("a", "b", "a_sketch", "b_sketch")
+    # the second and last pass over the texts: sets of all nodes that share a bucket
+    wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    wanted = wanted.join(nodes.select("node", F.col("id").alias("own"), F.col("hash").alias("h")), "node")
+    asked = docs.join(wanted, (F.col("hash") == F.col("h")) & F.col("id").eqNullSafe(F.col("own"))).select("node", "text")
+    sets = materialize(asked.mapInArrow(_shingler(width), "node bigint, shingles binary").dropDuplicates(["node"]), "shingle-sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs that are similar. Texts are read again for the nodes among them."""
+        """Those of the pairs that are similar. A centre with many partners goes to a task for each ``PART`` of them."""
         pairs = materialize(pairs, "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = materialize(wanted.join(nodes.select("node", F.col("id").alias("own"), F.col("hash").alias("h")), "node"), "wanted")
-        few = wanted.count() <= 100_000  # three numbers each
-        asked = docs.join(F.broadcast(wanted) if few else wanted, (F.col("hash") == F.col("h")) & F.col("id").eqNullSafe(F.col("own"))).select("node", "text")
-        sets = materialize(asked.mapInArrow(_shingler(width), "node bigint, shingles binary").dropDuplicates(["node"]), "shingle-sets")
-        counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+        counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
         dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
         theirs = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "shingles")
         own = dealt.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "part", F.col("a").alias("b"), "shingles")
