@@ -61,7 +61,7 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
 
 
-def id_ranges(df: DataFrame, id_col: str, size_col: str, target: int, divide: bool = False, most: int = 4096, cells: int = 1 << 16) -> list[tuple[int, int]]:
+def id_ranges(df: DataFrame, id_col: str, size_col: str, target: int, divide: bool = False, most: int = 4096, cells: int = 1 << 14) -> list[tuple[int, int]]:
     """Lower ends of contiguous ranges of ids that hold about ``target`` of ``size_col`` each, the first one's left out.
 
     There are about ``most`` ranges at most: beyond that they grow with the input. The span of all ids is cut into ``cells`` cells of

@@ -125,6 +125,7 @@ def pair_grammar(ids: np.ndarray, first_symbol: int, end_id: int, least: int = 2
         left, right = (a[:-1], a[1:]) if whole else (a[live], a[live + 1])
         bits = min(20, max(8, len(left).bit_length()))
         bucket = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
+        bucket = bucket.astype(np.intp)
         bucket[(left == end_id) | (right == end_id)] = 1 << bits
         counts = np.bincount(bucket, minlength=(1 << bits) + 1)
         counts[-1] = 0
@@ -227,15 +228,22 @@ class Expander:
 
     def __call__(self, symbols: np.ndarray) -> np.ndarray:
         symbols = symbols.astype(np.int64)
-        while True:
-            long = self.lengths[symbols] > self.SHORT
-            if not long.any():
-                return ragged.gather(self.store, self.offsets[symbols], self.lengths[symbols])
-            spot = np.cumsum(1 + long) - 1 - long
-            out = np.empty(len(symbols) + int(long.sum()), np.int64)
-            out[spot[~long]] = symbols[~long]
-            out[spot[long]], out[spot[long] + 1] = self.rules[symbols[long] - self.first].T
-            symbols = out
+        long = self.lengths[symbols] > self.SHORT
+        if long.any():
+            # each distinct long symbol as a sequence of short ones
+            distinct, which = np.unique(symbols[long], return_inverse=True)
+            parts, owner = distinct, np.arange(len(distinct))
+            while (wide := self.lengths[parts] > self.SHORT).any():
+                spot = np.cumsum(1 + wide) - 1 - wide
+                out = np.empty(len(parts) + int(wide.sum()), np.int64)
+                out[spot[~wide]] = parts[~wide]
+                out[spot[wide]], out[spot[wide] + 1] = self.rules[parts[wide] - self.first].T
+                parts, owner = out, np.repeat(owner, 1 + wide)
+            n = np.bincount(owner, minlength=len(distinct))
+            place, count = np.arange(len(symbols)), np.ones(len(symbols), np.int64)
+            place[long], count[long] = (len(symbols) + np.cumsum(n) - n)[which], n[which]
+            symbols = ragged.gather(np.concatenate([symbols, parts]), place, count)
+        return ragged.gather(self.store, self.offsets[symbols], self.lengths[symbols])
 
 
 def pack(values: np.ndarray, bits: int) -> bytes:
@@ -255,10 +263,12 @@ def unpack(raw: bytes, bits: int, start: int, end: int) -> np.ndarray:
     """Numbers ``start`` to ``end`` of those that begin with ``raw``."""
     if not bits:
         return np.zeros(end - start, np.uint32)
-    spread = np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(-1, bits)[start:end]
-    full = np.zeros((end - start, 32), np.uint8)
-    full[:, 32 - bits :] = spread
-    return np.packbits(full, axis=1).view(">u4").reshape(-1).astype(np.uint32)
+    data = np.frombuffer(raw + bytes(5), np.uint8)
+    at = np.arange(start, end, dtype=np.int64) * bits
+    first, window = at >> 3, np.zeros(end - start, np.uint64)
+    for k in range(5):  # forty bits hold any number of up to 32
+        window = (window << np.uint64(8)) | data[first + k]
+    return ((window >> (np.uint64(40 - bits) - (at & 7).astype(np.uint64))) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
 def packed_bytes(n: int, bits: int) -> int:
