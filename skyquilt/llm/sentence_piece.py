@@ -5,9 +5,10 @@ character map, if the model has one; the white-space rules), metaspace marker, a
 model's scores stand for, with byte fallback. ``encode`` and ``decode`` run over a table of texts.
 
 Where no piece of the vocabulary has a marker after another character, the best segmentation of a text is made of those of its
-pieces between spaces; ``encode`` then encodes each distinct piece once, in multithreaded batches, and compares every
-one with the sentencepiece library. A piece on which the two differ gets sentencepiece's ids, and its documents are
-reported with ``parity`` false. Models for which this doesn't hold are encoded text by text, with the same comparison.
+pieces between spaces; ``encode`` then encodes each distinct piece once, in multithreaded batches, compares every one with the
+sentencepiece library, and decodes it again. The ids are those of the rebuilt tokenizer: a document with a piece on which the two libraries
+differ is reported with ``parity`` false, one with a piece that doesn't decode to itself with ``round_trip`` false. Models for which this
+doesn't hold are encoded text by text, with the same comparison. A path may be given as a function, which is called in the tasks.
 
 Defined cases: a null text is empty and has no ids; a marker character in a text decodes to a space, as in sentencepiece;
 ids and texts repeat as rows do; an empty table gives no rows; columns other than those named are ignored.
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import os
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -119,7 +120,7 @@ def build(model: Model, prefix: bool = True):
     out = Tokenizer(core)
     steps = [normalizers.Precompiled(model.char_map)] if model.char_map else []
     if model.squeeze:
-        steps += [normalizers.Strip(left=True, right=True), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if prefix and model.dummy_prefix:
         steps.append(normalizers.Prepend(MARK))
     out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
@@ -158,22 +159,6 @@ def _prefixed(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, offsets + added
 
 
-def _piece_bytes(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """What each id decodes to."""
-    texts = []
-    for p, _, kind in model.pieces:
-        if kind == BYTE:
-            texts.append(bytes([int(p[3:5], 16)]))
-        elif kind == CONTROL:
-            texts.append(b"")
-        elif kind == UNKNOWN:
-            texts.append(" ⁇ ".encode())
-        else:
-            texts.append(p.replace(MARK, " ").encode())
-    n = np.array([len(t) for t in texts], np.int64)
-    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum(n) - n, n
-
-
 class Coder:
     """Encodes and decodes columns of texts in a task."""
 
@@ -187,20 +172,21 @@ class Coder:
         self.tokenizer = build(self.model, prefix=self.whole)
         self.judge = sentencepiece.SentencePieceProcessor(model_file=path)
         self.encoder = ragged.Encoder(self._checked)
-        self.store = _piece_bytes(self.model)
 
     def _checked(self, texts: list[str]) -> list[list[int]]:
-        """Ids of pieces, each of which starts with a space; -1 ends those on which the libraries differ."""
+        """Ids of pieces, each of which starts with a space; -1 ends those on which the libraries differ, -2 those that the decoder doesn't give back."""
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         # sentencepiece puts a marker before a text itself, but not before an empty one: a lone space is judged behind a letter
         want = self.judge.encode(texts if self.whole else [t[1:] or "x " for t in texts], num_threads=1)
         if not self.whole:
             lone = len(self.judge.encode("x"))
             want = [w if t != " " else w[lone:] for t, w in zip(texts, want, strict=True)]
-        return [g if g == w else [*w, -1] for g, w in zip(got, want, strict=True)]
+        back = self.tokenizer.decode_batch(got, skip_special_tokens=False)
+        cut = 0 if self.whole or not self.model.dummy_prefix else 1
+        return [g + [-1] * (g != w) + [-2] * (b != t.replace(MARK, " ")[cut:]) for g, w, t, b in zip(got, want, texts, back, strict=True)]
 
-    def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-        """For runs of texts: first and last, all ids, how many each text has, and whether the libraries agree on it."""
+    def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For runs of texts: first and last, all ids, how many each text has, whether the libraries agree on it, and whether it decodes to itself."""
         raw, offsets = ragged.buffers(column)
         for i, j in ragged.pieces(offsets):
             part, at = raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
@@ -211,70 +197,48 @@ class Coder:
                 starts, ends, before = _starts(part, at)
             ids, n = self.encoder(part, starts, ends)
             place = np.concatenate([[0], np.cumsum(n)])[before]
-            agree = np.ones(j - i, bool)
-            if (ids < 0).any():
+            fine = []
+            for mark in (-1, -2):
+                lost = np.concatenate([[0], np.cumsum(ids == mark)])
+                fine.append(np.diff(lost[place]) == 0)
+            if not (fine[0].all() and fine[1].all()):
                 lost = np.concatenate([[0], np.cumsum(ids < 0)])
-                agree = np.diff(lost[place]) == 0
                 place = place - lost[place]
                 ids = ids[ids >= 0]
-            yield i, j, ids, np.diff(place), agree
-
-    def decode(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of all texts, and their offsets."""
-        data, at, length = self.store
-        sizes = length[ids]
-        out = ragged.gather(data, at[ids], sizes)
-        offsets = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(n)])]
-        if self.model.dummy_prefix:  # the first space of every text goes
-            first = offsets[:-1][np.diff(offsets) > 0]
-            first = first[out[first] == 0x20]
-            out = np.delete(out, first)
-            offsets = offsets - np.searchsorted(first, offsets)
-        return out, offsets
+            yield i, j, ids, np.diff(place), *fine
 
-
-OUT_SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>, parity boolean, round_trip boolean"
+    def decode(self, lists: list[list[int]]) -> list[str]:
+        return self.tokenizer.decode_batch(lists, skip_special_tokens=False)
 
 
-def _same(raw: np.ndarray, offsets: np.ndarray, back: np.ndarray, back_offsets: np.ndarray) -> np.ndarray:
-    """Which texts decode to themselves, a marker counting as a space."""
-    if len(raw) == len(back) and np.array_equal(offsets, back_offsets) and np.array_equal(raw, back):
-        return np.ones(len(offsets) - 1, bool)
-    a, b, m = raw.tobytes(), back.tobytes(), MARK.encode()
-    return np.array([a[s:e].replace(m, b" ") == b[x:y] for s, e, x, y in zip(offsets[:-1], offsets[1:], back_offsets[:-1], back_offsets[1:], strict=True)], bool)
+OUT_SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>, parity boolean, round_trip boolean"
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", threads: int = 2) -> DataFrame:
+def encode(df: DataFrame, path: str | Callable[[], str], id_col: str = "doc_id", text_col: str = "text", threads: int = 2) -> DataFrame:
     """Ids of every text, whether both libraries agree on it, and whether it decodes to itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path, threads)
+        coder = Coder(path() if callable(path) else path, threads)
         for batch in batches:
-            raw, offsets = ragged.buffers(batch.column(1))
-            for i, j, ids, n, agree in coder.encode(batch.column(1)):
-                back, back_offsets = coder.decode(ids, n)
-                ok = _same(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], back, back_offsets)
+            for i, j, ids, n, agree, back in coder.encode(batch.column(1)):
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.record_batch(
-                    [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), lists, pa.array(agree), pa.array(ok)],
+                    [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), lists, pa.array(agree), pa.array(back)],
                     names=["doc_id", "n_tokens", "ids", "parity", "round_trip"],
                 )
 
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(run, OUT_SCHEMA)
 
 
-def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """The texts of lists of ids; a null list is empty."""
+def decode(df: DataFrame, path: str | Callable[[], str], id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """The texts of lists of ids, by the rebuilt tokenizer's decoder; a null list is empty, an id outside the vocabulary decodes to nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path, 1)
+        coder = Coder(path() if callable(path) else path, 1)
         for batch in batches:
-            lists = batch.column(1)
-            n = np.diff(lists.offsets.to_numpy())
-            out, offsets = coder.decode(lists.flatten().to_numpy().astype(np.int64), n)
-            text = out.tobytes()
-            texts = [text[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+            for k in range(0, len(batch), 256):  # lists in Python are large
+                part = batch.slice(k, 256)
+                yield pa.record_batch([part.column(0), pa.array(coder.decode([[x for x in v if x is not None and x >= 0] for v in part.column(1).to_pylist()]), pa.string())], names=["doc_id", "text"])
 
     ids = F.coalesce(F.col(ids_col), F.array().cast("array<int>"))
     return df.select(F.col(id_col).cast("long").alias("doc_id"), ids.alias("ids")).mapInArrow(run, "doc_id bigint, text string")
@@ -287,9 +251,9 @@ def _path() -> str:
 
 
 def op4_sentence_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents"), _path())
+    return encode(table(spark, sf_dir, "documents"), _path)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document that the stages before it kept."""
-    return encode(docs, _path())
+    return encode(docs, _path)
