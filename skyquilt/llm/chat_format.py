@@ -8,7 +8,7 @@ one role by array functions and joins the pieces into one string::
 A block is a run of turns of one role; ``<|im_next|>`` keeps its turns apart, so that the turns can be read back.
 ``<|`` inside a text is escaped and read back the same.
 
-Defined cases: a null text or role is the empty string; a null conversation id is a conversation of its own; turns
+Defined cases: a null text or role is the empty string; all rows without a conversation id form one conversation; turns
 with equal numbers are ordered by role, then text; repeated rows stay; an empty table gives no rows; columns other
 than the named four are ignored, whatever their names.
 """
@@ -63,6 +63,18 @@ def _blocks(turns: Column) -> Column:
     )
 
 
+def starts_of(lengths: Column, chunk: int = 256) -> Column:
+    """The sum of the lengths before each. Sums run within chunks, whose own sums run apart, so that long arrays aren't copied once an entry."""
+
+    def running(values: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(values, start, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["before"], F.array(acc["at"])).alias("before")))["before"]
+
+    cut = lambda v: F.transform(F.filter(F.sequence(F.lit(0), F.floor(F.size(v) / chunk).cast("int")), lambda k: k * chunk < F.size(v)), lambda k: F.slice(v, k * chunk + 1, chunk))
+    total = lambda v: F.aggregate(v, F.lit(0), lambda a, x: a + x)
+    return let(cut(lengths), lambda chunks: F.flatten(F.zip_with(chunks, running(F.transform(chunks, total)), lambda c, base: F.transform(running(c), lambda at: at + base))))
+
+
 def format_conversations(
     df: DataFrame,
     conv_col: str = "conv_id",
@@ -103,19 +115,13 @@ def format_conversations(
             ),
         )
     )
-    spans = F.aggregate(
-        F.col("pieces"),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.char_length(p["s"])).alias("at"),
-            F.when(
-                p["loss"],
-                F.concat(acc["spans"], F.array(F.struct(acc["at"].alias("start"), F.char_length(p["s"]).alias("length")))),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
+    spans = F.filter(
+        F.zip_with(
+            "pieces", starts_of(F.transform("pieces", lambda p: F.char_length(p["s"]))), lambda p, at: F.struct(at.alias("start"), F.char_length(p["s"]).alias("length"), p["loss"].alias("loss"))
         ),
-    )["spans"]
+        lambda s: s["loss"],
+    )
+    spans = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
     return (
         merged.select("conv_id", F.size("blocks").alias("n_blocks"), pieces.alias("pieces"))
         .select("conv_id", "n_blocks", F.array_join(F.transform("pieces", lambda p: p["s"]), "").alias("formatted"), spans.alias("loss_spans"))

@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import heapq
 
+from pyarrow.fs import FileSelector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyquilt.llm.common import materialize, new_path, table
+from skyquilt.llm.files import locate
 
 SLOTS = 4096
 MAP_SCHEMA = "version int, virtual_slot int, shard int, bytes bigint"
@@ -35,6 +37,17 @@ class SlotMap:
         rows = [(version, s, shards[s], sizes[s]) for s in range(self.slots)]
         self.spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
+    def exists(self) -> bool:
+        store, path = locate(self.path if ":" in self.path else f"file://{self.path}")
+        return any(f.base_name.endswith(".parquet") for f in store.get_file_info(FileSelector(path, allow_not_found=True)))
+
+    def rebalanced(self, sizes: list[int], n_shards: int) -> int:
+        """Store the next version, edited for new sizes of slots and ``n_shards``; gives its number."""
+        rows = self.read().orderBy("virtual_slot").collect()  # one a slot
+        version = rows[0]["version"] + 1
+        self.store(version, rebalance([r["shard"] for r in rows], sizes, n_shards), sizes)
+        return version
+
     def read(self, version: int | None = None) -> DataFrame:
         """The map of one version, by default the newest."""
         every = self.spark.read.schema(MAP_SCHEMA).parquet(self.path)
@@ -110,7 +123,7 @@ def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots
         (F.octet_length(raw) + 1).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
         F.pmod(key, F.lit(slots)).cast("int").alias("virtual_slot"),
-        F.pmod(F.xxhash64(key, F.lit(1)), F.lit(1 << 20)).cast("int").alias("spread"),
+        F.pmod(F.xxhash64(key, F.crc32(raw)), F.lit(1 << 20)).cast("int").alias("spread"),
     )
 
 
@@ -119,17 +132,18 @@ def assign_shards(
 ) -> DataFrame:
     """Every row with its shard and its position in it: ``id size text_crc32 virtual_slot shard version position``.
 
-    ``map_path`` is where the map is kept; its newest version is used as it is, and version 1 is made where there is none yet.
+    ``map_path`` is where the map is kept; its newest version is used as it is (``n_shards`` then says nothing; ``SlotMap.rebalanced`` changes it), and
+    version 1 is made where there is none yet.
     Positions count from 0 in each shard without gaps: by slot, then by cells of a slot (as many as keep
     a cell near ``cell_rows``), then by id. No task sorts more than a cell.
     """
     spark = df.sparkSession
     rows = materialize(records(df, id_col, text_col, slots), "records")
-    if map_path is None:
-        map_path = new_path(spark, "slot-map")
+    slot_map = SlotMap(spark, map_path or new_path(spark, "slot-map"), slots)
+    if not slot_map.exists():
         sizes = slot_sizes(rows, slots)
-        SlotMap(spark, map_path, slots).store(1, first_map(sizes, n_shards), sizes)
-    mapped = SlotMap(spark, map_path, slots).read().select("virtual_slot", "shard", "version")
+        slot_map.store(1, first_map(sizes, n_shards), sizes)
+    mapped = slot_map.read().select("virtual_slot", "shard", "version")
     most = rows.groupBy("virtual_slot").count().agg(F.max("count")).first()[0] or 0
     cells = max(1, -(-most // cell_rows))
     placed = rows.join(F.broadcast(mapped), "virtual_slot").withColumn("cell", (F.col("spread") % cells).cast("int"))
