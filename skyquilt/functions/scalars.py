@@ -36,6 +36,12 @@ def grid_square(product_name) -> Column:
     return F.struct(part(1).cast("int").alias("zone"), part(2).alias("band"), part(3).alias("square"))
 
 
+def phenology_file(name) -> Column:
+    """Year, tile, version and quantity in the name of a phenology product, ``VPP_2019_S2_T33VXF-010m_V101_s1_SOSD.tif``."""
+    part = lambda k: F.nullif(F.regexp_extract(col(name), r"^VPP_(\d{4})_S2_(T\d{2}[A-Z]{3})-\d+m_V(\d+)_s(\d)_([A-Z]+)", k), F.lit(""))
+    return F.struct(part(1).cast("int").alias("year"), part(2).alias("tile"), part(3).alias("version"), part(4).cast("int").alias("season"), part(5).alias("quantity"))
+
+
 def month_windows(text) -> Column:
     """``"4-5,6-7"`` as an array of first and last months."""
     return F.transform(F.split(col(text), ","), lambda w: F.struct(F.split(w, "-")[0].cast("int").alias("first"), F.split(w, "-")[1].cast("int").alias("last")))
@@ -199,6 +205,12 @@ def snap_out(west, south, east, north, step: float = 10) -> Column:
     return F.struct(low(west).alias("west"), low(south).alias("south"), high(east).alias("east"), high(north).alias("north"))
 
 
+def map_box(x_min, y_min, x_max, y_max, west: float, north: float, step: float = 10) -> Column:
+    """A box in pixels, rows from the north, as a box on the map."""
+    e, n = (lambda x: F.lit(west) + col(x) * step), (lambda y: F.lit(north) - col(y) * step)
+    return F.struct(e(x_min).alias("west"), n(y_max).alias("south"), e(x_max).alias("east"), n(y_min).alias("north"))
+
+
 def centred_box(easting, northing, size_px: int, step: float = 10) -> Column:
     half = size_px * step / 2
     e, n = col(easting), col(northing)

@@ -130,8 +130,11 @@ def decibel(x) -> Column:
 def stretch(df: DataFrame, bands: list[str], low: float = 0.02, high: float = 0.98, exclude: Column | None = None) -> DataFrame:
     """Each band scaled to [0, 1] between two of its percentiles; ``exclude``: rows that don't count for those."""
     kept = df if exclude is None else df.where(~F.coalesce(exclude, F.lit(False)))
-    limits = kept.agg(*[F.percentile(b, F.array(F.lit(low), F.lit(high))).alias(f"__{b}") for b in bands])
-    out = df.join(F.broadcast(limits), F.lit(True))  # one row
+    from skyquilt.operators.aggregates import exact_percentiles
+
+    out = df
+    for b in bands:  # one row each
+        out = out.join(F.broadcast(exact_percentiles(kept, b, [low, high]).select(F.col("p").alias(f"__{b}"))), F.lit(True))
     for b in bands:
         lo, hi = F.col(f"__{b}")[0], F.col(f"__{b}")[1]
         out = out.withColumn(b, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(b) - lo) / F.greatest(hi - lo, F.lit(1e-6)))))

@@ -39,13 +39,44 @@ def best_per(df: DataFrame, keys: list[str], value: str, missing: float | None =
     return df.groupBy(*keys).agg(F.min(v).alias(value))
 
 
+def exact_percentiles(df: DataFrame, value: str, shares: list[float], keys: list[str] = (), buckets: int = 64) -> DataFrame:
+    """``p``, the exact percentiles (interpolated) of the values that aren't null, and ``n``, their number, for each key.
+
+    Values are counted, cut into ranges, and ranked range by range, with the ranges' offsets added: neither a task nor a buffer holds all
+    values of a key.
+    """
+    keys, at = list(keys), [f"__h{i}" for i in range(len(shares))]
+    counts = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
+    cuts = counts.groupBy(*keys).agg(F.percentile_approx("__v", [k / buckets for k in range(1, buckets)], 10000).alias("__cuts"))
+    joined = counts.join(cuts, keys) if keys else counts.join(F.broadcast(cuts), F.lit(True))
+    ranged = joined.withColumn("__r", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
+    sums = ranged.groupBy(*keys, "__r").agg(F.sum("__n").alias("__s"))
+    w = Window.partitionBy(*keys)  # at most ``buckets`` rows a key
+    sums = sums.select(*keys, "__r", (F.sum("__s").over(w.orderBy("__r")) - F.col("__s")).alias("__o"), F.sum("__s").over(w).alias("__all"))
+    run = Window.partitionBy(*keys, "__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    c = ranged.join(sums, [*keys, "__r"]).withColumn("__to", F.col("__o") + F.sum("__n").over(run)).withColumn("__from", F.col("__to") - F.col("__n"))
+    c = c.withColumns({h: F.lit(float(q)) * (F.col("__all") - 1) for h, q in zip(at, shares, strict=True)})
+    value_at = lambda k: F.max(F.when((F.col("__from") <= k) & (k < F.col("__to")), F.col("__v")))
+    ends = [x.alias(f"{h}{side}") for h in at for side, x in (("a", value_at(F.floor(h))), ("b", value_at(F.ceil(h))))]
+    g = c.groupBy(*keys).agg(F.max("__all").alias("n"), *ends)
+
+    def between(h: str, q: float) -> Column:
+        place = F.lit(float(q)) * (F.col("n") - 1)
+        a, b = F.col(f"{h}a"), F.col(f"{h}b")
+        return F.when(a == b, a).otherwise((F.ceil(place) - place) * a + (place - F.floor(place)) * b)
+
+    return g.select(*keys, F.array(*[between(h, q) for h, q in zip(at, shares, strict=True)]).alias("p"), "n")
+
+
 def robust_stats(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
     """Count, mean, median, 95th percentile and greatest of the finite values."""
-    v = F.col(value).cast("double")
+    keys, v = list(keys), F.col(value).cast("double")
     ok = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
-    return df.groupBy(*keys).agg(
-        F.count(ok).alias("n"), F.avg(ok).alias("mean"), F.percentile(ok, F.lit(0.5)).alias("p50"), F.percentile(ok, F.lit(0.95)).alias("p95"), F.max(ok).alias("max")
-    )
+    finite = df.select(*keys, ok.alias("__ok"))
+    a = finite.groupBy(*keys).agg(F.count("__ok").alias("n"), F.avg("__ok").alias("mean"), F.max("__ok").alias("max"))
+    p = exact_percentiles(finite, "__ok", [0.5, 0.95], keys).drop("n")
+    joined = a.join(p, keys, "left") if keys else a.join(F.broadcast(p), F.lit(True), "left")
+    return joined.select(*keys, "n", "mean", F.col("p")[0].alias("p50"), F.col("p")[1].alias("p95"), "max")
 
 
 def hour_means(df: DataFrame, ts: str, value: str, hours: list[int]) -> DataFrame:
@@ -62,15 +93,23 @@ def channel_moments(df: DataFrame, group: str, channels: list[str]) -> DataFrame
     )
 
 
-def modal_class(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """The most frequent value of each key; the lowest of equally frequent ones."""
+def modal_class(df: DataFrame, keys: list[str], value: str, tie: str = "lowest") -> DataFrame:
+    """The most frequent value of each key; the lowest or the highest of equally frequent ones."""
     n = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    return n.groupBy(*keys).agg(F.max_by(value, F.struct(F.col("n"), -F.col(value))).alias(value), F.max("n").alias("n"))
+    order = F.col(value) if tie == "highest" else -F.col(value)
+    return n.groupBy(*keys).agg(F.max_by(value, F.struct(F.col("n"), order)).alias(value), F.max("n").alias("n"))
+
+
+def ledger_groups(df: DataFrame, group: str, cohort: str) -> DataFrame:
+    """Rows and cohorts of each group, the cohorts' names (a few a group), and whether it has several."""
+    n = df.groupBy(group, cohort).agg(F.count("*").alias("n"))
+    g = n.groupBy(group).agg(F.sum("n").alias("n"), F.count("*").alias("cohorts"), F.array_join(F.array_sort(F.collect_list(cohort)), ",").alias("held"))
+    return g.withColumn("several", F.col("cohorts") > 1)
 
 
 def histogram(df: DataFrame, value: str, bins: int, low: float = 0.01, high: float = 0.99, keys: list[str] = ()) -> DataFrame:
     """Counts of ``bins`` equal bins between two percentiles; values beyond fall into the outer bins. Columns lo, hi, bin, n."""
-    limits = df.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(low), F.lit(high))).alias("__p"))
+    limits = exact_percentiles(df, value, [low, high], keys).withColumnRenamed("p", "__p").drop("n")
     joined = df.join(limits, list(keys)) if keys else df.join(F.broadcast(limits), F.lit(True))
     lo, hi = F.col("__p")[0], F.col("__p")[1]
     at = F.floor((F.col(value) - lo) / F.greatest(hi - lo, F.lit(1e-12)) * (bins - 1))

@@ -9,14 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; a local session without the setting has one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    folder = folder or "file:///tmp/checkpoints/skyquilt"
+    return (folder if ":" in folder else f"file://{folder}").rstrip("/")
+
+
 def _table(df: DataFrame) -> DataFrame:
     """Written to the checkpoint folder: each round starts from files, not from all rounds before."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     if spark.sparkContext.getCheckpointDir() is None:
-        if not folder and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(folder or "file:///tmp/checkpoints/skyquilt")
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 

@@ -148,3 +148,41 @@ def without_near(new: DataFrame, old: DataFrame, x: str, y: str, cell: float, re
     taken = old.select(cx.alias("__x"), cy.alias("__y")).distinct().withColumn("__dx", F.explode(around)).withColumn("__dy", F.explode(around))
     taken = taken.select((F.col("__x") + F.col("__dx")).alias("__x"), (F.col("__y") + F.col("__dy")).alias("__y")).distinct()
     return new.withColumns({"__x": cx, "__y": cy}).join(taken, ["__x", "__y"], "left_anti").drop("__x", "__y")
+
+
+def within_distance(points: DataFrame, others: DataFrame, xy: tuple[str, str], xy2: tuple[str, str], distance: float, keep: list[str]) -> DataFrame:
+    """Points with one of the others at ``distance`` or less, by cells of that size and the eight around them."""
+    cell = lambda c: F.floor(F.col(c) / distance).cast("long")
+    near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    dealt = others.withColumn("__n", near).select(*xy2, (cell(xy2[0]) + F.col("__n.i")).alias("__x"), (cell(xy2[1]) + F.col("__n.j")).alias("__y"))
+    close = (F.col(xy[0]) - F.col(xy2[0])) ** 2 + (F.col(xy[1]) - F.col(xy2[1])) ** 2 <= distance * distance
+    a = points.withColumns({"__x": cell(xy[0]), "__y": cell(xy[1])}).alias("a")
+    b = dealt.alias("b")
+    return a.join(b, (F.col("a.__x") == F.col("b.__x")) & (F.col("a.__y") == F.col("b.__y")) & close, "left_semi").select(*keep)
+
+
+def class_beneath(points: DataFrame, raster: DataFrame, row: str, column: str, rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
+    """Points with what the raster (row, col) has beneath them; those beyond its edge are moved to the edge."""
+    clamp = lambda c, r: F.least(F.greatest(F.col(c), F.lit(r[0])), F.lit(r[1]))
+    return points.withColumns({"row": clamp(row, rows).cast("long"), "col": clamp(column, cols).cast("long")}).join(raster, ["row", "col"])
+
+
+def resolve_boxes(tiles: DataFrame, manifest: DataFrame, size_px: int, step: float = 10) -> DataFrame:
+    """``resolved``, a tile's box of the size asked for, around the first centre that is known: its easting and northing, those in its name, its
+    stored box's, the manifest's (``name``, ``known``: west, south, east, north); and its ``source`` (null without any)."""
+    from skyquilt.functions.scalars import centred_box, name_coordinates
+
+    j = tiles.join(manifest, "name", "left")
+    middle = lambda b: F.when(F.col(b).isNotNull(), F.struct(F.floor((F.get(b, F.lit(0)) + F.get(b, F.lit(2))) / 2).alias("easting"), F.floor((F.get(b, F.lit(1)) + F.get(b, F.lit(3))) / 2).alias("northing")))
+    keys = F.when(F.col("easting").isNotNull() & F.col("northing").isNotNull(), F.struct(F.col("easting").cast("long").alias("easting"), F.col("northing").cast("long").alias("northing")))
+    named = [("keys", keys), ("name", name_coordinates("name")), ("box", middle("box")), ("manifest", middle("known"))]
+    j = j.withColumn("__c", F.coalesce(*[c for _, c in named]))
+    source = F.coalesce(*[F.when(c.isNotNull(), F.lit(n)) for n, c in named])
+    return j.withColumn("source", source).withColumn("resolved", F.when(F.col("__c").isNotNull(), centred_box("__c.easting", "__c.northing", size_px, step))).drop("__c", "known")
+
+
+def copy_forward(tiles: DataFrame, originals: DataFrame, key: str, value: str) -> DataFrame:
+    """Tiles without a value take that of the original with their key; ``how``: kept, copied or missing."""
+    j = tiles.join(originals.select(key, F.col(value).alias("__v")), key, "left")
+    how = F.when(F.col(value).isNotNull(), "kept").when(F.col("__v").isNotNull(), "copied").otherwise("missing")
+    return j.withColumn("how", how).withColumn(value, F.coalesce(value, "__v")).drop("__v")

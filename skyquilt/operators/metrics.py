@@ -94,4 +94,19 @@ def roc_pr(df: DataFrame, score: str, positive: Column, buckets: int = 64) -> Da
 
 
 def percentiles_of(df: DataFrame, value: str) -> DataFrame:
-    return df.agg(*[F.percentile(value, F.lit(p / 100)).alias(f"p{p}") for p in (10, 50, 90)])
+    from skyquilt.operators.aggregates import exact_percentiles
+
+    p = exact_percentiles(df, value, [0.1, 0.5, 0.9])
+    return p.select(*[F.col("p")[k].alias(n) for k, n in enumerate(("p10", "p50", "p90"))])
+
+
+def auroc_by_class(df: DataFrame, cls: str, score: str, positive: Column) -> DataFrame:
+    """Area under the ROC of each class, ties half, and its rows: the rows are counted by score first, and a class's distinct scores ranked. NaN with one kind only.
+
+    For scores of few values (counts, rounded shares); ``roc_pr`` ranks by ranges where they are as many as the rows.
+    """
+    h = df.groupBy(cls, score).agg(F.count_if(positive).alias("a"), F.count_if(~positive).alias("b"))
+    up = Window.partitionBy(cls).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    h = h.withColumn("below", F.coalesce(F.sum("b").over(up), F.lit(0)))
+    area = F.sum(F.col("a") * (F.col("below") + F.col("b") / 2)) / F.nullif((F.sum("a") * F.sum("b")).cast("double"), F.lit(0.0))
+    return h.groupBy(cls).agg(F.coalesce(area, F.lit(float("nan"))).alias("auroc"), F.sum(F.col("a") + F.col("b")).alias("plots"))

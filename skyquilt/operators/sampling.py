@@ -25,10 +25,13 @@ def md5_split(name, held_out: int = 10) -> Column:
 
 
 def zone_split(df: DataFrame, zone: str, order: list[str], val: float, test: float, least_val: int) -> DataFrame:
-    """Within each zone, by place: the first rows are for testing, a block amid the rest for validation, the others for training."""
-    n = F.count("*").over(Window.partitionBy(zone))
-    k = F.row_number().over(Window.partitionBy(zone).orderBy(*order)) - 1
-    out = df.withColumns({"__n": n, "__k": k})
+    """Within each zone, by place: the first rows are for testing, a block amid the rest for validation, the others for training.
+
+    Places in a zone come from ranks over all rows, zone by zone, less the rows of the zones before.
+    """
+    before = Window.orderBy(zone).rowsBetween(Window.unboundedPreceding, -1)  # one row a zone
+    zones = df.groupBy(zone).agg(F.count("*").alias("__n")).withColumn("__o", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    out = with_rank(df, [zone, *order]).join(zones, zone).withColumn("__k", F.col("rank") - F.col("__o")).drop("rank", "__o")
     n_test = F.when(F.col("__n") >= 5, F.greatest(F.lit(1), F.floor(F.col("__n") * test))).otherwise(0)
     n_val = F.greatest(F.lit(0), F.least(F.greatest(F.lit(least_val), F.floor(F.col("__n") * val)), F.col("__n") - n_test - 1))
     rest = F.col("__n") - n_test
@@ -41,12 +44,22 @@ def zone_split(df: DataFrame, zone: str, order: list[str], val: float, test: flo
 
 
 def stratified_split(df: DataFrame, strata: list[str], name: str, seed: int = 42, train: float = 0.8, val: float = 0.1) -> DataFrame:
-    """In each stratum, in hash order: the floor of each share, and what is left for testing."""
-    n = F.count("*").over(Window.partitionBy(*strata))
+    """In each stratum, in hash order: the floor of each share, and what is left for testing.
+
+    A stratum is cut into 256 parts by the first byte of the hash, which are ranked apart.
+    """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(name).cast("string")))
-    k = F.row_number().over(Window.partitionBy(*strata).orderBy(digest, F.col(name))) - 1
-    a, b = F.floor(n * train), F.floor(n * val)
-    return df.withColumn("split", F.when(k < a, "train").when(k < a + b, "val").otherwise("test"))
+    d = df.withColumn("__d", digest).withColumn("__b", F.substring("__d", 1, 2))
+    w = Window.partitionBy(*strata)
+    parts = d.groupBy(*strata, "__b").agg(F.count("*").alias("__c"))
+    parts = parts.select(*strata, "__b", (F.sum("__c").over(w.orderBy("__b")) - F.col("__c")).alias("__o"), F.sum("__c").over(w).alias("__n"))
+    k = F.col("__o") + F.row_number().over(Window.partitionBy(*strata, "__b").orderBy("__d", name)) - 1
+    same = F.lit(True)
+    for c in [*strata, "__b"]:
+        same = same & F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
+    ranked = d.alias("x").join(parts.alias("y"), same).select("x.*", F.col("__o"), F.col("__n")).withColumn("__k", k)
+    a, b = F.floor(F.col("__n") * train), F.floor(F.col("__n") * val)
+    return ranked.withColumn("split", F.when(F.col("__k") < a, "train").when(F.col("__k") < a + b, "val").otherwise("test")).drop("__d", "__b", "__o", "__n", "__k")
 
 
 def latitude_split(lat, test_below: float, val_below: float) -> Column:
@@ -91,9 +104,13 @@ def hash_sample(df: DataFrame, keys: list[str], k: int, seed: int, *unique: str)
 
 
 def with_rank(df: DataFrame, order: list[str], buckets: int = 64) -> DataFrame:
-    """``rank`` from 0 of every row in total order: ranks within ranges of the first column, and the ranges' offsets."""
-    cuts = df.agg(F.percentile_approx(F.col(order[0]).cast("double"), [k / buckets for k in range(1, buckets)], 10000).alias("__cuts"))
-    ranged = df.join(F.broadcast(cuts), F.lit(True)).withColumn("__b", F.coalesce(F.size(F.filter("__cuts", lambda c: c <= F.col(order[0]).cast("double"))), F.lit(-1))).drop("__cuts")
+    """``rank`` from 0 of every row in total order, columns of any type: ranks within ranges of the whole order, and the ranges' offsets.
+
+    Spark deals the rows to ranges, which are written, so that sizes and ranks are of the same ranges.
+    """
+    from skyquilt.operators.iterative import _table
+
+    ranged = _table(df.repartitionByRange(buckets, *order).withColumn("__b", F.spark_partition_id()))
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     offsets = ranged.groupBy("__b").agg(F.count("*").alias("__n")).select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
     inside = F.row_number().over(Window.partitionBy("__b").orderBy(*order)) - 1

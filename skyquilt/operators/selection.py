@@ -84,11 +84,25 @@ def slot_dates(dates: DataFrame, slots: DataFrame, tile: str, strict_cloud: floa
     return best.join(whole, tile, "left_semi").select(tile, "slot", "date", "tier")
 
 
+def absent_or(paths: list[str], json: str, wanted: list[str]) -> Column:
+    """Whether the first of the properties that a row has is one of those wanted, or it has none."""
+    found = F.coalesce(*[F.get_json_object(json, p) for p in paths], F.lit(""))
+    return (found == "") | found.isin(*wanted)
+
+
+def rescore(df: DataFrame, first: list[str], n: int, better: Column, order: list[str]) -> DataFrame:
+    """The ``n`` best rows by one order with a better measure, which is taken of them alone, and their ``rank`` by it. Other columns go."""
+    best = df.orderBy(*first).limit(n).select(first[-1], better)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # n rows
+
+
 def diverse(df: DataFrame, cls: str, score: str, unique: str, n: int) -> DataFrame:
-    """``n`` rows: the best of every class in order of score, then the best of the rest."""
-    own = Window.partitionBy(cls).orderBy(F.desc(score), F.col(unique))
-    ranked = df.withColumn("__k", F.row_number().over(own))
-    return ranked.orderBy((F.col("__k") > 1).cast("int"), F.desc(score), F.col(unique)).limit(n).drop("__k")
+    """``n`` rows: the best of every class in order of score, then the best of the rest: of each class its best row, found by
+    an aggregate, and the ``n`` best of the others, found task by task."""
+    order = F.struct(F.col(score), -F.col(unique))
+    heads = df.groupBy(cls).agg(F.max_by(F.struct(*df.columns), order).alias("r")).select("r.*", F.lit(0).alias("__k"))
+    more = df.join(heads.select(unique), unique, "left_anti").orderBy(F.desc(score), F.col(unique)).limit(n).withColumn("__k", F.lit(1))
+    return heads.unionByName(more).orderBy("__k", F.desc(score), F.col(unique)).limit(n).drop("__k")
 
 
 def every_nth(df: DataFrame, order: list[str], n: int) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from skyquilt.functions.spectral import normalized_difference
 
 
 @dataclass
@@ -48,3 +51,29 @@ class Registry:
             except Exception as error:  # one analyzer's failure is its own
                 out.append(Result(name, False, error=f"{type(error).__name__}: {error}"))
         return out
+
+
+#: The library's own analyzers, in the order they run.
+ANALYZERS = Registry()
+
+
+@ANALYZERS.add("brightness")
+def brightness(df: DataFrame, key: str) -> DataFrame:
+    """Mean value of each key."""
+    return df.groupBy(key).agg(F.avg("value").alias("mean"))
+
+
+@ANALYZERS.add("change")
+def change(df: DataFrame, previous: dict[str, DataFrame], above: float) -> DataFrame:
+    """Keys whose mean, as found before, lies above a limit."""
+    return previous["brightness"].where(F.col("mean") > above)
+
+
+@ANALYZERS.add("vegetation")
+def vegetation(df: DataFrame) -> DataFrame:
+    return df.select(normalized_difference("nir", "red").alias("ndvi"))
+
+
+@ANALYZERS.add("water")
+def water(df: DataFrame, band: str = "red") -> DataFrame:
+    return df.select(normalized_difference(band, "nir").alias("ndwi"))

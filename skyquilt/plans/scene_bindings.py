@@ -215,12 +215,12 @@ def last_failures(s, d):
 
 
 @query(
-    """WITH f AS (SELECT DISTINCT l_orderkey AS o, l_linenumber - 1 AS j FROM lineitem WHERE l_linenumber <= 4)
+    """WITH f AS (SELECT DISTINCT l_orderkey AS o, least(l_linenumber, 4) - 1 AS j FROM lineitem)
     SELECT o AS l_orderkey, i::INT AS frame, (arg_min(j, abs(i - j) * 10 + CASE j WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 0 THEN 3 ELSE 4 END))::INT AS filled_from FROM f, range(0, 4) r(i) GROUP BY 1, 2"""
 )
 def fill_frames(s, d):
     """W-13: empty frames take the nearest one, summer first."""
-    have = t(s, d, "lineitem").where("l_linenumber <= 4").groupBy("l_orderkey").agg(F.collect_set("l_linenumber").alias("have"))
+    have = t(s, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set(F.least("l_linenumber", F.lit(4))).alias("have"))
     x = have.select("l_orderkey", F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: F.array_contains("have", i)).alias("filled"))
     return x.select("l_orderkey", F.posexplode(S.nearest_filled("filled", "filled", [1, 2, 0, 3])).alias("frame", "filled_from"))
 
@@ -330,27 +330,27 @@ def forest_classes(s, d):
 
 
 @query(
-    """SELECT l_returnflag AS tile, l_suppkey AS row, l_linestatus AS col, """ + ", ".join(f"nullif(count(*) FILTER (WHERE l_linenumber = {k}), 0) AS slot_{k}" for k in (1, 2, 3, 4)) + " FROM lineitem WHERE l_linenumber <= 4 GROUP BY 1, 2, 3"
+    """SELECT l_returnflag AS tile, l_suppkey AS row, l_linestatus AS col, """ + ", ".join(f"nullif(count(*) FILTER (WHERE l_linenumber = {k}), 0) AS slot_{k}" for k in range(1, 8)) + " FROM lineitem GROUP BY 1, 2, 3"
 )
 def frame_cube(s, d):
     """K-17: the frames of a tile side by side."""
-    n = t(s, d, "lineitem").where("l_linenumber <= 4").groupBy(F.col("l_returnflag").alias("tile"), F.col("l_suppkey").alias("row"), F.col("l_linestatus").alias("col"), F.col("l_linenumber").alias("slot")).agg(F.count("*").alias("n"))
-    return R.frame_cube(n, [1, 2, 3, 4], "n")
+    n = t(s, d, "lineitem").groupBy(F.col("l_returnflag").alias("tile"), F.col("l_suppkey").alias("row"), F.col("l_linestatus").alias("col"), F.col("l_linenumber").alias("slot")).agg(F.count("*").alias("n"))
+    return R.frame_cube(n, list(range(1, 8)), "n")
 
 
-@query(f"WITH {_PIXELS} SELECT a.row, a.col, a.mask, b.mask AS moved FROM px a JOIN px b ON a.row = b.row + 1 AND a.col = b.col + 2")
+@query(f"WITH {_PIXELS} SELECT a.tile, a.row, a.col, a.mask, b.mask AS moved FROM px a JOIN px b ON a.tile = b.tile AND a.row = b.row + 1 AND a.col = b.col + 2")
 def aligned_grids(s, d):
     """K-1: one grid moved onto another, where both have data."""
     p = _pixels(s, d)
-    return R.aligned(p, p.withColumnRenamed("mask", "moved"), 1, 2).select("row", "col", "mask", "moved")
+    return R.aligned(p, p.withColumnRenamed("mask", "moved"), 1, 2).select("tile", "row", "col", "mask", "moved")
 
 
 @query(
-    f"""WITH {_PIXELS}, w AS (SELECT p.row, p.col, dy, dx, q.mask AS v FROM (SELECT * FROM px WHERE mask = 1) p, range(-1, 2) a(dy), range(-1, 2) b(dx) LEFT JOIN px q ON q.row = p.row + dy AND q.col = p.col + dx)
-    SELECT row, col, string_agg(coalesce(v::VARCHAR, '-'), '' ORDER BY dy, dx) AS patch FROM w GROUP BY 1, 2"""
+    f"""WITH {_PIXELS}, w AS (SELECT p.tile, p.row, p.col, dy, dx, q.mask AS v FROM (SELECT * FROM px WHERE mask = 1) p, range(-1, 2) a(dy), range(-1, 2) b(dx) LEFT JOIN px q ON q.tile = p.tile AND q.row = p.row + dy AND q.col = p.col + dx)
+    SELECT tile, row, col, string_agg(coalesce(v::VARCHAR, '-'), '' ORDER BY dy, dx) AS patch FROM w GROUP BY 1, 2, 3"""
 )
 def context_patches(s, d):
     """K-15: the square around each set pixel, as text; - lies outside."""
     p = _pixels(s, d)
     got = R.patches(p, p.where("mask = 1"), "mask", 1)
-    return got.select("row", "col", F.array_join(F.transform("patch", lambda v: v.cast("string")), "", "-").alias("patch"))
+    return got.select("tile", "row", "col", F.array_join(F.transform("patch", lambda v: v.cast("string")), "", "-").alias("patch"))

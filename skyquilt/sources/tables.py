@@ -72,7 +72,7 @@ def manifest(digests: DataFrame) -> DataFrame:
 
 def write_splits(df: DataFrame, split: str, name: str, path: str) -> None:
     """Names of each split, sorted, in a folder of its own."""
-    df.select(split, name).repartition(split).sortWithinPartitions(split, name).write.partitionBy(split).text(path)
+    df.select(split, F.col(name).cast("string").alias(name)).repartition(split).sortWithinPartitions(split, name).write.partitionBy(split).text(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> None:

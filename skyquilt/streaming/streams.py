@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,31 +61,30 @@ def adaptive_limits(df: DataFrame, key: str, order: str, ok: str, start: int = 4
     return df.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, limit int, events int", "limit int, run int", "update", "NoTimeout")
 
 
-def upsert_into(path: str, keys: list[str], version: Column):
-    """A ``foreachBatch`` sink that keeps the newest row of each key in a Parquet table.
+def upsert_into(path: str, keys: list[str], version: Column, buckets: int = 64):
+    """A ``foreachBatch`` sink that keeps the newest row of each key in a Parquet table, in ``buckets`` partitions by hash of the keys.
 
-    The new table is written beside the old one, under the batch's number, and a pointer file names it: a batch that runs again writes the same.
+    A batch rewrites the partitions of its keys alone, each replaced when it is complete; one that runs again finds its own rows there, and writes the same.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        pointer = f"{path}/current"
-        fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        every = batch
-        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(pointer)):
-            at = spark.read.text(pointer).orderBy(F.desc("value")).first()["value"]
-            if int(at) < number:
-                every = batch.unionByName(spark.read.parquet(f"{path}/version-{at}"), allowMissingColumns=True)
-        newest = every.groupBy(*keys).agg(F.max_by(F.struct(*every.columns), version).alias("r")).select("r.*")
-        newest.write.mode("overwrite").parquet(f"{path}/version-{number:08d}")
-        spark.createDataFrame([(f"{number:08d}",)], "value string").coalesce(1).write.mode("append").text(pointer)
+        every = batch.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        try:
+            held = spark.read.parquet(path)
+        except AnalysisException:  # the first batch
+            held = None
+        if held is not None:
+            touched = F.broadcast(every.select("__bucket").distinct())  # at most ``buckets`` rows
+            every = every.unionByName(held.join(touched, "__bucket", "left_semi"), allowMissingColumns=True)
+        newest = every.groupBy("__bucket", *keys).agg(F.max_by(F.struct(*[c for c in every.columns if c != "__bucket"]), version).alias("r")).select("__bucket", "r.*")
+        newest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__bucket").parquet(path)
 
     return sink
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    at = spark.read.text(f"{path}/current").agg(F.max("value")).first()[0]
-    return spark.read.parquet(f"{path}/version-{at}")
+    return spark.read.parquet(path).drop("__bucket")
 
 
 def run_once(df: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyquilt.operators import joins as J
-from skyquilt.plans import bindings, scene_bindings  # noqa: F401  adds its queries
+from skyquilt.plans import audit_bindings, bindings, scene_bindings  # noqa: F401  the others add their queries
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -66,3 +66,57 @@ def test_boxes_pair_once(spark):
     b = spark.createDataFrame([(2, 50.0, 50.0, 300.0, 300.0), (3, 250.0, 0.0, 260.0, 10.0), (4, 251.0, 0.0, 260.0, 10.0)], "j int, w2 double, s2 double, e2 double, n2 double")
     got = J.overlapping_boxes(a, b, ("w", "s", "e", "n"), ("w2", "s2", "e2", "n2"), 100).select("i", "j").collect()
     assert sorted(tuple(r) for r in got) == [(1, 2), (1, 3)]
+
+
+def test_components_of_all_links(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/lineitem.parquet").selectExpr("l_suppkey * 2", "l_partkey * 2 + 1").distinct().collect()]
+    parent = {x: x for r in rows for x in r}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in rows:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    got = {r.id: r.component for r in bindings.QUERIES["linked_components"](spark, DATA).collect()}
+    assert got == {x: find(x) for x in parent}
+
+
+def test_set_cover_takes_the_best_each_round(spark):
+    li = spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_suppkey", "l_partkey")
+    sizes = {r.p_partkey: r.p_size for r in spark.read.parquet(f"{DATA}/part.parquet").collect()}
+    covers = {}
+    for r in li.collect():
+        covers.setdefault(r.l_suppkey, set()).add(sizes[r.l_partkey])
+    left, want = set().union(*covers.values()), []
+    while left:
+        best = min(covers, key=lambda k: (-len(covers[k] & left), k))
+        want.append((best, len(covers[best] & left)))
+        left -= covers[best]
+    got = bindings.QUERIES["set_cover"](spark, DATA).orderBy("round").collect()
+    assert [(r.l_suppkey, r.covered) for r in got] == want
+
+
+def test_exact_percentiles(spark):
+    import numpy as np
+
+    from skyquilt.operators.aggregates import exact_percentiles
+
+    rng = np.random.default_rng(0)
+    rows = [(k, float(v)) for k in range(3) for v in rng.zipf(1.5, 500 * k + 1) % 1000] + [(0, None)]
+    got = {r.k: r for r in exact_percentiles(spark.createDataFrame(rows, "k int, v double"), "v", [0.0, 0.013, 0.5, 0.99, 1.0], ["k"]).collect()}
+    for k in range(3):
+        v = [x for j, x in rows if j == k and x is not None]
+        assert got[k].n == len(v) and np.allclose(got[k].p, np.percentile(v, [0, 1.3, 50, 99, 100]))
+    assert exact_percentiles(spark.createDataFrame([], "v double"), "v", [0.5]).first().n is None
+
+
+def test_ranks_by_any_columns(spark):
+    from skyquilt.operators.sampling import with_rank
+
+    rows = [("ab"[i % 2], None if i % 7 == 0 else i * 37 % 101, i) for i in range(300)]
+    got = [(r.rank, r.x, r.y, r.z) for r in with_rank(spark.createDataFrame(rows, "x string, y int, z int"), ["x", "y", "z"], 8).orderBy("rank").collect()]
+    want = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
+    assert [g[1:] for g in got] == want and [g[0] for g in got] == list(range(300))
