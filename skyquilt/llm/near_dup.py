@@ -227,7 +227,7 @@ def _across(least: int, every: bool):
         out = pd.DataFrame({"a": np.minimum(nodes[a], nodes[b]), "b": np.maximum(nodes[a], nodes[b]), "x": np.minimum(component[a], component[b]), "y": np.maximum(component[a], component[b]), "score": score})
         if not every:
             out = out.sort_values(["score", "a", "b"], ascending=[False, True, True]).drop_duplicates(["x", "y"])
-        return out[["a", "b"]].drop_duplicates()
+        return out[["a", "b"]].drop_duplicates().assign(bucket=key[0])[["bucket", "a", "b"]]
 
     return run
 
@@ -284,8 +284,10 @@ def near_duplicates(
     members = materialize(nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket")), "bands")
     least = 0 if weighted else sketch_least(bands * rows, threshold)
 
-    centres = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("size")).where("size > 1")
-    centres = materialize(centres, "buckets")
+    # of buckets with the same members one counts; members are told by two sums of hashes
+    sums = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
+    centres = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("size"), *sums).where("size > 1")
+    centres = materialize(centres.groupBy("centre", "size", "x1", "x2").agg(F.min("bucket").alias("bucket")).select("bucket", "centre", "size"), "buckets")
     stars = materialize(members.join(centres, "bucket").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     both = stars.join(sketches.toDF("a", "a_sketch"), "a").join(sketches.toDF("b", "b_sketch"), "b").select("a", "b", "a_sketch", "b_sketch")
     # the second and last pass over the texts: sets of all nodes that share a bucket
@@ -303,11 +305,13 @@ def near_duplicates(
         own = dealt.select("a", "part").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "part", F.col("a").alias("b"), "shingles")
         return materialize(theirs.unionByName(own).groupBy("a", "part").applyInPandas(_verifier(threshold), "a bigint, b bigint"), "links")
 
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = linked(both.mapInPandas(_alike(least), "a bigint, b bigint"))
     found = components(links)
+    left = centres.where("size > 2")  # two members were compared as centre and partner
     for every in (False, True):
         # buckets whose members aren't in one component yet
-        placed = members.join(centres.select("bucket", "size"), "bucket").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = members.join(left.select("bucket", "size"), "bucket").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
         open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("size").alias("size")).where("low <> high")
         open_ = materialize(open_.select("bucket", F.ceil(F.col("size") / block).cast("int").alias("parts")), "open-buckets")
         mine, i = F.col("mine"), F.col("with")
@@ -317,8 +321,11 @@ def near_duplicates(
             .select("bucket", F.least(mine, i).alias("i"), F.greatest(mine, i).alias("j"), F.when(mine == i, 2).otherwise((mine > i).cast("int")).alias("side"), "node", "component")
         )
         # a pair of blocks (i, i) holds block i once; of (i, j) the two sides
-        more = tasks.join(sketches, "node").groupBy("bucket", "i", "j").applyInPandas(_across(least, every), "a bigint, b bigint").distinct()
-        more = linked(more)
+        # partitions by number: the rows are small, and the work behind them isn't
+        more = tasks.join(sketches, "node").repartition(spread, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInPandas(_across(least, every), "bucket bigint, a bigint, b bigint")
+        more = materialize(more, "across")
+        left = left.join(more.select("bucket").distinct(), "bucket", "left_semi")  # no pair of the others will be alike later
+        more = linked(more.select("a", "b").distinct())
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
