@@ -180,3 +180,13 @@ def spread_of_two(a, b) -> Column:
     """Population deviation of two estimates: of one valid estimate 0, of none NaN."""
     ok = lambda x: col(x).isNotNull() & ~F.isnan(col(x))
     return F.when(ok(a) & ok(b), F.abs(col(a) - col(b)) / 2).when(ok(a) | ok(b), 0.0).otherwise(F.lit(float("nan")))
+
+
+def vegetation_class(index, low: float = 0.2, high: float = 0.5) -> Column:
+    """Three classes by two thresholds."""
+    return F.when(col(index) >= high, "dense").when(col(index) >= low, "sparse").otherwise("bare")
+
+
+def gated(value, code, allowed: list[int], empty=0) -> Column:
+    """A value only where a code allows it: harvest in forest, crops on farmland."""
+    return F.when(col(code).isin(*allowed), col(value)).otherwise(F.lit(empty))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -93,6 +95,30 @@ def chips(width, height, size: int, overlap: float) -> Column:
     return F.flatten(F.transform(starts(height), lambda y: F.transform(starts(width), lambda x: F.struct(y.cast("int").alias("y"), x.cast("int").alias("x")))))
 
 
+def _sent(df: DataFrame, value: str, kernel: list[tuple[int, int, float]]) -> DataFrame:
+    """Each pixel's value with a weight to every pixel that the kernel reaches, where there is one."""
+    o = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(w).alias("w")) for dy, dx, w in kernel]))
+    sent = df.select("tile", "row", "col", value, o.alias("o")).select(
+        "tile", (F.col("row") + F.col("o.dy")).alias("row"), (F.col("col") + F.col("o.dx")).alias("col"), F.col(value).alias("v"), F.col("o.w").alias("w"), ((F.col("o.dy") == 0) & (F.col("o.dx") == 0)).alias("own")
+    )
+    return sent
+
+
+def smoothed(df: DataFrame, value: str, sigma: float, reach: int) -> DataFrame:
+    """Gaussian means over the pixels there are within ``reach`` rows and columns: weighted sums of what pixels send, in one shuffle."""
+    kernel = [(y, x, math.exp(-(y * y + x * x) / (2 * sigma * sigma))) for y in range(-reach, reach + 1) for x in range(-reach, reach + 1)]
+    g = _sent(df, value, kernel).groupBy("tile", "row", "col").agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias(value), F.max("own").alias("own"))
+    return g.where("own").drop("own")
+
+
+def local_contrast(df: DataFrame, value: str, reach: int) -> DataFrame:
+    """How far a pixel stands out of the mean around it, as a share of that mean; null without neighbours or with a mean of 0."""
+    kernel = [(y, x, 1.0) for y in range(-reach, reach + 1) for x in range(-reach, reach + 1)]
+    around = F.avg(F.when(~F.col("own"), F.col("v")))
+    g = _sent(df, value, kernel).groupBy("tile", "row", "col").agg(F.max(F.when(F.col("own"), F.col("v"))).alias("v"), around.alias("m"))
+    return g.where("v IS NOT NULL").select("tile", "row", "col", ((F.col("v") - F.col("m")) / F.nullif(F.col("m"), F.lit(0.0))).alias("contrast"))
+
+
 # -- kernels on whole arrays
 
 

@@ -159,3 +159,21 @@ def first_wins(parts: list[DataFrame], keys: list[str]) -> DataFrame:
 
 def unknown_codes(df: DataFrame, code: str, known: DataFrame) -> DataFrame:
     return df.select(code).distinct().join(known.select(code), code, "left_anti")
+
+
+def pinned_or_best(df: DataFrame, keys: list[str], pinned: Column, order: list[Column]) -> DataFrame:
+    """Of each key the pinned row, if it has one, else the first by ``order``."""
+    return first_per(df, keys, [pinned.cast("int").desc(), *order])
+
+
+def clearest(df: DataFrame, keys: list[str], frame: str, valid: str, sharp: str) -> DataFrame:
+    """Of each key the frame with most valid data; of equal ones the sharpest, then the first."""
+    return df.groupBy(*keys).agg(F.max_by(frame, F.struct(F.col(valid), F.col(sharp), -F.col(frame))).alias(frame))
+
+
+def prior_autumn(dates: DataFrame, tile: str, day: str, year: Column, cloud: str, most_cloud: float = 0.4) -> DataFrame:
+    """A date for slot 0: from mid-August to the end of October of the year before, clear enough; the nearest to the middle, the earlier of equals."""
+    start, end = F.make_date(year - 1, F.lit(8), F.lit(15)), F.make_date(year - 1, F.lit(10), F.lit(31))
+    within = dates.where(F.col(day).between(start, end) & (F.col(cloud) <= most_cloud))
+    middle = F.date_add(start, 38)
+    return first_per(within, [tile], [F.abs(F.datediff(F.col(day), middle)), F.col(day)]).select(tile, day)

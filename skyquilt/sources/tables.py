@@ -60,6 +60,13 @@ def as_features(df: DataFrame, box: tuple[str, str, str, str], properties: list[
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))).alias("value"))
 
 
+def write_features(df: DataFrame, box: tuple[str, str, str, str], properties: list[str], path: str, files: int = 8) -> None:
+    """GeoJSON feature collections, one a file, in ``files`` files; raise it with the rows, as a collection is one string."""
+    whole = as_features(df, box, properties).withColumn("__p", F.pmod(F.xxhash64("value"), F.lit(files)))
+    lines = whole.groupBy("__p").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value"))
+    lines.repartitionById(files, F.col("__p").cast("int")).select("value").write.text(path)
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """Path, bytes and SHA-256 of every file below a path."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
