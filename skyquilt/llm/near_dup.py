@@ -11,7 +11,8 @@ nodes that share a band meet in a bucket. Each is compared there with the bucket
 comparisons in proportion to the rows, however large a bucket is. Buckets whose members are in one component then are done. In each of
 the others members of unlike components are compared, block against block, by sketches: a byte of each component of
 the signature, 125 bytes a text. Pairs whose sketches agree too rarely for the threshold are no links (one link in 100,000 is
-taken for one of them); of the other pairs first the best of two components in two blocks goes on, and where that didn't join them, all of them.
+taken for one of them); of the other pairs first the best of two components in two blocks goes on; where that didn't join them, the
+bucket's sets come together in the task, which looks at pairs until all are joined or none is left.
 Exact Jaccard similarity of the shingle sets decides on every pair that goes on; a set is sent once to each task that needs it. Where very
 many texts share a band and no two of them are similar, all their sketches are compared: that work grows with the square of such a bucket.
 Components are found by joins, and written to the shared folder between rounds.
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyquilt.llm import ragged
-from skyquilt.llm.common import materialize, table
+from skyquilt.llm.common import discard, materialize, table
 
 WIDTH, BANDS, ROWS, THRESHOLD = 5, 25, 5, 0.8
 #: Partners of a text that are compared with it in one task.
@@ -201,37 +202,66 @@ def _verifier(threshold: float):
     return run
 
 
-def _across(least: int, every: bool):
-    """Pairs of members of two blocks of a bucket, in unlike components, whose sketches agree in ``least`` bytes: the best pair of two components, or every one."""
+def _unlike(pdf: pd.DataFrame, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places and agreement of pairs of members of two blocks of a bucket, in unlike components, whose sketches agree in ``least`` bytes; for some members at a time."""
+    component, side = pdf["component"].to_numpy(), pdf["side"].to_numpy()
+    sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
+    if (side == 2).all():
+        # a block with itself: every pair once, and none within the largest component, which comes last
+        size = pd.Series(component).groupby(component).transform("size").to_numpy()
+        left = np.lexsort((component, size))
+        right, stop = left, int((component[left] != component[left[-1]]).sum())
+    else:
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        stop = len(left)
+    for k in range(0, stop, 64):
+        mine, theirs = left[k : min(k + 64, stop)], right[k + 1 :] if right is left else right
+        agree = (sketch[mine][:, None, :] == sketch[theirs][None, :, :]).sum(axis=2, dtype=np.uint8)
+        x, y = np.nonzero((agree >= least) & (component[mine][:, None] != component[theirs][None, :]))
+        yield mine[x], theirs[y], agree[x, y]
+
+
+def _best_pairs(least: int):
+    """Of each two components of a bucket's blocks the pair whose sketches agree most."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        nodes, component, side = pdf["node"].to_numpy(), pdf["component"].to_numpy(), pdf["side"].to_numpy()
-        sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
-        a, b, score = [], [], []
-        if (side == 2).all():
-            # a block with itself: every pair once, and none within the largest component, which comes last
-            size = pd.Series(component).groupby(component).transform("size").to_numpy()
-            left = np.lexsort((component, size))
-            right, stop = left, int((component[left] != component[left[-1]]).sum())
-        else:
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            stop = len(left)
-        for k in range(0, stop, 64):
-            mine, theirs = left[k : min(k + 64, stop)], right[k + 1 :] if right is left else right
-            agree = (sketch[mine][:, None, :] == sketch[theirs][None, :, :]).sum(axis=2, dtype=np.uint8)
-            x, y = np.nonzero((agree >= least) & (component[mine][:, None] != component[theirs][None, :]))
-            a.append(mine[x])
-            b.append(theirs[y])
-            score.append(agree[x, y])
-        a, b, score = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b, score))
-        out = pd.DataFrame({"a": np.minimum(nodes[a], nodes[b]), "b": np.maximum(nodes[a], nodes[b]), "x": np.minimum(component[a], component[b]), "y": np.maximum(component[a], component[b]), "score": score})
-        if not every:
-            out = out.sort_values(["score", "a", "b"], ascending=[False, True, True]).drop_duplicates(["x", "y"])
+        nodes, component, best = pdf["node"].to_numpy(), pdf["component"].to_numpy(), []
+        for a, b, score in _unlike(pdf, least):
+            out = pd.DataFrame({"a": np.minimum(nodes[a], nodes[b]), "b": np.maximum(nodes[a], nodes[b]), "x": np.minimum(component[a], component[b]), "y": np.maximum(component[a], component[b]), "score": score})
+            best.append(out.sort_values(["score", "a", "b"], ascending=[False, True, True]).drop_duplicates(["x", "y"]))
+        if not best:
+            return pd.DataFrame({"bucket": [], "a": [], "b": []}, dtype="int64")
+        out = pd.concat(best).sort_values(["score", "a", "b"], ascending=[False, True, True]).drop_duplicates(["x", "y"])
         return out[["a", "b"]].drop_duplicates().assign(bucket=key[0])[["bucket", "a", "b"]]
 
     return run
 
 
+def _joining_links(least: int, threshold: float):
+    """Links between unlike components of a bucket's blocks, enough of them to join what they join; no pair within what is joined is looked at."""
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes, sets, out = pdf["node"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]], []
+        parent = np.unique(pdf["component"].to_numpy(), return_inverse=True)[1]
+        root = list(range(int(parent.max()) + 1))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for a, b, score in _unlike(pdf, least):
+            for k in np.argsort(-score.astype(np.int16), kind="stable").tolist():
+                x, y = find(int(parent[a[k]])), find(int(parent[b[k]]))
+                if x != y and similar(sets[a[k]], sets[b[k]], threshold):
+                    root[x] = y
+                    out.append((min(nodes[a[k]], nodes[b[k]]), max(nodes[a[k]], nodes[b[k]])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``id`` and ``component``, the least id it is linked to, of every id in ``edges`` (``a``, ``b``).
 
@@ -309,7 +339,7 @@ def near_duplicates(
     links = linked(both.mapInPandas(_alike(least), "a bigint, b bigint"))
     found = components(links)
     left = centres.where("size > 2")  # two members were compared as centre and partner
-    for every in (False, True):
+    for last in (False, True):
         # buckets whose members aren't in one component yet
         placed = members.join(left.select("bucket", "size"), "bucket").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
         open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("size").alias("size")).where("low <> high")
@@ -322,13 +352,19 @@ def near_duplicates(
         )
         # a pair of blocks (i, i) holds block i once; of (i, j) the two sides
         # partitions by number: the rows are small, and the work behind them isn't
-        more = tasks.join(sketches, "node").repartition(spread, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInPandas(_across(least, every), "bucket bigint, a bigint, b bigint")
-        more = materialize(more, "across")
-        left = left.join(more.select("bucket").distinct(), "bucket", "left_semi")  # no pair of the others will be alike later
-        more = linked(more.select("a", "b").distinct())
+        tasks = tasks.join(sketches, "node")
+        if last:
+            dealt = tasks.join(sets, "node").repartition(spread, "bucket", "i", "j").groupBy("bucket", "i", "j")
+            more = materialize(dealt.applyInPandas(_joining_links(least, threshold), "a bigint, b bigint").distinct(), "links")
+        else:
+            dealt = tasks.repartition(spread, "bucket", "i", "j").groupBy("bucket", "i", "j")
+            best = materialize(dealt.applyInPandas(_best_pairs(least), "bucket bigint, a bigint, b bigint"), "best-pairs")
+            left = left.join(best.select("bucket").distinct(), "bucket", "left_semi")  # no pair of the others will be alike later
+            more = linked(best.select("a", "b").distinct())
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
+    discard(members, stars, sets)
     classes = nodes.select("node", "id", "hash").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     head = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "hash")).alias("head"))
     classes = classes.join(head, "component").select(F.col("node").alias("digest"), F.col("head.id").alias("class_id"), F.col("head.hash").alias("head_hash"), F.col("id").alias("copy_of"))
