@@ -12,7 +12,10 @@ Shingles are of ``width`` words; words are runs of letters and digits, in lower
 expressions: the documents' signatures are never shuffled where the items' are small enough to broadcast
 (``broadcast_rows``, checked), and are joined by a shuffle where they aren't.
 
-Defined cases: a null text has no words; an item of fewer than ``width`` words has no shingles and is never found;
+An item of fewer than ``width`` words is one shingle of its own length, and is looked up among the documents' runs of that length; the
+documents are cut into such runs only where there are such items.
+
+Defined cases: a null text has no words, and an item without words is never found;
 a null id is an id like others; equal ids are kept apart by text; empty tables give no rows; columns other than those named are ignored.
 """
 
@@ -91,8 +94,10 @@ def contained_items(
     threshold: float = 0.8,
     miss: float = 1e-5,
     broadcast_rows: int = 500_000,
+    keep_hash: bool = False,
 ) -> DataFrame:
-    """Pairs of document and item: ``doc_id``, ``item_id``, ``shared``, ``item_shingles`` and ``containment``."""
+    """Pairs of document and item: ``doc_id``, ``item_id``, ``shared``, ``item_shingles`` and ``containment``; with ``keep_hash`` also ``hash``,
+    xxhash64 of the document's text, which tells documents of one id apart."""
     item = materialize(
         items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("t")).distinct()
         .select("item_id", shingle_texts(plain_words(F.col("t")), width).alias("item_set"), shingle_hashes(plain_words(F.col("t")), width).alias("h"))
@@ -124,15 +129,23 @@ def contained_items(
         F.broadcast(per_doc) if n_docs <= broadcast_rows // 10 else per_doc,
         doc["doc_id"].eqNullSafe(per_doc["doc_id"]) & (F.xxhash64(doc["t"]) == per_doc["v"]),
     )
-    held = with_text.select(doc["doc_id"].alias("doc_id"), shingle_texts(plain_words(doc["t"]), width).alias("doc_set"), F.explode("item_ids").alias("item_id"))
+    held = with_text.select(doc["doc_id"].alias("doc_id"), "v", shingle_texts(plain_words(doc["t"]), width).alias("doc_set"), F.explode("item_ids").alias("item_id"))
     sized = F.size(F.array_intersect("doc_set", "item_set"))
-    return (
+    found = (
         held.join(F.broadcast(item) if n_items <= broadcast_rows // 10 else item, "item_id")
-        .select("doc_id", "item_id", sized.cast("long").alias("shared"), F.size("item_set").cast("long").alias("item_shingles"))
+        .select("doc_id", "v", "item_id", sized.cast("long").alias("shared"), F.size("item_set").cast("long").alias("item_shingles"))
         .where(F.col("shared") >= F.ceil(F.lit(threshold) * F.col("item_shingles") - 1e-9))
-        .select("*", (F.col("shared") / F.col("item_shingles")).alias("containment"))
-        .distinct()
     )
+    brief = items.select(F.col(item_id).alias("item_id"), plain_words(F.col(item_text)).alias("w")).where(F.size("w").between(1, width - 1))
+    brief = materialize(brief.select("item_id", F.size("w").alias("n"), F.array_join("w", " ").alias("s")).distinct(), "brief-items")
+    n_brief = brief.count()
+    for n in sorted(r["n"] for r in brief.select("n").distinct().collect()):  # below ``width``
+        runs = doc.select("doc_id", F.xxhash64("t").alias("v"), F.explode(shingle_texts(plain_words(F.col("t")), n)).alias("s"))
+        own = brief.where(F.col("n") == n).select("item_id", "s")
+        one = F.lit(1).cast("long")
+        found = found.unionByName(runs.join(F.broadcast(own) if n_brief <= broadcast_rows else own, "s").select("doc_id", "v", "item_id", one.alias("shared"), one.alias("item_shingles")))
+    found = found.withColumn("containment", F.col("shared") / F.col("item_shingles"))
+    return (found.withColumnRenamed("v", "hash") if keep_hash else found.drop("v")).distinct()
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,10 +154,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item; a document whose id is null is kept or dropped by that id."""
-    found = contained_items(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak_id")).distinct()
+    """The documents that hold no benchmark item; rows that share an id, or have none, are judged each by its own text."""
+    found = contained_items(docs, table(spark, sf_dir, "benchmark"), keep_hash=True).select(F.col("doc_id").alias("leak_id"), F.col("hash").alias("leak_hash")).distinct()
     found = materialize(found, "leaks")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leak_id"]), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["leak_id"]) & (F.xxhash64(docs["text"]) == found["leak_hash"]), "left_anti")
 
 
 _SHINGLES = """
@@ -159,5 +172,9 @@ SELECT doc_id, item_id, count(*) AS shared, any_value(item_shingles) AS item_shi
        count(*) / any_value(item_shingles)::DOUBLE AS containment
 FROM d JOIN b USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id
 HAVING count(*) >= 0.8 * any_value(item_shingles) - 1e-9
+UNION SELECT doc_id, item_id, 1, 1, 1.0
+FROM (SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''), ' ') AS dw FROM DOCS) x
+JOIN (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM benchmark) y
+ON len(w) BETWEEN 1 AND 4 AND contains(' ' || dw || ' ', ' ' || array_to_string(w, ' ') || ' ')
 """
 OP3_SQL = LEAKS_SQL.replace("DOCS", "documents")

@@ -171,13 +171,17 @@ def test_warc_query(spark):
 def test_decontamination(spark, odd):
     item = "one two three four five six seven eight nine ten"
     items = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (4, " ".join(f"w{i}" for i in range(20_000, 20_040)))], "item_id bigint, text string")
-    docs = spark.createDataFrame([(1, "x " * 500 + item.upper().replace(" ", ", ") + " y" * 3000), (2, " ".join(item.split()[:8])), (3, "one two three four five " * 3), (4, None), (5, LONG), (None, item)], EMPTY)
+    docs = spark.createDataFrame([(1, "x " * 500 + item.upper().replace(" ", ", ") + " y" * 3000), (2, " ".join(item.split()[:8])), (3, "one two three four five " * 3), (4, None), (5, LONG), (None, item), (None, "clean"), (6, "This is TOO short."), (6, "tooshort")], EMPTY)
     docs = docs.withColumns({"h": F.lit(0), "v": F.lit(0), "item_id": F.lit(0)})
     for rows in (500_000, 0):  # broadcast, and shuffled
         got = {(r.doc_id, r.item_id): r.containment for r in decontaminate.contained_items(docs, items, broadcast_rows=rows).collect()}
-        assert got == {(1, 1): 1.0, (None, 1): 1.0, (5, 4): 1.0}
+        assert got == {(1, 1): 1.0, (None, 1): 1.0, (5, 4): 1.0, (6, 2): 1.0}
     assert decontaminate.contained_items(docs, items.limit(0)).count() == 0
     assert decontaminate.contained_items(docs.limit(0), items).count() == 0
+    folder = common.new_path(spark, "bench")
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    kept = [(r.doc_id, r.text) for r in decontaminate.stage(spark, docs, folder).collect()]
+    assert (None, "clean") in kept and (6, "tooshort") in kept and {i for i, _ in kept} == {2, 3, 4, None, 6} and len(kept) == 5
     assert decontaminate.bins_shift(10, 0.8, 1e-5) >= decontaminate.bins_shift(100, 0.8, 1e-5) == 0
 
 
