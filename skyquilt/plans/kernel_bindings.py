@@ -164,14 +164,14 @@ def feature_round_trip(s, d):
 
 
 @query(
-    """WITH r AS (SELECT (p_partkey % 500)::VARCHAR AS point_id, p_retailprice AS lat, p_size::DOUBLE AS lon, p_brand AS code, (2015 + p_partkey % 8)::INT AS year, CASE WHEN p_size % 4 = 0 THEN 'DE' ELSE 'SE' END AS country FROM part)
+    """WITH r AS (SELECT (p_partkey // 2)::VARCHAR AS point_id, p_retailprice AS lat, p_size::DOUBLE AS lon, p_brand AS code, (2015 + p_partkey % 8)::INT AS year, CASE WHEN p_size % 4 = 0 THEN 'DE' ELSE 'SE' END AS country FROM part)
     SELECT point_id, lat, lon, code, year FROM r WHERE country = 'SE' AND year >= 2016 QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY year DESC, code) = 1"""
 )
 def survey_round_trip(s, d):
     """IO-6, W-6: a survey from CSV files of two headers and date formats, the latest year of each point."""
     path, k = _folder(s, "survey"), F.col("p_partkey")
     year = 2015 + k % 8
-    x = t(s, d, "part").select((k % 500).alias("POINT_ID"), F.col("p_retailprice").alias("GPS_LAT"), F.col("p_size").alias("GPS_LONG"), F.col("p_brand").alias("LC1"), F.when(k % 2 == 0, F.concat(F.lit("15/06/"), year)).otherwise(year.cast("string")).alias("SURVEY_YEAR"), F.when(F.col("p_size") % 4 == 0, "DE").otherwise("SE").alias("NUTS0"))
+    x = t(s, d, "part").select(F.floor(k / 2).alias("POINT_ID"), F.col("p_retailprice").alias("GPS_LAT"), F.col("p_size").alias("GPS_LONG"), F.col("p_brand").alias("LC1"), F.when(k % 2 == 0, F.concat(F.lit("15/06/"), year)).otherwise(year.cast("string")).alias("SURVEY_YEAR"), F.when(F.col("p_size") % 4 == 0, "DE").otherwise("SE").alias("NUTS0"))
     x.write.option("header", True).csv(path)
     names = {"point_id": ["point_id"], "lat": ["th_lat", "gps_lat"], "lon": ["th_long", "gps_long"], "code": ["lc1"], "country": ["nuts0"], "year": ["survey_year", "year"]}
     return T.survey_points(s, path, names, "SE", 2016).select("point_id", "lat", "lon", "code", "year")
