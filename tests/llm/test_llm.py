@@ -46,7 +46,7 @@ def test_oracle(spark, name):
     norm = lambda v: f"{v:.9g}" if isinstance(v, float) else str(v)
     got = sorted(tuple(norm(r[c]) for c in cols) for r in df.collect())
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     rel = con.sql(queries.ORACLE_SQL[name])
     assert sorted(rel.columns) == cols
