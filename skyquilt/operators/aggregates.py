@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,16 +41,60 @@ def best_per(df: DataFrame, keys: list[str], value: str, missing: float | None =
     return df.groupBy(*keys).agg(F.min(v).alias(value))
 
 
+def _place_among(v: Column, cuts: list[float]) -> Column:
+    """How many of the ascending cuts lie below ``v``: a tree of comparisons."""
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(v > cuts[middle], tree(middle + 1, high)).otherwise(tree(low, middle))
+
+    return tree(0, len(cuts))
+
+
+def _percentiles_of_all(values: DataFrame, shares: list[float], buckets: int) -> DataFrame:
+    """``p`` and ``n`` of a column ``__v`` without nulls.
+
+    Approximate cuts and one count a range reach the driver; of the values, only the ranges that hold the ranks asked for are shuffled and sorted.
+    """
+    cuts = sorted(set(values.agg(F.percentile_approx("__v", [k / buckets for k in range(1, buckets)], 1000).alias("c")).first()["c"] or []))
+    ranged = values.withColumn("__r", _place_among(F.col("__v"), cuts))
+    sizes = {r["__r"]: r["n"] for r in ranged.groupBy("__r").agg(F.count("*").alias("n")).collect()}
+    total, offset, starts = sum(sizes.values()), 0, {}
+    for r in sorted(sizes):
+        starts[r] = offset
+        offset += sizes[r]
+    if not total:
+        return values.sparkSession.createDataFrame([([None] * len(shares), None)], "p array<double>, n bigint")
+    place = [q * (total - 1) for q in shares]
+    ranks = sorted({int(f(x)) for x in place for f in (math.floor, math.ceil)})
+    wanted = sorted({max(r for r in starts if starts[r] <= k) for k in ranks})
+    base = F.element_at(F.create_map(*[F.lit(x) for r in wanted for x in (r, starts[r])]), F.col("__r"))
+    run = Window.partitionBy("__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    counts = ranged.where(F.col("__r").isin(wanted)).groupBy("__r", "__v").agg(F.count("*").alias("__n"))
+    c = counts.withColumn("__to", base + F.sum("__n").over(run)).withColumn("__from", F.col("__to") - F.col("__n"))
+    at = c.agg(*[F.max(F.when((F.col("__from") <= k) & (k < F.col("__to")), F.col("__v"))).alias(f"__{k}") for k in ranks])
+
+    def between(x: float) -> Column:
+        a, b = F.col(f"__{math.floor(x)}"), F.col(f"__{math.ceil(x)}")
+        return F.when(a == b, a).otherwise((math.ceil(x) - x) * a + (x - math.floor(x)) * b)
+
+    return at.select(F.array(*map(between, place)).alias("p"), F.lit(total).cast("bigint").alias("n"))
+
+
 def exact_percentiles(df: DataFrame, value: str, shares: list[float], keys: list[str] = (), buckets: int = 64) -> DataFrame:
     """``p``, the exact percentiles (interpolated) of the values that aren't null, and ``n``, their number, for each key.
 
-    Values are counted, cut into ranges, and ranked range by range, with the ranges' offsets added: neither a task nor a buffer holds all
-    values of a key.
+    With keys, values are counted, cut into ranges, and ranked range by range, with the ranges' offsets added: neither a task nor a buffer holds all
+    values of a key. Without keys, the input is read three times and only the ranges that hold the percentiles are sorted.
     """
+    if not keys:
+        return _percentiles_of_all(df.select(F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL"), shares, buckets)
     keys, at = list(keys), [f"__h{i}" for i in range(len(shares))]
     counts = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
     cuts = counts.groupBy(*keys).agg(F.percentile_approx("__v", [k / buckets for k in range(1, buckets)], 10000).alias("__cuts"))
-    joined = counts.join(cuts, keys) if keys else counts.join(F.broadcast(cuts), F.lit(True))
+    joined = counts.join(cuts, keys)
     ranged = joined.withColumn("__r", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
     sums = ranged.groupBy(*keys, "__r").agg(F.sum("__n").alias("__s"))
     w = Window.partitionBy(*keys)  # at most ``buckets`` rows a key

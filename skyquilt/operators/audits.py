@@ -170,3 +170,40 @@ def interpolated(pixels: DataFrame, lut: DataFrame, key: list[str], x: str, at:
     share = F.greatest(F.lit(0.0), (F.col(x) - F.col("__a")) / (F.col("__b") - F.col("__a")))
     out = F.when(F.col("__b").isNull(), F.col("__u")).otherwise(F.col("__u") + share * (F.col("__v") - F.col("__u")))
     return hit.withColumn(value, out).drop("__a", "__b", "__u", "__v", "__k")
+
+
+def _count_upto(axis: str, v: Column) -> Column:
+    """How many of an ascending array's entries are ``v`` at most, by halving steps."""
+    widths = F.array(*[F.lit(1 << k) for k in range(20, -1, -1)])
+    return F.aggregate(widths, F.lit(0), lambda found, w: F.when(F.get(axis, found + w - 1) <= v, found + w).otherwise(found))
+
+
+def interpolated_grid(pixels: DataFrame, lut: DataFrame, key: list[str], y: str, x: str, at_y: str, at_x: str, value: str) -> DataFrame:
+    """``pixels`` with ``value`` interpolated between the four entries of the table's grid around them; places beyond the grid count as on its edge.
+
+    The table has an entry for each of a key's lines and columns. Its cells become rows with their four corners; a pixel finds its cell's number in the two axes of its key,
+    and meets that one row. An axis of one entry is constant; a missing entry makes its cells null.
+    """
+    from skyquilt.operators.joins import small
+
+    axes = lut.groupBy(*key).agg(F.sort_array(F.collect_set(F.col(at_y).cast("double"))).alias("__ys"), F.sort_array(F.collect_set(F.col(at_x).cast("double"))).alias("__xs"))
+    nodes = lut.join(axes, key).withColumns({"__i": F.array_position("__ys", F.col(at_y).cast("double")) - 1, "__j": F.array_position("__xs", F.col(at_x).cast("double")) - 1})
+    corners = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)]))
+    sent = nodes.withColumn("__o", corners).select(*key, (F.col("__i") - F.col("__o.a")).cast("int").alias("__ci"), (F.col("__j") - F.col("__o.b")).cast("int").alias("__cj"), "__o", F.col(value).cast("double").alias("__v"))
+    corner = lambda a, b: F.max(F.when((F.col("__o.a") == a) & (F.col("__o.b") == b), F.col("__v"))).alias(f"__v{a}{b}")
+    cells = sent.groupBy(*key, "__ci", "__cj").agg(*[corner(a, b) for a in (0, 1) for b in (0, 1)])
+
+    def placed(axis: str, v: str) -> tuple[Column, Column]:
+        n = F.size(axis)
+        inside = F.greatest(F.least(F.col(v).cast("double"), F.get(axis, n - 1)), F.get(axis, F.lit(0)))
+        k = F.greatest(F.lit(0), F.least(_count_upto(axis, inside) - 1, n - 2))
+        low, high = F.get(axis, k), F.get(axis, k + 1)
+        return k, F.coalesce((inside - low) / (high - low), F.lit(0.0))
+
+    (ci, fy), (cj, fx) = placed("__ys", y), placed("__xs", x)
+    found = pixels.join(small(axes), key).withColumns({"__ci": ci, "__cj": cj, "__fy": fy, "__fx": fx, "__ny": F.size("__ys"), "__nx": F.size("__xs")}).drop("__ys", "__xs")
+    j = found.join(cells, [*key, "__ci", "__cj"])
+    v = lambda a, b: F.when((F.lit(a) == 1) & (F.col("__ny") == 1), F.col(f"__v0{b}") if b == 0 else F.when(F.col("__nx") == 1, F.col("__v00")).otherwise(F.col("__v01"))).when((F.lit(b) == 1) & (F.col("__nx") == 1), F.col(f"__v{a}0")).otherwise(F.col(f"__v{a}{b}"))
+    fy, fx = F.col("__fy"), F.col("__fx")
+    out = (1 - fy) * ((1 - fx) * v(0, 0) + fx * v(0, 1)) + fy * ((1 - fx) * v(1, 0) + fx * v(1, 1))
+    return j.withColumn(value, out).drop("__ci", "__cj", "__fy", "__fx", "__ny", "__nx", *[f"__v{a}{b}" for a in (0, 1) for b in (0, 1)])

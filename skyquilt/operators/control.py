@@ -55,11 +55,15 @@ def complete_only(parts: DataFrame, keys: list[str], ok: Column, expected: Colum
 
 
 def circuit(events: DataFrame, source: str, order: list[str], failed: Column, most: int) -> DataFrame:
-    """Sources whose last ``most`` events all failed are ``dead``, and the others ``alive``; with the length of the run of failures at the end."""
-    w = Window.partitionBy(source).orderBy(*[F.desc(c) for c in order])
-    e = events.select(source, *order, failed.alias("__f")).withColumn("__good", F.sum((~F.col("__f")).cast("int")).over(w))
-    run = F.count_if(F.col("__f") & (F.col("__good") == 0))
-    return e.groupBy(source).agg(run.alias("failures")).withColumn("state", F.when(F.col("failures") >= most, "dead").otherwise("alive"))
+    """Sources whose last ``most`` events all failed are ``dead``, and the others ``alive``; with the length of the run of failures at the end.
+
+    The last success of each source is a maximum, and the failures after it are counted: nothing is sorted.
+    """
+    e = events.select(source, F.struct(*order).alias("__t"), F.coalesce(failed, F.lit(False)).alias("__f"))
+    last = e.groupBy(source).agg(F.max(F.when(~F.col("__f"), F.col("__t"))).alias("__good"))
+    after = F.col("__f") & (F.col("__good").isNull() | (F.col("__t") > F.col("__good")))
+    runs = e.join(last, source).groupBy(source).agg(F.count_if(after).alias("failures"))
+    return runs.withColumn("state", F.when(F.col("failures") >= most, "dead").otherwise("alive"))
 
 
 def job_report(events: DataFrame, source: str, ts: str, unique: str, ok: Column, total: int, last: int = 5) -> DataFrame:

@@ -16,18 +16,54 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str, y: str, box: tuple[str, str, str, str], cell: float, on: tuple[str, ...] = ()) -> DataFrame:
-    """Points with the half-open boxes [west, east) x (south, north] that hold them.
+def _level(width: Column, cell: float) -> Column:
+    """The least level whose cells, ``cell * 2 ** level`` wide, are no narrower than ``width``."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(width, F.lit(float(cell))) / cell))).cast("int")
 
-    Boxes are dealt to the cells of a grid of ``cell`` that they touch and joined with the points' cells, then the
-    exact test runs. A point is in one cell, so that no pair comes twice. ``on``: further columns that must agree.
+
+def _levels(df: DataFrame) -> list[int]:
+    """The levels that a table's boxes have: one more at most for each doubling of their width."""
+    return sorted(r["__l"] for r in df.where("__l IS NOT NULL").select("__l").distinct().collect())
+
+
+def _dealt(df: DataFrame, box: tuple[str, ...], cell: float) -> DataFrame:
+    """Boxes in the cells of level ``__l`` that they touch: three a side at most, as no cell is narrower than its boxes."""
+    size = F.pow(F.lit(2.0), F.col("__l")) * cell
+    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / size).cast("long"), F.floor(F.col(hi) / size).cast("long"))
+    w, s, e, n = box
+    return df.withColumn("__cx", F.explode(span(w, e))).withColumn("__cy", F.explode(span(s, n)))
+
+
+def _salted(left: DataFrame, right: DataFrame, keys: list[str], rows: int) -> tuple[DataFrame, DataFrame]:
+    """Keys of more than ``rows`` left rows are dealt over parts, left rows by hash, right rows once a part; fewer than left rows / ``rows`` keys are such."""
+    hot = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows).select(*keys, F.ceil(F.col("__n") / rows).cast("int").alias("__parts"))
+    parts = F.coalesce("__parts", F.lit(1))
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), parts).cast("int")
+    dealt = left.join(hot, keys, "left").withColumn("__part", part).drop("__parts")
+    copied = right.join(hot, keys, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return dealt, copied
+
+
+def points_in_boxes(
+    points: DataFrame, boxes: DataFrame, x: str, y: str, box: tuple[str, str, str, str], cell: float, on: tuple[str, ...] = (), closed: bool = False, split: int | None = None
+) -> DataFrame:
+    """Points with the half-open boxes [west, east) x (south, north] that hold them, or with ``closed`` boxes.
+
+    A box is dealt to the cells it touches in the grid of its own size: cells of ``cell``, doubled until they are as wide as the box.
+    A point is looked up once for each size of grid that boxes use, in one cell, so that no pair comes twice; then the exact test runs.
+    ``on``: further columns that must agree. ``split``: cells with more points than this are dealt over several tasks.
     """
     w, s, e, n = (F.col(c) for c in box)
-    span = lambda lo, hi: F.sequence(F.floor(lo / cell).cast("long"), F.floor(hi / cell).cast("long"))
-    dealt = boxes.withColumn("__cx", F.explode(span(w, e))).withColumn("__cy", F.explode(span(s, n)))
-    placed = points.withColumn("__cx", F.floor(F.col(x) / cell).cast("long")).withColumn("__cy", F.floor(F.col(y) / cell).cast("long"))
-    inside = (F.col(x) >= w) & (F.col(x) < e) & (F.col(y) > s) & (F.col(y) <= n)
-    return placed.join(dealt, ["__cx", "__cy", *on]).where(inside).drop("__cx", "__cy")
+    sized = boxes.withColumn("__l", _level(F.greatest(e - w, n - s), cell))
+    levels = F.array(*map(F.lit, _levels(sized) or [0]))
+    size = F.pow(F.lit(2.0), F.col("__l")) * cell
+    placed = points.withColumn("__l", F.explode(levels)).withColumns({"__cx": F.floor(F.col(x) / size).cast("long"), "__cy": F.floor(F.col(y) / size).cast("long")})
+    inside = (F.col(x) >= w) & (F.col(x) <= e) & (F.col(y) >= s) & (F.col(y) <= n) if closed else (F.col(x) >= w) & (F.col(x) < e) & (F.col(y) > s) & (F.col(y) <= n)
+    keys, dealt = ["__l", "__cx", "__cy", *on], _dealt(sized, box, cell)
+    if split:
+        placed, dealt = _salted(placed, dealt, keys, split)
+        return placed.join(dealt, [*keys, "__part"]).where(inside).drop("__l", "__cx", "__cy", "__part")
+    return placed.join(dealt, keys).where(inside).drop("__l", "__cx", "__cy")
 
 
 def pixel_of(x, y, west, north, step: float = 10, size: int | None = None) -> Column:
@@ -37,20 +73,32 @@ def pixel_of(x, y, west, north, step: float = 10, size: int | None = None) -> Co
     return out if size is None else F.when((row >= 0) & (row < size) & (column >= 0) & (column < size), out)
 
 
-def overlapping_boxes(left: DataFrame, right: DataFrame, a: tuple[str, ...], b: tuple[str, ...], cell: float) -> DataFrame:
-    """Pairs of boxes (west, south, east, north) that touch or overlap. A pair is kept in the one cell that holds the
-    south-west corner of its intersection, so that none comes twice and no distinct is needed."""
-
-    def dealt(df: DataFrame, box: tuple[str, ...]) -> DataFrame:
-        w, s, e, n = (F.col(c) for c in box)
-        span = lambda lo, hi: F.sequence(F.floor(lo / cell).cast("long"), F.floor(hi / cell).cast("long"))
-        return df.withColumn("__cx", F.explode(span(w, e))).withColumn("__cy", F.explode(span(s, n)))
+def overlapping_boxes(left: DataFrame, right: DataFrame, a: tuple[str, ...], b: tuple[str, ...], cell: float, split: int | None = None) -> DataFrame:
+    """Pairs of boxes (west, south, east, north) that touch or overlap.
 
+    Each box has a level, that of the narrowest grid (cells of ``cell``, doubled level by level) as wide as itself. A pair meets at the higher
+    of its two levels, so that a box is dealt to a few cells of its own level and of those above it that the other table uses, however
+    wide boxes are; and it is kept in the one cell that holds the south-west corner of its intersection, so that none
+    comes twice and no distinct is needed. ``split``: cells with more left rows than this are dealt over several tasks.
+    """
     aw, as_, ae, an = (F.col(c) for c in a)
     bw, bs, be, bn = (F.col(c) for c in b)
-    meet = ~((be < aw) | (bw > ae) | (bn < as_) | (bs > an))
-    corner = (F.floor(F.greatest(aw, bw) / cell) == F.col("__cx")) & (F.floor(F.greatest(as_, bs) / cell) == F.col("__cy"))
-    return dealt(left, a).join(dealt(right, b), ["__cx", "__cy"]).where(meet & corner).drop("__cx", "__cy")
+    left = left.withColumn("__l", _level(F.greatest(ae - aw, an - as_), cell))
+    right = right.withColumn("__l", _level(F.greatest(be - bw, bn - bs), cell))
+    a_levels, b_levels = _levels(left), _levels(right)
+
+    def raised(df: DataFrame, own: str, others: list[int]) -> DataFrame:
+        above = F.filter(F.array(*map(F.lit, others or [0])), lambda k: k > F.col(own))
+        return df.withColumnRenamed("__l", own).withColumn("__l", F.explode(F.array_append(above, F.col(own))))
+
+    keys = ["__l", "__cx", "__cy"]
+    l, r = _dealt(raised(left, "__la", b_levels), a, cell), _dealt(raised(right, "__lb", a_levels), b, cell)  # noqa: E741
+    if split:
+        l, r = _salted(l, r, keys, split)  # noqa: E741
+    size = F.pow(F.lit(2.0), F.col("__l")) * cell
+    meet = ~((be < aw) | (bw > ae) | (bn < as_) | (bs > an)) & (F.col("__l") == F.greatest("__la", "__lb"))
+    corner = (F.floor(F.greatest(aw, bw) / size) == F.col("__cx")) & (F.floor(F.greatest(as_, bs) / size) == F.col("__cy"))
+    return l.join(r, [*keys, *(["__part"] if split else [])]).where(meet & corner).drop(*keys, "__la", "__lb", "__part")
 
 
 def range_join(left: DataFrame, right: DataFrame, low: str, high: str, low2: str, high2: str, width: float) -> DataFrame:

@@ -105,10 +105,14 @@ def _sent(df: DataFrame, value: str, kernel: list[tuple[int, int, float]]) -> Da
 
 
 def smoothed(df: DataFrame, value: str, sigma: float, reach: int) -> DataFrame:
-    """Gaussian means over the pixels there are within ``reach`` rows and columns: weighted sums of what pixels send, in one shuffle."""
-    kernel = [(y, x, math.exp(-(y * y + x * x) / (2 * sigma * sigma))) for y in range(-reach, reach + 1) for x in range(-reach, reach + 1)]
-    g = _sent(df, value, kernel).groupBy("tile", "row", "col").agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias(value), F.max("own").alias("own"))
-    return g.where("own").drop("own")
+    """Gaussian means over the pixels there are within ``reach`` rows and columns: a pass along columns, then one along rows, so that a pixel is sent 2 * reach + 1 times in each and not to the whole square."""
+    kernel = [(k, math.exp(-k * k / (2 * sigma * sigma))) for k in range(-reach, reach + 1)]
+    sums = df.select("tile", "row", "col", F.col(value).cast("double").alias("v"), F.lit(1.0).alias("w"), F.lit(True).alias("own"))
+    for axis in ("row", "col"):
+        o = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(g).alias("g")) for k, g in kernel]))
+        sent = sums.withColumn("o", o).withColumns({"v": F.col("v") * F.col("o.g"), "w": F.col("w") * F.col("o.g"), "own": F.col("own") & (F.col("o.k") == 0), axis: F.col(axis) + F.col("o.k")})
+        sums = sent.groupBy("tile", "row", "col").agg(F.sum("v").alias("v"), F.sum("w").alias("w"), F.max("own").alias("own"))
+    return sums.where("own").select("tile", "row", "col", (F.col("v") / F.col("w")).alias(value))
 
 
 def local_contrast(df: DataFrame, value: str, reach: int) -> DataFrame:
@@ -209,21 +213,53 @@ def to_image(pdf: pd.DataFrame, value: str) -> np.ndarray:
     return out
 
 
-def register_frames(df: DataFrame, value: str, anchor: int, method: str = "information") -> DataFrame:
-    """For each tile and slot the shift that lays its frame on the anchor's: ``tile slot dy dx``. A tile's frames fit a task."""
+def _with_anchors(df: DataFrame, value: str, anchor: int | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Frames other than their tile's anchor, and for each of them a copy of the anchor. ``anchor``: a slot, or a table of ``tile, slot``."""
+    p = df.select("tile", F.col("slot").cast("int").alias("slot"), F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col(value).cast("double").alias("v"))
+    chosen = p.select("tile").distinct().withColumn("__anchor", F.lit(anchor)) if isinstance(anchor, int) else anchor.select("tile", F.col("slot").cast("int").alias("__anchor"))
+    known = p.join(chosen, "tile", "left")
+    own = F.coalesce(F.col("slot") == F.col("__anchor"), F.lit(False))
+    moving = known.where(~own).drop("__anchor")
+    copies = known.where(own).drop("slot", "__anchor").join(moving.select("tile", "slot").distinct(), "tile")
+    return moving, copies
 
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        frames = {int(s): to_image(p, value) for s, p in pdf.groupby("slot")}
-        tile, out = pdf["tile"].iloc[0], []
-        for s, image in sorted(frames.items()):
-            if s == anchor or anchor not in frames or image.shape != frames[anchor].shape:
-                out.append((tile, s, 0.0, 0.0))
-            else:
-                find = information_offset if method == "information" else phase_offset
-                out.append((tile, s, *find(frames[anchor], image)))
-        return pd.DataFrame(out, columns=["tile", "slot", "dy", "dx"])
-
-    return df.groupBy("tile").applyInPandas(kernel, "tile string, slot int, dy double, dx double")
+
+def coregistered(df: DataFrame, value: str, anchor: int | DataFrame, method: str = "information", search: float = 3.0, least: float = 0.05) -> DataFrame:
+    """Frames laid on their tile's anchor, pixel by pixel: ``tile slot row col`` with the resampled ``value`` and the shift ``dy dx`` that was applied.
+
+    A task has one frame and its anchor, however many frames a tile has. A shift is found by mutual information or by phase correlation, refused if it
+    gains nothing or lies at the limit of the search, and left out below ``least`` pixels, where the frame stays as it is; frames of another shape than the anchor, or without one, stay too.
+    Anchors come through untouched. Missing pixels count as 0, and have no row in the result either.
+    """
+    moving, copies = _with_anchors(df, value, anchor)
+
+    def kernel(frame: pd.DataFrame, reference: pd.DataFrame) -> pd.DataFrame:
+        if frame.empty:
+            return pd.DataFrame(columns=["tile", "slot", "row", "col", value, "dy", "dx"])
+        image, dy, dx = to_image(frame, "v"), 0.0, 0.0
+        fixed = to_image(reference, "v") if len(reference) else None
+        if fixed is not None and fixed.shape == image.shape and min(image.shape) >= 12:
+            dy, dx = information_offset(fixed, image, search) if method == "information" else phase_offset(fixed, image)
+            if max(abs(dy), abs(dx)) < least or max(abs(dy), abs(dx)) > search:
+                dy, dx = 0.0, 0.0
+        if dy or dx:
+            image = shift_image(image, dy, dx)
+        out = frame[["tile", "slot", "row", "col"]].copy()
+        out[value], out["dy"], out["dx"] = image[frame["row"], frame["col"]], float(dy), float(dx)
+        return out
+
+    kind = dict(df.dtypes)["tile"]
+    copies = copies.select(*[F.col(c).alias(f"{c}_" if c in ("tile", "slot") else c) for c in copies.columns])
+    laid = moving.groupBy("tile", "slot").cogroup(copies.groupBy("tile_", "slot_")).applyInPandas(kernel, f"tile {kind}, slot int, row int, col int, {value} double, dy double, dx double")
+    chosen = (F.col("slot") == anchor) if isinstance(anchor, int) else None
+    p = df.select("tile", F.col("slot").cast("int").alias("slot"), F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col(value).cast("double").alias(value))
+    fixed = p.where(chosen) if chosen is not None else p.join(anchor.select("tile", F.col("slot").cast("int").alias("slot")), ["tile", "slot"], "left_semi").select(*p.columns)
+    return laid.unionByName(fixed.withColumns({"dy": F.lit(0.0), "dx": F.lit(0.0)}))
+
+
+def register_frames(df: DataFrame, value: str, anchor: int | DataFrame, method: str = "information") -> DataFrame:
+    """For each tile and slot the shift that lays its frame on the anchor's: ``tile slot dy dx``."""
+    return coregistered(df, value, anchor, method).groupBy("tile", "slot").agg(F.first("dy").alias("dy"), F.first("dx").alias("dx"))
 
 
 def rasterize_tiles(tiles: DataFrame, polygons: DataFrame, size: int, step: float = 10) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,9 +119,36 @@ def with_rank(df: DataFrame, order: list[str], buckets: int = 64) -> DataFrame:
     return ranged.withColumn("__k", inside).join(F.broadcast(offsets), "__b").withColumn("rank", F.col("__o") + F.col("__k")).drop("__b", "__k", "__o")
 
 
-def with_replacement(df: DataFrame, weight: str, unique: str, draws: int, seed: int) -> DataFrame:
-    """How often each row is drawn in about ``draws`` draws in proportion to weight: its share, rounded up or down by hash."""
-    total = F.broadcast(df.agg(F.sum(weight).alias("__t")))
-    expected = F.col(weight) * draws / F.col("__t")
-    n = F.floor(expected) + (uniform(seed, unique) < expected - F.floor(expected)).cast("int")
-    return df.join(total, F.lit(True)).withColumn("draws", n).where("draws > 0").drop("__t")
+def digest_uniform(seed: int, key) -> Column:
+    """A number in [0, 1) from the first 52 bits of an md5, which other engines have too."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), col(key).cast("string")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+def with_replacement(df: DataFrame, weight: str, unique: str, draws: int, seed: int, buckets: int = 64) -> DataFrame:
+    """Rows with ``draws``, how often each is drawn in so many independent draws in proportion to weight; rows without a weight above 0 never are.
+
+    Rows are dealt to ranges of ``unique`` with the sums of their weights. A draw is a place on the line of all weights: it goes to the range that
+    holds it, and there to the row, by one sort of the range's rows and draws. A range sum each reaches the driver.
+    """
+    from skyquilt.operators.aggregates import _place_among
+    from skyquilt.operators.iterative import _table
+
+    w = F.col(weight).cast("double")
+    ranged = _table(df.where(w > 0).repartitionByRange(buckets, unique).withColumn("__b", F.spark_partition_id()))
+    sums = sorted((r["__b"], r["s"]) for r in ranged.groupBy("__b").agg(F.sum(w).alias("s")).collect())
+    ends = [0.0]
+    for _, x in sums:
+        ends.append(ends[-1] + x)
+    if not sums:
+        return df.withColumn("draws", F.lit(0).cast("bigint")).limit(0)
+    number = F.element_at(F.create_map(*[F.lit(x) for k, (b, _) in enumerate(sums) for x in (b, k)]), F.col("__b"))
+    start = F.element_at(F.create_map(*[F.lit(x) for k in range(len(sums)) for x in (k, ends[k])]), F.col("k"))
+    running = F.sum(w).over(Window.partitionBy("k").orderBy(unique).rowsBetween(Window.unboundedPreceding, -1))
+    rows = ranged.withColumn("k", number).select("k", (start + F.coalesce(running, F.lit(0.0))).alias("at"), F.col(unique).alias("u"), F.lit(0).alias("drawn"))
+    place = digest_uniform(seed, "id") * ends[-1]
+    bounds = [math.nextafter(x, 0.0) for x in ends[1:-1]]  # a draw at a range's end belongs to the next one
+    asked = df.sparkSession.range(draws).select(_place_among(place, bounds).alias("k"), place.alias("at"), F.lit(None).cast(dict(df.dtypes)[unique]).alias("u"), F.lit(1).alias("drawn"))
+    upto = Window.partitionBy("k").orderBy("at", "drawn").rowsBetween(Window.unboundedPreceding, 0)
+    hit = rows.unionByName(asked).withColumn("u", F.last("u", ignorenulls=True).over(upto)).where("drawn = 1")
+    return df.join(hit.groupBy(F.col("u").alias(unique)).agg(F.count("*").alias("draws")), unique)

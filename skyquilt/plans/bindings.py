@@ -886,9 +886,10 @@ def aux_alignment(s, d):
 
 @query()
 def set_cover(s, d):
-    """I-2: suppliers that cover all part sizes; checked in tests against a plain loop."""
-    pairs = t(s, d, "lineitem").join(t(s, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size"), "l_partkey").select("l_suppkey", "p_size")
-    return I.set_cover(pairs.distinct(), "p_size", "l_suppkey")
+    """I-2: nations whose suppliers together have a part in every order, most of them needed; checked in tests against a plain loop."""
+    nation = t(s, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    pairs = t(s, d, "lineitem").select("l_suppkey", "l_orderkey").join(nation, "l_suppkey").select("s_nationkey", "l_orderkey")
+    return I.set_cover(pairs.distinct(), "l_orderkey", "s_nationkey")
 
 
 @query()
@@ -898,10 +899,21 @@ def suppress_near(s, d):
     return I.suppress_near(e, "label", "x", "y", "score", "vec_id", 15.0).select("label", "vec_id")
 
 
-@query()
+@query(
+    """WITH RECURSIVE p AS (SELECT l_orderkey, min(l_partkey) AS p FROM lineitem GROUP BY 1), e AS (
+      SELECT o_orderkey * 3 AS a, (o_custkey * 400 + (year(o_orderdate) - 1990) * 4 + quarter(o_orderdate)) * 3 + 1 AS b FROM orders
+      UNION SELECT o_orderkey * 3, (p * 400 + (year(o_orderdate) - 1990) * 12 + month(o_orderdate)) * 3 + 2 FROM orders JOIN p ON l_orderkey = o_orderkey),
+    n AS (SELECT a AS u, b AS v FROM e UNION ALL SELECT b, a FROM e), r AS (SELECT DISTINCT u, u AS l FROM n UNION SELECT n.v, r.l FROM r JOIN n ON r.u = n.u)
+    SELECT u AS id, min(l) AS component FROM r GROUP BY 1"""
+)
 def linked_components(s, d):
-    """I-1: components of the graph of suppliers and parts; checked in tests against union-find."""
-    return I.components(t(s, d, "lineitem").select((F.col("l_suppkey") * 2).alias("a"), (F.col("l_partkey") * 2 + 1).alias("b")).distinct())
+    """I-1: orders that share a customer's quarter or a part's month, in thousands of components."""
+    o = t(s, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q"), F.month("o_orderdate").alias("m"))
+    first = t(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_partkey").alias("p"))
+    y = F.col("y") - 1990
+    by_customer = o.select((F.col("o_orderkey") * 3).alias("a"), ((F.col("o_custkey") * 400 + y * 4 + F.col("q")) * 3 + 1).alias("b"))
+    by_part = o.join(first, "o_orderkey").select((F.col("o_orderkey") * 3).alias("a"), ((F.col("p") * 400 + y * 12 + F.col("m")) * 3 + 2).alias("b"))
+    return I.components(by_customer.unionByName(by_part))
 
 
 _RASTER = "px AS (SELECT c_nationkey::VARCHAR AS tile, (o_custkey // 100)::BIGINT AS row, (dayofyear(o_orderdate) // 7)::BIGINT AS col, (avg(o_totalprice) > 250000)::INT + (max(o_totalprice) > 400000)::INT AS v FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3)"

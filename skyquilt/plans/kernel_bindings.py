@@ -126,16 +126,18 @@ def weather_of_tiles(s, d):
 
 
 @query(
-    """WITH b AS (SELECT s_suppkey AS rank, (s_suppkey * 13 % 180) * 10.0 + 3 AS w, (s_suppkey * 29 % 180) * 10.0 + 3 AS s FROM supplier WHERE s_suppkey < 60), p AS (SELECT i // 2 AS ty, i % 2 AS tx, r.j AS row, c.k AS col FROM range(0, 4) g(i), range(0, 100) r(j), range(0, 100) c(k))
-    SELECT (ty || '_' || tx) AS tile, row::INT AS row, col::INT AS col, max_by(rank % 5 + 1, rank)::INT AS value FROM p JOIN b ON tx * 1000 + col * 10 + 5 > w AND tx * 1000 + col * 10 + 5 < w + 150 AND (ty + 1) * 1000 - row * 10 - 5 > s AND (ty + 1) * 1000 - row * 10 - 5 < s + 100 GROUP BY 1, 2, 3"""
+    """WITH b AS (SELECT s_suppkey AS rank, (s_suppkey * 13 % 180) * 10.0 + 3 + 2000 * (s_suppkey // 100) AS w, (s_suppkey * 29 % 180) * 10.0 + 3 AS s FROM supplier),
+    px AS (SELECT rank, w, s, unnest(range((w // 10)::BIGINT, (w // 10)::BIGINT + 17)) AS x, y FROM b, range(0, 200) r(y) WHERE y * 10 + 5 > s AND y * 10 + 5 < s + 100)
+    SELECT (y // 100) || '_' || (x // 100) AS tile, (99 - y % 100)::INT AS row, (x % 100)::INT AS col, max_by(rank % 5 + 1, rank)::INT AS value FROM px WHERE x * 10 + 5 > w AND x * 10 + 5 < w + 150 GROUP BY 1, 2, 3"""
 )
 def rasterised(s, d):
-    """K-8: polygons drawn into tiles, the last one on top."""
+    """K-8: polygons drawn into tiles, the last one on top; the row of tiles is as long as the polygons need."""
     k = F.col("s_suppkey")
-    w, y = (k * 13 % 180) * 10.0 + 3, (k * 29 % 180) * 10.0 + 3
-    b = t(s, d, "supplier").where("s_suppkey < 60").select(k.alias("rank"), (k % 5 + 1).alias("value"), w.alias("west"), y.alias("south"), (w + 150).alias("east"), (y + 100).alias("north"))
+    w, y = (k * 13 % 180) * 10.0 + 3 + 2000 * F.floor(k / 100), (k * 29 % 180) * 10.0 + 3
+    b = t(s, d, "supplier").select(k.alias("rank"), (k % 5 + 1).alias("value"), w.alias("west"), y.alias("south"), (w + 150).alias("east"), (y + 100).alias("north"))
     ring = F.array(*[F.array(F.col(a), F.col(c)) for a, c in (("west", "south"), ("east", "south"), ("east", "north"), ("west", "north"), ("west", "south"))])
-    i = s.range(4).select((F.col("id") % 2).alias("x"), F.floor(F.col("id") / 2).alias("y"))
+    wide = int((b.agg(F.max("east")).first()[0] or 0) // 1000) + 1
+    i = s.range(2 * wide).select((F.col("id") % wide).alias("x"), F.floor(F.col("id") / wide).alias("y"))
     tiles = i.select(F.concat_ws("_", "y", "x").alias("tile"), (F.col("x") * 1000.0).alias("west"), (F.col("y") * 1000.0).alias("south"), (F.col("x") * 1000.0 + 1000).alias("east"), (F.col("y") * 1000.0 + 1000).alias("north"))
     return R.rasterize_tiles(tiles, b.withColumn("ring", ring), 100)
 
@@ -165,25 +167,28 @@ def feature_round_trip(s, d):
 
 @query(
     """WITH r AS (SELECT (p_partkey // 2)::VARCHAR AS point_id, p_retailprice AS lat, p_size::DOUBLE AS lon, p_brand AS code, (2015 + p_partkey % 8)::INT AS year, CASE WHEN p_size % 4 = 0 THEN 'DE' ELSE 'SE' END AS country FROM part)
-    SELECT point_id, lat, lon, code, year FROM r WHERE country = 'SE' AND year >= 2016 QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY year DESC, code) = 1"""
+    SELECT point_id, lat, lon, code, year FROM r WHERE country = 'SE' AND year >= 2016 AND (code LIKE 'Brand#1%' OR code LIKE 'Brand#2%' OR code LIKE 'Brand#3%') QUALIFY row_number() OVER (PARTITION BY point_id ORDER BY year DESC, code) = 1"""
 )
 def survey_round_trip(s, d):
-    """IO-6, W-6: a survey from CSV files of two headers and date formats, the latest year of each point."""
+    """IO-6, W-6: a survey from CSV files of two headers and date formats: the crops asked for, the latest year of each point."""
     path, k = _folder(s, "survey"), F.col("p_partkey")
     year = 2015 + k % 8
-    x = t(s, d, "part").select(F.floor(k / 2).alias("POINT_ID"), F.col("p_retailprice").alias("GPS_LAT"), F.col("p_size").alias("GPS_LONG"), F.col("p_brand").alias("LC1"), F.when(k % 2 == 0, F.concat(F.lit("15/06/"), year)).otherwise(year.cast("string")).alias("SURVEY_YEAR"), F.when(F.col("p_size") % 4 == 0, "DE").otherwise("SE").alias("NUTS0"))
-    x.write.option("header", True).csv(path)
+    columns = {"POINT_ID": F.floor(k / 2), "lat": F.col("p_retailprice"), "lon": F.col("p_size"), "crop": F.col("p_brand"), "year": F.when(k % 2 == 0, F.concat(F.lit("15/06/"), year)).otherwise(year.cast("string")), "NUTS0": F.when(F.col("p_size") % 4 == 0, "DE").otherwise("SE")}
+    headers = [{"lat": "GPS_LAT", "lon": "GPS_LONG", "crop": "LC1", "year": "SURVEY_YEAR"}, {"lat": "TH_LAT", "lon": "TH_LONG", "crop": "lc1", "year": "Year"}]
+    p = t(s, d, "part")
+    for n, header in enumerate(headers):
+        p.where(F.pmod(F.floor(k / 3), F.lit(2)) == n).select(*[c.alias(header.get(name, name)) for name, c in columns.items()]).write.option("header", True).csv(f"{path}/{n}")
     names = {"point_id": ["point_id"], "lat": ["th_lat", "gps_lat"], "lon": ["th_long", "gps_long"], "code": ["lc1"], "country": ["nuts0"], "year": ["survey_year", "year"]}
-    return T.survey_points(s, path, names, "SE", 2016).select("point_id", "lat", "lon", "code", "year")
+    return T.survey_points(s, [f"{path}/0", f"{path}/1"], names, "SE", 2016, ["Brand#1", "Brand#2", "Brand#3"]).select("point_id", "lat", "lon", "code", "year")
 
 
 @query(
-    """WITH f AS (SELECT n_name || chr(10) AS c FROM nation), h AS (SELECT sha256(c) AS h, strlen(c) AS n FROM f) SELECT count(*) AS files, sum(n)::BIGINT AS bytes, sha256(string_agg(h, chr(10) ORDER BY h)) AS set_sha256 FROM h"""
+    """WITH f AS (SELECT s_name || chr(10) AS c FROM supplier), h AS (SELECT sha256(c) AS h, strlen(c) AS n FROM f) SELECT count(*) AS files, sum(n)::BIGINT AS bytes, sha256(string_agg(h, chr(10) ORDER BY h)) AS set_sha256 FROM h"""
 )
 def input_manifest(s, d):
     """IO-12: digests of files and of the whole set, whatever its order."""
     path = _folder(s, "inputs")
-    t(s, d, "nation").select(F.col("n_nationkey").alias("part"), F.col("n_name").alias("value")).repartition("part").write.partitionBy("part").text(path)
+    t(s, d, "supplier").select(F.col("s_suppkey").alias("part"), F.col("s_name").alias("value")).repartition("part").write.partitionBy("part").text(path)
     return T.manifest(T.file_digests(s, path))
 
 

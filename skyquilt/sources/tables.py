@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 BOX = ("_bbox_minx", "_bbox_miny", "_bbox_maxx", "_bbox_maxy")
 
@@ -32,13 +32,21 @@ def first_column(df: DataFrame, candidates: list[str]) -> Column:
     return F.coalesce(*[F.col(c) for c in found]) if found else F.lit(None).cast("string")
 
 
-def survey_points(spark: SparkSession, path: str, aliases: dict[str, list[str]], country: str, least_year: int) -> DataFrame:
-    """Survey points of one country from CSV files whose headers vary; the latest year of each point."""
-    raw = spark.read.option("header", True).csv(path)
-    cols = raw.select(*[first_column(raw, names).alias(k) for k, names in aliases.items()])
+def survey_points(spark: SparkSession, path: str | list[str], aliases: dict[str, list[str]], country: str, least_year: int, crops: list[str] | None = None) -> DataFrame:
+    """Survey points of one country from CSV files; the latest year of each point.
+
+    Each path has files of one header, which may differ from path to path: ``aliases`` names a column's headers, the first that is there counts. ``crops``: beginnings of the codes to keep.
+    """
+    cols = None
+    for p in [path] if isinstance(path, str) else path:
+        raw = spark.read.option("header", True).csv(p)
+        part = raw.select(*[first_column(raw, names).alias(k) for k, names in aliases.items()])
+        cols = part if cols is None else cols.unionByName(part)
     year = F.coalesce(F.regexp_extract("year", r"(\d{4})", 1).try_cast("int"), F.lit(0))
     rows = cols.withColumns({"year": year, "lat": F.col("lat").try_cast("double"), "lon": F.col("lon").try_cast("double")})
     rows = rows.where((F.col("country") == country) & (F.col("year") >= least_year))
+    if crops:
+        rows = rows.where(F.exists(F.array(*map(F.lit, crops)), lambda c: F.startswith(F.col("code"), c)))
     latest = Window.partitionBy("point_id").orderBy(F.desc("year"), "code")
     return rows.withColumn("__r", F.row_number().over(latest)).where("__r = 1").drop("__r")
 
@@ -60,10 +68,12 @@ def as_features(df: DataFrame, box: tuple[str, str, str, str], properties: list[
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))).alias("value"))
 
 
-def write_features(df: DataFrame, box: tuple[str, str, str, str], properties: list[str], path: str, files: int = 8) -> None:
-    """GeoJSON feature collections, one a file, in ``files`` files; raise it with the rows, as a collection is one string."""
-    whole = as_features(df, box, properties).withColumn("__p", F.pmod(F.xxhash64("value"), F.lit(files)))
-    lines = whole.groupBy("__p").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value"))
+def write_features(df: DataFrame, box: tuple[str, str, str, str], properties: list[str], path: str, a_file: int = 50_000) -> None:
+    """GeoJSON feature collections, one a file, of about ``a_file`` features each, as a collection is one string."""
+    whole = as_features(df, box, properties)
+    files = max(1, -(-whole.count() // a_file))
+    dealt = whole.withColumn("__p", F.pmod(F.xxhash64("value"), F.lit(files)))
+    lines = dealt.groupBy("__p").agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value"))
     lines.repartitionById(files, F.col("__p").cast("int")).select("value").write.text(path)
 
 
@@ -77,14 +87,9 @@ def manifest(digests: DataFrame) -> DataFrame:
     return digests.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.sha2(F.array_join(F.sort_array(F.collect_list("sha256")), "\n"), 256).alias("set_sha256"))
 
 
-def write_splits(df: DataFrame, split: str, name: str, path: str) -> None:
-    """Names of each split, sorted, in a folder of its own."""
-    df.select(split, F.col(name).cast("string").alias(name)).repartition(split).sortWithinPartitions(split, name).write.partitionBy(split).text(path)
-
-
-def replace_partitions(df: DataFrame, path: str, by: str) -> None:
-    """Only the partitions that ``df`` has are replaced; the commit is atomic for each of them."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+def write_splits(df: DataFrame, split: str, name: str, path: str, files: int = 64) -> None:
+    """Names of each split in a folder of its own, sorted from file to file and within them; ranges of the whole order are dealt out, not splits."""
+    df.select(split, F.col(name).cast("string").alias(name)).repartitionByRange(files, split, name).sortWithinPartitions(split, name).write.partitionBy(split).text(path)
 
 
 #: Fixed value: what a training log's line looks like.
@@ -122,10 +127,11 @@ def read_tiles(spark: SparkSession, path: str, arrays: list[str]) -> DataFrame:
 
 
 class CatalogueSource(DataSource):
-    """``format("catalogue")``: scenes from pages of a catalogue, followed by their ``next`` links up to ``max_pages``.
+    """``format("catalogue")``: scenes from pages of a catalogue, which link to their ``next`` ones; a batch, or a stream of what is new.
 
     ``path`` is a folder of saved pages, ``<name>.json``, which link to each other by name. A live catalogue
-    needs a ``fetch`` of its own in a subclass; rows, paging and the cap stay the same.
+    needs a ``fetch`` of its own in a subclass; rows, paging and the cap stay the same. A batch that meets a ``next`` link after ``max_pages`` pages fails, as
+    rows would be missing; a stream has no such cap, as it keeps what it has read.
     """
 
     @classmethod
@@ -138,14 +144,14 @@ class CatalogueSource(DataSource):
     def reader(self, schema):
         return CatalogueReader(self.options)
 
+    def streamReader(self, schema):
+        return CatalogueStream(self.options)
 
-class CatalogueReader(DataSourceReader):
+
+class _Pages:
     def __init__(self, options: dict[str, str]):
         self.folder, self.first, self.most = options["path"], options.get("first", "page1").split(","), int(options.get("max_pages", 50))
 
-    def partitions(self):
-        return [InputPartition(p) for p in self.first]
-
     def fetch(self, page: str) -> dict:
         import pyarrow.fs as fs
 
@@ -154,13 +160,77 @@ class CatalogueReader(DataSourceReader):
         with store.open_input_stream(path) as f:
             return json.loads(bytes(f.read()))
 
+    @staticmethod
+    def after(body: dict) -> str | None:
+        return next((x["href"] for x in body.get("links", []) if x.get("rel") == "next"), None)
+
+    @staticmethod
+    def rows(body: dict):
+        for f in body.get("features", []):
+            p = f.get("properties", {})
+            cloud = p.get("eo:cloud_cover")
+            yield f.get("id"), str(p.get("datetime", ""))[:10], None if cloud is None else float(cloud)
+
+
+class CatalogueReader(_Pages, DataSourceReader):
+    def partitions(self):
+        return [InputPartition(p) for p in self.first]
+
     def read(self, partition):
         page, seen = partition.value, 0
-        while page and seen < self.most:
+        while page:
+            if seen == self.most:
+                raise ValueError(f"{page} is linked after {seen} pages, the most that were asked for")
             body = self.fetch(page)
-            for f in body.get("features", []):
-                p = f.get("properties", {})
-                cloud = p.get("eo:cloud_cover")
-                yield f.get("id"), str(p.get("datetime", ""))[:10], None if cloud is None else float(cloud)
-            page = next((x["href"] for x in body.get("links", []) if x.get("rel") == "next"), None)
+            yield from self.rows(body)
+            page = self.after(body)
             seen += 1
+
+
+class CatalogueStream(_Pages, DataSourceStreamReader):
+    """Offsets are numbers of pages along each chain of links, as far as they are linked by now; each page is a task."""
+
+    def __init__(self, options: dict[str, str]):
+        super().__init__(options)
+        self.chains: dict[str, list[str]] = {p: [p] for p in self.first}
+
+    def initialOffset(self) -> dict:
+        return dict.fromkeys(self.first, 0)
+
+    def _follow(self, first: str) -> list[str]:
+        """The chain's pages; what was followed before isn't fetched again, but for the last page, which may have been linked since."""
+        chain = self.chains[first]
+        while page := self.after(self.fetch(chain[-1])):
+            chain.append(page)
+        return chain
+
+    def latestOffset(self) -> dict:
+        return {p: len(self._follow(p)) for p in self.first}
+
+    def partitions(self, start: dict, end: dict):
+        return [InputPartition(page) for p in self.first for page in self._follow(p)[start.get(p, 0) : end[p]]]
+
+    def read(self, partition):
+        yield from self.rows(self.fetch(partition.value))
+
+
+def write_catalogue(df: DataFrame, number: str, scene: str, date: str, cloud: str, folder: str, a_page: int, last: int | None = None) -> int:
+    """Rows as linked pages, ``page1.json`` and on, ``a_page`` rows each by ``number`` (gapless, from 0); pages beyond ``last`` aren't written yet, nor linked. Gives the number of pages."""
+    pages = -(-df.count() // a_page)
+    upto = min(pages, last or pages)
+
+    def save(parts):
+        import pyarrow.fs as fs
+
+        store, root = fs.FileSystem.from_uri(folder if re.match(r"\w+:", folder) else f"file://{folder}")
+        store.create_dir(root, recursive=True)
+        for pdf in parts:
+            for k, page in pdf.groupby("page"):
+                link = [{"rel": "next", "href": f"page{k + 2}"}] if k + 1 < upto else []
+                found = [{"id": i, "properties": {"datetime": str(d), "eo:cloud_cover": None if c != c else c}} for i, d, c in zip(page["scene"], page["date"], page["cloud"], strict=True)]
+                with store.open_output_stream(f"{root}/page{k + 1}.json") as out:
+                    out.write(json.dumps({"features": found, "links": link}).encode())
+            yield pdf[["page"]].drop_duplicates()
+
+    rows = df.select(F.floor(F.col(number) / a_page).cast("int").alias("page"), F.col(scene).cast("string").alias("scene"), F.col(date).cast("string").alias("date"), F.col(cloud).cast("double").alias("cloud")).where(F.col("page") < upto)
+    return rows.groupBy("page").applyInPandas(lambda pdf: next(save([pdf])), "page int").count()

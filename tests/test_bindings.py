@@ -7,8 +7,9 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from skyquilt.operators import iterative as I
 from skyquilt.operators import joins as J
-from skyquilt.plans import audit_bindings, bindings, kernel_bindings, scene_bindings  # noqa: F401  the others add their queries
+from skyquilt.plans import audit_bindings, bindings, kernel_bindings, refine_bindings, scene_bindings, stream_bindings  # noqa: F401  the others add their queries
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -70,6 +71,7 @@ def test_boxes_pair_once(spark):
 
 def test_components_of_all_links(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/lineitem.parquet").selectExpr("l_suppkey * 2", "l_partkey * 2 + 1").distinct().collect()]
+    rows += [(-k, -k - 1) for k in range(1, 60) if k % 7] + [(10_000 + k // 2, 10_000 + k) for k in range(1, 200)]
     parent = {x: x for r in rows for x in r}
 
     def find(x):
@@ -80,23 +82,27 @@ def test_components_of_all_links(spark):
     for a, b in rows:
         a, b = sorted((find(a), find(b)))
         parent[b] = a
-    got = {r.id: r.component for r in bindings.QUERIES["linked_components"](spark, DATA).collect()}
-    assert got == {x: find(x) for x in parent}
+    got = {r.id: r.component for r in I.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in parent} and len(set(got.values())) > 8
+
+
+def test_linked_components_are_many(spark):
+    got = bindings.QUERIES["linked_components"](spark, DATA).groupBy("component").agg(F.count("*").alias("n"))
+    assert got.count() > 100 and got.agg(F.max("n")).first()[0] > 3
 
 
 def test_set_cover_takes_the_best_each_round(spark):
-    li = spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_suppkey", "l_partkey")
-    sizes = {r.p_partkey: r.p_size for r in spark.read.parquet(f"{DATA}/part.parquet").collect()}
+    nation = {r.s_suppkey: r.s_nationkey for r in spark.read.parquet(f"{DATA}/supplier.parquet").collect()}
     covers = {}
-    for r in li.collect():
-        covers.setdefault(r.l_suppkey, set()).add(sizes[r.l_partkey])
+    for r in spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_suppkey", "l_orderkey").collect():
+        covers.setdefault(nation[r.l_suppkey], set()).add(r.l_orderkey)
     left, want = set().union(*covers.values()), []
     while left:
         best = min(covers, key=lambda k: (-len(covers[k] & left), k))
         want.append((best, len(covers[best] & left)))
         left -= covers[best]
     got = bindings.QUERIES["set_cover"](spark, DATA).orderBy("round").collect()
-    assert [(r.l_suppkey, r.covered) for r in got] == want
+    assert [(r.s_nationkey, r.covered) for r in got] == want and len(want) > 3
 
 
 def test_exact_percentiles(spark):
