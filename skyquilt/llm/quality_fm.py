@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from skyquilt.llm import ragged
 from skyquilt.llm.common import materialize, table
 
-BITS, RANK = 15, 8
+BITS, RANK = 14, 8
 MOST_LABELLED, WORKERS, EPOCHS, BATCH = 10_000, 8, 8, 128
 RATE, DECAY = 0.1, 1e-5
 THRESHOLD = 0.7
@@ -180,7 +180,7 @@ def _trainer(sent):
 
         machine.train(minibatches(), state)
         if seen:
-            flat = np.concatenate([[machine.w0, state[0][0]], machine.w, machine.v.reshape(-1), state[1], state[2].reshape(-1)])
+            flat = np.concatenate([[machine.w0, state[0][0]], machine.w, machine.v.reshape(-1), state[1], state[2].reshape(-1)]).astype(np.float32)
             yield pa.RecordBatch.from_pydict({"rows": pa.array([seen], pa.int64()), "model": pa.array([flat.tobytes()], pa.binary())})
 
     return run
@@ -215,13 +215,13 @@ def fit(rows: DataFrame, epochs: int = EPOCHS, workers: int = WORKERS) -> Machin
     for _ in range(epochs):
         sent = spark.sparkContext.broadcast((machine, state))
         parts = dealt.repartitionById(workers, F.pmod("h", F.lit(workers)).cast("int")).sortWithinPartitions("h")
-        got = parts.mapInArrow(_trainer(sent), "rows bigint, model binary").collect()  # one model a worker
-        sent.unpersist()
+        got = parts.mapInArrow(_trainer(sent), "rows bigint, model binary").collect()  # one model a worker, 1.2 MB each
+        sent.destroy()
         if not got:
             break
         share = sum(r["rows"] for r in got)
         got.sort(key=lambda r: bytes(r["model"]))  # sums don't depend on the order of arrival
-        flat = sum(np.frombuffer(r["model"]) * (r["rows"] / share) for r in got)
+        flat = sum(np.frombuffer(r["model"], np.float32) * (r["rows"] / share) for r in got)
         head, w, v, g, gg = np.split(flat, np.cumsum([2, N_INPUTS, N_INPUTS * RANK, N_INPUTS]))
         machine, state = Machine(float(head[0]), w, v.reshape(N_INPUTS, RANK)), [head[1:2].copy(), g, gg.reshape(N_INPUTS, RANK)]
     if not epochs or machine.w0 == 0.0:
