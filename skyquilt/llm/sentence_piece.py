@@ -17,6 +17,7 @@ ids and texts repeat as rows do; an empty table gives no rows; columns other tha
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -89,9 +90,13 @@ def read_model(path: str) -> Model:
         elif number == 2:  # trainer
             t = dict(messages(value))
             out.kind, out.byte_fallback, out.unknown = t.get(3, UNIGRAM), bool(t.get(35, 0)), t.get(40, 0)
+            if t.get(24, 0):
+                raise ValueError("markers behind words (treat_whitespace_as_suffix) aren't supported")
         elif number == 3:  # normaliser
             n = dict(messages(value))
             out.char_map, out.dummy_prefix, out.squeeze = n.get(2, b""), bool(n.get(3, 1)), bool(n.get(4, 1))
+            if not n.get(5, 1):
+                raise ValueError("spaces that stay as they are (escape_whitespaces off) aren't supported")
     return out
 
 
@@ -106,15 +111,21 @@ def merges(model: Model) -> list[tuple[str, str]]:
 
 
 def build(model: Model, prefix: bool = True):
-    """The tokenizer; without ``prefix`` no marker is put before a text."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+    """The tokenizer; without ``prefix`` no marker is put before a text.
+
+    Text never becomes a control, unknown or byte piece by its spelling. In a unigram model the first two are named with a space before them, which no
+    normalised text has; byte pieces keep their names, by which the fallback finds them, and texts that spell one are cut behind the bracket. In a pair model no pair makes
+    such a piece. User-defined symbols of a pair model are cut out first, each a piece of its own.
+    """
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
     unknown = model.pieces[model.unknown][0]
+    symbols = sorted((p for p, _, kind in model.pieces if kind == USER_DEFINED), key=len, reverse=True) if model.kind == BPE else []
     if model.kind == BPE:
         vocabulary = {p: i for i, (p, _, _) in enumerate(model.pieces)}
-        core = models.BPE(vocab=vocabulary, merges=merges(model), unk_token=unknown, fuse_unk=True, byte_fallback=model.byte_fallback)
+        core = models.BPE(vocab=vocabulary, merges=merges(model), unk_token=unknown, fuse_unk=True, byte_fallback=model.byte_fallback, **({"ignore_merges": True} if symbols else {}))
     elif model.kind == UNIGRAM:
-        core = models.Unigram([(p, s) for p, s, _ in model.pieces], model.unknown, model.byte_fallback)
+        core = models.Unigram([(f" {p}" if kind in (CONTROL, UNKNOWN) else p, s) for p, s, kind in model.pieces], model.unknown, model.byte_fallback)
     else:
         raise ValueError(f"model type {model.kind} isn't supported")
     out = Tokenizer(core)
@@ -124,6 +135,10 @@ def build(model: Model, prefix: bool = True):
     if prefix and model.dummy_prefix:
         steps.append(normalizers.Prepend(MARK))
     out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
+    if symbols:
+        out.pre_tokenizer = pre_tokenizers.Split(Regex("|".join(re.escape(p) for p in symbols)), "isolated")
+    elif model.kind == UNIGRAM and model.byte_fallback:
+        out.pre_tokenizer = pre_tokenizers.Split(Regex("(?<=<)0(?=x[0-9A-F]{2}>)"), "merged_with_next")
     tail = [decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []
     out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *tail])
     return out
@@ -182,8 +197,9 @@ class Coder:
             lone = len(self.judge.encode("x"))
             want = [w if t != " " else w[lone:] for t, w in zip(texts, want, strict=True)]
         back = self.tokenizer.decode_batch(got, skip_special_tokens=False)
-        cut = 0 if self.whole or not self.model.dummy_prefix else 1
-        return [g + [-1] * (g != w) + [-2] * (b != t.replace(MARK, " ")[cut:]) for g, w, t, b in zip(got, want, texts, back, strict=True)]
+        cut = 1 if self.model.dummy_prefix else 0
+        true = self.judge.decode(want) if self.whole else [t.replace(MARK, " ")[cut:] for t in texts]  # a normalised text is held against sentencepiece's own decoding
+        return [g + [-1] * (g != w) + [-2] * (b != t) for g, w, t, b in zip(got, want, true, back, strict=True)]
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For runs of texts: first and last, all ids, how many each text has, whether the libraries agree on it, and whether it decodes to itself."""

@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,6 +238,51 @@ def test_unigram_model_with_byte_fallback(spark, odd, tmp_path):
         assert np.mean([got[i].parity for i in range(len(want))]) > 0.95 and (squeeze or all(r.round_trip for r in got.values()))
 
 
+CONTROLS = ["a <s> b", "</s>", "x<unk>y", "<0x41>", "<0x41>A<0x0A>", "<s><s>", "<0x4", "ab <unk"]
+
+
+@pytest.mark.parametrize("squeeze", [0, 1])
+def test_controls_are_text(tmp_path, squeeze):
+    """Texts that spell control, unknown or byte pieces are encoded as any other text, by both kinds of models."""
+    import sentencepiece
+
+    known = sentence_piece.read_model(sentence_piece._path()).pieces
+    rng = np.random.default_rng(1)
+    kept = [(p, 0.0 if t in (2, 3, 6) else -5 - 0.001 * i - float(rng.random()), t) for i, (p, _, t) in enumerate(known)]
+    path = str(tmp_path / "controls.model")
+    with open(path, "wb") as f:
+        f.write(proto(*[(1, proto((1, p.encode()), (2, float(s)), (3, t))) for p, s, t in kept], (2, proto((3, 1), (35, 1), (40, 0))), (3, proto((1, b"identity"), (3, 1), (4, squeeze)))))
+    for name in (path, sentence_piece._path()):
+        sp, coder = sentencepiece.SentencePieceProcessor(model_file=name), sentence_piece.Coder(name, 1)
+        for text in CONTROLS:
+            ((_, _, ids, n, agree, back),) = coder.encode(pa.array([text]))
+            assert ids.tolist() == sp.encode(text) and agree.all() and back.all(), text
+            assert not {sp.id_to_piece(i) for i in ids.tolist()} & {"<s>", "</s>", "<unk>"}
+
+
+def test_user_symbols_of_pairs(tmp_path):
+    """Symbols of a pair model stay whole wherever they stand."""
+    import sentencepiece
+
+    known = sentence_piece.read_model(sentence_piece._path()).pieces
+    path = str(tmp_path / "symbols.model")
+    with open(path, "wb") as f:
+        extra = [("<sep>", 0.0, 4), ("<sep>x", 0.0, 4), ("日本", 0.0, 4)]
+        f.write(proto(*[(1, proto((1, p.encode()), (2, float(s)), (3, t))) for p, s, t in [*known, *extra]], (2, proto((3, 2), (35, 1), (40, 0))), (3, proto((1, b"identity"), (3, 1), (4, 0)))))
+    sp, coder = sentencepiece.SentencePieceProcessor(model_file=path), sentence_piece.Coder(path, 1)
+    for text in ("one<sep>two", "<sep>", "a <sep> b", "in 日本 and<sep>x<sep><sep>", "no symbol here", "日本<sep"):
+        ((_, _, ids, n, agree, back),) = coder.encode(pa.array([text]))
+        assert ids.tolist() == sp.encode(text) and agree.all(), text
+
+
+def test_models_not_supported(tmp_path):
+    for k, fields in enumerate(([(2, proto((3, 1), (24, 1)))], [(3, proto((1, b"identity"), (5, 0)))])):
+        path = tmp_path / f"{k}.model"
+        path.write_bytes(proto((1, proto((1, b"<unk>"), (2, 0.0), (3, 2))), *fields))
+        with pytest.raises(ValueError, match="supported"):
+            sentence_piece.read_model(str(path))
+
+
 def test_rebuilt_unigram():
     pieces = [("<unk>", 0.0, 2)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] + [("▁a", -1.0, 1), ("▁", -2.0, 1), ("b", -2.0, 1), ("ab", -2.5, 1), ("a", -3.0, 1)]
     model = sentence_piece.Model(pieces, sentence_piece.UNIGRAM, True, 0, b"", True, False)
