@@ -211,6 +211,12 @@ def map_box(x_min, y_min, x_max, y_max, west: float, north: float, step: float =
     return F.struct(e(x_min).alias("west"), n(y_max).alias("south"), e(x_max).alias("east"), n(y_min).alias("north"))
 
 
+def box_ring(west, south, east, north) -> Column:
+    """A box of the grid as a closed ring of latitudes and longitudes, from the south-west corner counter-clockwise."""
+    corners = [(west, south), (east, south), (east, north), (west, north), (west, south)]
+    return F.array(*[from_grid(e, n) for e, n in corners])
+
+
 def centred_box(easting, northing, size_px: int, step: float = 10) -> Column:
     half = size_px * step / 2
     e, n = col(easting), col(northing)

@@ -245,7 +245,7 @@ def rare_classes(counts: DataFrame, share: float) -> DataFrame:
 
 def tile_weights(pixels: DataFrame, rare: DataFrame, tile: str, cls: str, most: float) -> DataFrame:
     """1 + (most - 1) * share of rare classes in a tile, to three places."""
-    flag = pixels.join(F.broadcast(rare.select(cls).distinct().withColumn("__r", F.lit(1.0))), cls, "left")
+    flag = pixels.join(rare.select(cls).distinct().withColumn("__r", F.lit(1.0)), cls, "left")  # broadcast by Spark if it is small
     return flag.groupBy(tile).agg(F.round(1 + (most - 1) * F.avg(F.coalesce("__r", F.lit(0.0))), 3).alias("weight"))
 
 
@@ -356,3 +356,33 @@ def valid_fraction(bands, threshold: float = 1e-6) -> Column:
 def bright_fraction(band, bright: float) -> Column:
     """Share of bright rows among those with data; with none 1."""
     return share_inside(col(band) > bright, col(band) > 0, 1.0)
+
+
+def mean_image(scenes: DataFrame, place: list[str], values: list[str]) -> DataFrame:
+    """Sums and numbers of what is known at each place over all scenes, and their means: partial sums of many scenes add up in any order."""
+    return scenes.groupBy(*place).agg(*[F.count(v).alias(f"n_{v}") for v in values], *[F.avg(v).alias(v) for v in values])
+
+
+def class_tiles(pixels: DataFrame, tile: str, cls: str, crops: list[int]) -> DataFrame:
+    """For each class its pixels, the tiles where it is the most frequent (the lowest of equals), and whether it is a crop."""
+    n = pixels.groupBy(tile, cls).agg(F.count("*").alias("__n"))
+    top = modal_top(n, tile, cls)
+    return n.join(top, [tile, cls], "left").groupBy(cls).agg(F.sum("__n").alias("pixels"), F.count("__top").alias("dominant_tiles")).withColumn("is_crop", F.col(cls).isin(crops))
+
+
+def modal_top(n: DataFrame, tile: str, cls: str) -> DataFrame:
+    best = n.groupBy(tile).agg(F.max_by(cls, F.struct(F.col("__n"), -F.col(cls))).alias(cls))
+    return best.withColumn("__top", F.lit(1))
+
+
+def principal_components(df: DataFrame, vector: str, k: int) -> DataFrame:
+    """``df`` with ``components``, the first ``k`` principal components of a column of arrays; each points to where its largest loading is positive."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    known = df.withColumn("__v", array_to_vector(F.transform(vector, lambda x: x.cast("double"))))
+    model = PCA(k=k, inputCol="__v", outputCol="__c").fit(known)
+    loadings = model.pc.toArray()  # as many rows as a vector is long
+    signs = [1.0 if max(column, key=abs) > 0 else -1.0 for column in loadings.T.tolist()]
+    turned = F.zip_with(vector_to_array("__c"), F.array(*map(F.lit, signs)), lambda a, b: a * b)
+    return model.transform(known).withColumn("components", turned).drop("__v", "__c")

@@ -157,6 +157,13 @@ def centre_crop(pixels: DataFrame, rows: int, cols: int, to_rows: int, to_cols:
     return pixels.where(inside).withColumns({"row": F.col("row") - top, "col": F.col("col") - left})
 
 
+def resized(pixels: DataFrame, value: str, rows: int, cols: int, to_rows: int, to_cols: int, fill: float = 0) -> DataFrame:
+    """Tiles of another size around the same middle: what lies beyond is cut off, and what is missing has a pixel of ``fill``."""
+    kept = centre_crop(pixels.select("tile", "row", "col", value), rows, cols, to_rows, to_cols)
+    whole = pixels.select("tile").distinct().withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(to_rows - 1)))).withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(to_cols - 1))))
+    return whole.join(kept, ["tile", "row", "col"], "left").withColumn(value, F.coalesce(F.col(value), F.lit(fill)))
+
+
 def interpolated(pixels: DataFrame, lut: DataFrame, key: list[str], x: str, at: str, value: str) -> DataFrame:
     """``pixels`` with ``value`` interpolated between the table's entries around ``x`` (``at`` ascending); the outer entries hold beyond.
 

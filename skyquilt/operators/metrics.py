@@ -110,3 +110,36 @@ def auroc_by_class(df: DataFrame, cls: str, score: str, positive: Column) -> Dat
     h = h.withColumn("below", F.coalesce(F.sum("b").over(up), F.lit(0)))
     area = F.sum(F.col("a") * (F.col("below") + F.col("b") / 2)) / F.nullif((F.sum("a") * F.sum("b")).cast("double"), F.lit(0.0))
     return h.groupBy(cls).agg(F.coalesce(area, F.lit(float("nan"))).alias("auroc"), F.sum(F.col("a") + F.col("b")).alias("plots"))
+
+
+def curves_by_class(df: DataFrame, cls: str, score: str, positive: Column) -> DataFrame:
+    """``auroc`` and ``aupr`` of each class, ties at one point, by trapezoids; the precision-recall curve starts at (0, its first precision). NaN with one kind only.
+
+    For scores of few values: the rows are counted by score first, and a class's distinct scores are ranked.
+    """
+    h = df.groupBy(cls, score).agg(F.count_if(positive).cast("double").alias("a"), F.count_if(~positive).cast("double").alias("b"))
+    down = Window.partitionBy(cls).orderBy(F.desc(score))
+    so_far, whole = down.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(cls)
+    h = h.withColumns({"tp": F.sum("a").over(so_far), "fp": F.sum("b").over(so_far), "np": F.sum("a").over(whole), "nn": F.sum("b").over(whole)})
+    recall, precision = F.col("tp") / F.nullif("np", F.lit(0.0)), F.col("tp") / (F.col("tp") + F.col("fp"))
+    h = h.withColumns({"r": recall, "p": precision, "f": F.col("fp") / F.nullif("nn", F.lit(0.0))})
+    before = lambda c, first: F.coalesce(F.lag(c).over(down), first)
+    h = h.withColumns({"d_roc": (F.col("f") - before("f", F.lit(0.0))) * (F.col("r") + before("r", F.lit(0.0))) / 2, "d_pr": (F.col("r") - before("r", F.lit(0.0))) * (F.col("p") + before("p", F.col("p"))) / 2})
+    both = (F.max("np") > 0) & (F.max("nn") > 0)
+    area = lambda c: F.when(both, F.sum(c)).otherwise(F.lit(float("nan")))
+    return h.groupBy(cls).agg(area("d_roc").alias("auroc"), area("d_pr").alias("aupr"))
+
+
+def plot_report(plots: DataFrame, truth: str, predicted: str, scores: str, classes: list[int]) -> DataFrame:
+    """A row a class that has plots: how many, how many of them were predicted right, its areas under both curves over all plots; and the accuracy over all plots of a known class (1 and above).
+
+    ``scores``: an array with a score for each class from 0. A plot without a class (null or below 1) counts as negative for all.
+    """
+    t = F.coalesce(F.col(truth), F.lit(-1))
+    known = plots.where(t >= 1)
+    overall = F.broadcast(known.agg(F.count("*").alias("n_known"), F.avg((F.col(predicted) == t).cast("double")).alias("accuracy")))
+    per = known.where(t.isin(classes)).groupBy(t.alias("class")).agg(F.count("*").alias("plots"), F.count_if(F.col(predicted) == t).alias("right"))
+    asked = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), F.get(scores, F.lit(c)).alias("score")) for c in classes]))
+    long = plots.select(t.alias("t"), asked.alias("s")).select("t", "s.*")
+    curves = curves_by_class(long, "class", "score", F.col("t") == F.col("class"))
+    return per.join(curves, "class").join(overall, F.lit(True)).select("class", "plots", "right", "auroc", "aupr", "n_known", "accuracy")

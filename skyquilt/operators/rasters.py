@@ -66,6 +66,20 @@ def resampled(df: DataFrame, rows: int, cols: int, to_rows: int, to_cols: int, v
     return src.join(F.broadcast(grid) if to_rows * to_cols <= 1 << 20 else grid, ["__r", "__c"]).select("tile", "row", "col", value)
 
 
+def snapped_to_grid(df: DataFrame, value: str, origins: DataFrame, step: float, lattice: float) -> DataFrame:
+    """Tiles laid on the lattice of a target grid (corners at multiples of ``lattice``): each target pixel whose centre lies in a tile takes the pixel beneath it.
+
+    ``origins``: tile, west, north (of the upper left corner of pixel 0, 0). Gives ``tile row col`` and the value, rows from the north in lattice steps, columns from the west.
+    """
+    j = df.join(origins.select("tile", "west", "north"), "tile")
+    low, high = F.col("west") + F.col("col") * step, F.col("west") + (F.col("col") + 1) * step
+    top, bottom = F.col("north") - F.col("row") * step, F.col("north") - (F.col("row") + 1) * step
+    span = lambda a, b: F.sequence(F.floor(a / lattice - 0.5).cast("long"), F.ceil(b / lattice - 0.5).cast("long"))
+    cells = j.withColumns({"__a": low, "__b": high, "__t": top, "__u": bottom}).withColumn("__c", F.explode(span(low, high))).withColumn("__r", F.explode(span(-top, -bottom)))
+    x, y = (F.col("__c") + 0.5) * lattice, -(F.col("__r") + 0.5) * lattice
+    return cells.where((x >= F.col("__a")) & (x < F.col("__b")) & (y <= F.col("__t")) & (y > F.col("__u"))).select("tile", F.col("__r").alias("row"), F.col("__c").alias("col"), value)
+
+
 def patches(df: DataFrame, points: DataFrame, value: str, reach: int) -> DataFrame:
     """For each point (tile, row, col) the values of the square around it, row by row; null outside the tile."""
     around = F.explode(F.sequence(F.lit(-reach), F.lit(reach)))

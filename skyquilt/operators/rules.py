@@ -57,6 +57,41 @@ def label_rules(n_classes: int, least_crop: float = 0.05, most_uniform: float =
     ]
 
 
+def tile_rules(n_classes: int, size: Column, codes: tuple[int, ...], least_crop: float = 0.05, most_uniform: float = 0.95) -> list[Rule]:
+    """All checks of a tile's labels: those of ``label_rules`` (of which the share of an expected class counts only where another one is more frequent), its shape, and for tiles of crops their codes, parcels and year.
+
+    Columns: those of ``label_rules``, ``pixels``, ``is_crop``, ``found`` (array of codes), ``parcels``, ``parcel_year``, ``first_year``, ``top``.
+    """
+    crop = F.col("is_crop")
+    unknown = F.exists("found", lambda c: ~c.isin(*codes))
+    labels = [r for r in label_rules(n_classes, least_crop, most_uniform) if not r.reason.endswith("below its share")]
+    return [
+        *labels,
+        Rule("expected: class below its share", crop & (F.col("expected_share") > 0) & (F.col("expected_share") < least_crop) & (F.col("top") != F.col("expected"))),
+        Rule("shape: number of pixels", F.col("pixels") != size, "rebuild"),
+        Rule("codes: unknown", crop & unknown),
+        Rule("parcels: none on a tile of crops", crop & (F.col("parcels") == 0), "rebuild"),
+        Rule("year: parcels of another year", crop & (F.col("parcel_year") != F.col("first_year")), "refetch"),
+    ]
+
+
+def key_parity(staging: DataFrame, live: DataFrame, key: str) -> DataFrame:
+    """Keys that only one side has, and which: none where both were written alike."""
+    both = staging.select(key).distinct().withColumn("s", F.lit(1)).withColumn("l", F.lit(0)).unionByName(live.select(key).distinct().withColumn("s", F.lit(0)).withColumn("l", F.lit(1)))
+    sides = both.groupBy(key).agg(F.max("s").alias("s"), F.max("l").alias("l"))
+    return sides.where("s <> l").select(key, F.when(F.col("s") == 1, "staging").otherwise("live").alias("only_in"))
+
+
+def postprocess_verdict(frames: DataFrame, tile: str, most_missing: float = 0.05, least_frames: int = 3) -> DataFrame:
+    """What becomes of each tile after processing: removed for missing data in a frame that is there, or for too few frames, else kept; with its number of frames.
+
+    ``frames``: tile, mask (1 where the frame is there), missing (share of pixels without data).
+    """
+    on = F.col("mask") == 1
+    a = frames.groupBy(tile).agg(F.count_if(on).alias("frames"), F.bool_or(on & (F.col("missing") > most_missing)).alias("__gap"))
+    return a.select(tile, "frames", F.when(F.col("__gap"), "missing_data").when(F.col("frames") < least_frames, "few_frames").otherwise("kept").alias("verdict"))
+
+
 def alignment(df: DataFrame, tile: str, forest: Column, aux: Column, least_phi: float = 0.15, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Whether a forestry layer lies where the forest is: their correlation; tiles nearly all or hardly forest are skipped."""
     from skyquilt.operators.aggregates import phi

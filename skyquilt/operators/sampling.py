@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from skyquilt.functions.spectral import col
 
 
+def digest_uniform(seed: int, *keys) -> Column:
+    """A number in [0, 1) from the first 52 bits of an md5 of the keys, which other engines have too."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[col(k).cast("string") for k in keys]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
 def uniform(seed: int, *keys) -> Column:
     """A number in (0, 1) from hashed keys."""
-    return (F.pmod(F.xxhash64(F.lit(seed), *[col(k) for k in keys]), F.lit(1 << 53)) + 0.5) / F.lit(float(1 << 53))
+    return digest_uniform(seed, *keys) + 0.5 / (1 << 52)
 
 
 def md5_percent(name) -> Column:
@@ -119,12 +125,6 @@ def with_rank(df: DataFrame, order: list[str], buckets: int = 64) -> DataFrame:
     return ranged.withColumn("__k", inside).join(F.broadcast(offsets), "__b").withColumn("rank", F.col("__o") + F.col("__k")).drop("__b", "__k", "__o")
 
 
-def digest_uniform(seed: int, key) -> Column:
-    """A number in [0, 1) from the first 52 bits of an md5, which other engines have too."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), col(key).cast("string")))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
-
-
 def with_replacement(df: DataFrame, weight: str, unique: str, draws: int, seed: int, buckets: int = 64) -> DataFrame:
     """Rows with ``draws``, how often each is drawn in so many independent draws in proportion to weight; rows without a weight above 0 never are.
 

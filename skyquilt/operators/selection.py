@@ -177,3 +177,21 @@ def prior_autumn(dates: DataFrame, tile: str, day: str, year: Column, cloud: str
     within = dates.where(F.col(day).between(start, end) & (F.col(cloud) <= most_cloud))
     middle = F.date_add(start, 38)
     return first_per(within, [tile], [F.abs(F.datediff(F.col(day), middle)), F.col(day)]).select(tile, day)
+
+
+def background_date(dates: DataFrame, tile: str, day: str, weather_ok: str, years: tuple[int, ...] = (2016, 2015)) -> DataFrame:
+    """A date for slot 4: of the first of the years that has one, from June to mid-August in good weather; the nearest to the middle, the earlier of equals."""
+    near, year = [], F.year(day)
+    for k, y in enumerate(years):
+        start, end = F.make_date(F.lit(y), F.lit(6), F.lit(1)), F.make_date(F.lit(y), F.lit(8), F.lit(16))
+        near.append(F.when((year == y) & F.col(day).between(start, end), F.struct(F.lit(k).alias("k"), F.abs(F.datediff(F.col(day), F.date_add(start, 38))).alias("gap"))))
+    return first_per(dates.where(F.col(weather_ok)).withColumn("__n", F.coalesce(*near)).where("__n IS NOT NULL"), [tile], [F.col("__n"), F.col(day)]).select(tile, day)
+
+
+def slot_plan(dates: DataFrame, slots: DataFrame, tile: str, tile_year: int, years: tuple[int, ...] = (2016, 2015), strict_cloud: float = 0.10, relaxed_cloud: float = 0.40) -> DataFrame:
+    """``tile, slot, date`` of all five slots: 1 to 3 by ``slot_dates``; and only of tiles that have all three, the autumn before as slot 0 and a summer of the background years as slot 4, if they have one."""
+    grown = slot_dates(dates, slots, tile, strict_cloud, relaxed_cloud).where("slot BETWEEN 1 AND 3").select(tile, F.col("slot").cast("int").alias("slot"), "date")
+    going_on = dates.join(grown.select(tile).distinct(), tile, "left_semi")
+    autumn = prior_autumn(going_on, tile, "date", F.lit(tile_year), "cloud", relaxed_cloud).select(tile, F.lit(0).alias("slot"), "date")
+    summer = background_date(going_on, tile, "date", "weather_ok", years).select(tile, F.lit(4).alias("slot"), "date")
+    return grown.unionByName(autumn).unionByName(summer)

@@ -269,7 +269,7 @@ def nearest_scene(s, d):
 def class_lookup(s, d):
     """J-10, S-26: codes to names with a default."""
     known = t(s, d, "region").where("r_name <> 'ASIA'").select(F.col("r_regionkey").alias("n_regionkey"))
-    n = t(s, d, "nation").join(F.broadcast(known), "n_regionkey", "left_semi").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nation"))
+    n = t(s, d, "nation").join(known, "n_regionkey", "left_semi").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nation"))
     return J.lookup_join(t(s, d, "supplier").select("s_suppkey", "s_nationkey"), n, "s_nationkey", {"nation": "unknown"}).select("s_suppkey", "nation")
 
 
@@ -375,7 +375,7 @@ def merge_gate(s, d):
 def class_hist_two_levels(s, d):
     """A-3: two levels in one pass."""
     n = t(s, d, "nation").join(t(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    c = t(s, d, "customer").select("c_nationkey").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = t(s, d, "customer").select("c_nationkey").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return A.two_level_histogram(c, "r_name", "n_name")
 
 
@@ -417,10 +417,19 @@ def otsu(s, d):
     return o.withColumn("threshold", F.round("threshold", 6))
 
 
-@query()
+@query(
+    """WITH p AS (SELECT quantile_cont(o_totalprice, 0.01) AS lo, quantile_cont(o_totalprice, 0.99) AS hi, count(*) AS rows FROM orders),
+    h AS (SELECT least(greatest(floor((o_totalprice - lo) / greatest(hi - lo, 1e-12) * 255), 0), 255)::INT AS bin, count(*) AS n FROM orders, p GROUP BY 1), g AS (SELECT i::INT AS bin, coalesce(n, 0) AS n FROM range(0, 256) r(i) LEFT JOIN h ON h.bin = i),
+    k AS (SELECT i::INT AS d, exp(-(i * i) / 18.0) AS w FROM range(-12, 13) r(i)), s AS (SELECT g.bin, round(sum(x.n * k.w / (SELECT sum(w) FROM k)), 9) AS v FROM g, k JOIN g x ON x.bin = g.bin + k.d GROUP BY 1),
+    pk AS (SELECT bin, v FROM (SELECT *, lag(v) OVER (ORDER BY bin) AS a, lead(v) OVER (ORDER BY bin) AS b FROM s) WHERE v > coalesce(a, -1) AND v >= coalesce(b, -1) AND v > 0),
+    one AS (SELECT bin FROM pk ORDER BY v DESC, bin LIMIT 1), two AS (SELECT pk.bin FROM pk, one WHERE abs(pk.bin - one.bin) >= 32 ORDER BY v DESC, pk.bin LIMIT 1),
+    c AS (SELECT bin, sum(n) OVER u AS w0, sum(n * bin) OVER u AS s0, sum(n) OVER () AS w, sum(n * bin) OVER () AS s FROM h WINDOW u AS (ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+    o AS (SELECT bin FROM c ORDER BY round(w0::DOUBLE * (w - w0) * power(s0 / w0 - coalesce((s - s0) / nullif(w - w0, 0), s0 / w0), 2), 3) DESC, bin LIMIT 1)
+    SELECT round(CASE WHEN rows < 100 THEN 0.3 ELSE coalesce((SELECT lo + (hi - lo) * (0.2 * greatest(one.bin, two.bin) + 0.8 * least(one.bin, two.bin)) / 255 FROM one, two), (SELECT lo + (hi - lo) * bin / 255 FROM o), 0.3) END, 4) AS threshold FROM p"""
+)
 def weighted_peaks(s, d):
-    """A-15: tested against numpy."""
-    return A.weighted_peaks(t(s, d, "orders").select("o_totalprice"), "o_totalprice")
+    """A-15, W-15: a threshold between the two highest peaks of a smoothed histogram."""
+    return A.weighted_peaks(t(s, d, "orders").select("o_totalprice"), "o_totalprice").select(F.round("threshold", 4).alias("threshold"))
 
 
 @query(
@@ -626,7 +635,7 @@ def growing_season(s, d):
 def segment_vote(s, d):
     """A-45: mean score of each class in a segment, the best class wins."""
     o = t(s, d, "orders")
-    order = F.broadcast(o.select("o_orderpriority").distinct().withColumn("cls", F.dense_rank().over(_by("o_orderpriority"))))
+    order = o.select("o_orderpriority").distinct().withColumn("cls", F.dense_rank().over(_by("o_orderpriority")))
     x = o.join(order, "o_orderpriority").select((F.col("o_custkey") % 100).alias("seg"), "cls", "o_totalprice")
     return A.segment_vote(x, "seg", "cls", "o_totalprice").select("seg", F.col("cls").cast("int").alias("cls"))
 
@@ -716,18 +725,28 @@ def evaluation_splits(s, d):
     )
 
 
-@query()
+def _uniform(seed: int, key: str) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 13))::BIGINT / 4503599627370496.0 + 0.5 / 4503599627370496.0)"
+
+
+@query(f"SELECT p_brand, p_partkey FROM part WHERE p_retailprice > 0 QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY -ln({_uniform(7, 'p_partkey')}) / p_retailprice, p_partkey) <= 20")
 def weighted_sample(s, d):
     """SP-6: 20 parts of each brand in proportion to price."""
     return SP.weighted_sample(t(s, d, "part").select("p_partkey", "p_brand", "p_retailprice"), ["p_brand"], "p_retailprice", 20, 7, "p_partkey").select("p_brand", "p_partkey")
 
 
-@query()
+@query(f"SELECT event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY -ln({_uniform(42, 'event_id')}), event_id) <= 50")
 def reservoir(s, d):
     """SP-8: 50 rows of each key in hash order."""
     return SP.hash_sample(t(s, d, "events").select("event_id", "event_type"), ["event_type"], 50, 42, "event_id")
 
 
+@query(f"SELECT o_orderkey, (SELECT list(CASE WHEN {_uniform(11, 'o_orderkey || chr(58) || i')} < 0.25 THEN 0 ELSE 1 END ORDER BY i) FROM range(0, 4) r(i)) AS mask FROM orders")
+def dropped_frames(s, d):
+    """SP-5: frames left out for training, the same ones each time."""
+    return t(s, d, "orders").select("o_orderkey", SP.frame_dropout(F.array(*[F.lit(1)] * 4), 11, 0.25, "o_orderkey").alias("mask"))
+
+
 @query(
     """SELECT doc_id, lang FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS k FROM documents) ORDER BY (k > 1)::INT, n_chars DESC, doc_id LIMIT 12"""
 )
@@ -821,13 +840,25 @@ def grid_snap(s, d):
     return x.select("s_suppkey", *[(F.col(c).cast("double") + 0.0).alias(c) for c in ("west", "south", "east", "north")])
 
 
-@query()
+def _grid_sql() -> str:
+    """The series of the grid as SQL, from the same constants."""
+    roof, forward, _, to, _ = S._series()
+    n = lambda x: f"CAST('{x!r}' AS DOUBLE)"  # noqa: E731  not a decimal
+    north = " + ".join(["xi", *[f"{n(b)} * sin({2 * k} * xi) * cosh({2 * k} * eta)" for k, b in enumerate(forward, 1)]])
+    east = " + ".join(["eta", *[f"{n(b)} * cos({2 * k} * xi) * sinh({2 * k} * eta)" for k, b in enumerate(forward, 1)]])
+    poly = " + ".join(f"{n(c)} * power(sin(phi), {2 * k})" for k, c in enumerate(to))
+    return f"""WITH c AS (SELECT c_custkey, radians((55 + c_custkey % 14)::DOUBLE) AS phi, radians((11 + c_custkey % 13)::DOUBLE - {n(S._MERIDIAN)}) AS dl FROM customer), f AS (SELECT c_custkey, dl, phi - sin(phi) * cos(phi) * ({poly}) AS q FROM c),
+    x AS (SELECT c_custkey, atan(tan(q) / cos(dl)) AS xi, atanh(cos(q) * sin(dl)) AS eta FROM f)
+    SELECT c_custkey, round({n(S._SCALE * roof)} * ({east}) + {n(S._FALSE_E)}, 2) AS easting, round({n(S._SCALE * roof)} * ({north}) + {n(S._FALSE_N)}, 2) AS northing, 0.0::DOUBLE AS lat_error, 0.0::DOUBLE AS lon_error FROM x"""
+
+
+@query(_grid_sql())
 def grid_round_trip(s, d):
     """S-20: to the national grid and back, as expressions; tested against known points."""
     c = t(s, d, "customer").select("c_custkey", (55 + F.col("c_custkey") % 14).cast("double").alias("lat"), (11 + F.col("c_custkey") % 13).cast("double").alias("lon"))
     g = c.withColumn("g", S.to_grid("lat", "lon"))
     return g.select("c_custkey", F.round("g.easting", 2).alias("easting"), F.round("g.northing", 2).alias("northing"), S.from_grid("g.easting", "g.northing").alias("b"), "lat", "lon").select(
-        "c_custkey", "easting", "northing", F.round(F.col("b.lat") - F.col("lat"), 7).alias("lat_error"), F.round(F.col("b.lon") - F.col("lon"), 7).alias("lon_error")
+        "c_custkey", "easting", "northing", (F.round(F.col("b.lat") - F.col("lat"), 7) + 0.0).alias("lat_error"), (F.round(F.col("b.lon") - F.col("lon"), 7) + 0.0).alias("lon_error")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyquilt.operators import iterative as I
 from skyquilt.operators import joins as J
-from skyquilt.plans import audit_bindings, bindings, kernel_bindings, refine_bindings, scene_bindings, stream_bindings  # noqa: F401  the others add their queries
+from skyquilt.plans import audit_bindings, bindings, kernel_bindings, refine_bindings, scene_bindings, score_bindings, stream_bindings  # noqa: F401  the others add their queries
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -1,6 +1,7 @@
 """Polygons, box sums, superpixels, lines, registration, draws and grids against loops over small tables."""
 
 import bisect
+import datetime as dt
 import hashlib
 import math
 import random
@@ -10,15 +11,18 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skyquilt.functions import scalars as S
 from skyquilt.operators import aggregates as A
 from skyquilt.operators import audits as Q
 from skyquilt.operators import control as C
 from skyquilt.operators import joins as J
 from skyquilt.operators import lines as L
+from skyquilt.operators import metrics as M
 from skyquilt.operators import polygons as G
 from skyquilt.operators import rasters as R
 from skyquilt.operators import refine as RF
 from skyquilt.operators import sampling as SP
+from skyquilt.operators import selection as W
 
 PIXELS = "tile string, row int, col int, v double"
 
@@ -405,3 +409,50 @@ def test_circuit(spark):
                 break
             run += 1
         assert got[s] == (run, "dead" if run >= 2 else "alive")
+
+
+# -- scores, components, rings
+
+
+def test_plot_report(spark):
+    """Accuracy, hits and both areas against a loop over thresholds; a class of one kind gives NaN."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 0, 1, 2, 2]), rng.choice([0, 1, 2]), [rng.randrange(6) / 5 for _ in range(4)]) for _ in range(300)]
+    got = {r["class"]: r for r in M.plot_report(spark.createDataFrame(rows, "t int, p int, s array<double>"), "t", "p", "s", [1, 2, 3]).collect()}
+    known = [r for r in rows if (r[0] or 0) >= 1]
+    assert set(got) == {1, 2}
+    for c, r in got.items():
+        pos, neg = [x[2][c] for x in rows if x[0] == c], [x[2][c] for x in rows if x[0] != c]
+        pairs = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg))
+        curve = [(sum(a >= k for a in pos) / len(pos), sum(a >= k for a in pos) / sum(a >= k for a in pos + neg)) for k in sorted(set(pos + neg), reverse=True)]
+        curve = [(0.0, curve[0][1]), *curve]
+        area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(curve, curve[1:], strict=False))
+        assert math.isclose(r.auroc, pairs) and math.isclose(r.aupr, area)
+        assert (r.plots, r.right) == (len(pos), sum(x[0] == c == x[1] for x in rows))
+        assert r.n_known == len(known) and math.isclose(r.accuracy, sum(a == b for a, b, _ in known) / len(known))
+    one = M.curves_by_class(spark.createDataFrame([(1, 0.5), (1, 0.7)], "c int, s double"), "c", "s", F.col("s") > 0).first()
+    assert math.isnan(one.auroc) and math.isnan(one.aupr)
+
+
+def test_principal_components(spark):
+    rng = np.random.Generator(np.random.PCG64(6))
+    x = rng.standard_normal((200, 6)) @ np.diag([5, 3, 2, 1, 0.5, 0.1]) @ np.linalg.qr(rng.standard_normal((6, 6)))[0]
+    got = A.principal_components(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i int, v array<double>"), "v", 3).orderBy("i").collect()
+    _, _, axes = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    axes = axes[:3] * np.sign([a[np.argmax(np.abs(a))] for a in axes[:3]])[:, None]
+    assert np.allclose([r.components for r in got], x @ axes.T)
+
+
+def test_rings_go_back(spark):
+    df = spark.createDataFrame([(300000.0, 6500000.0), (612345.0, 7123456.0)], "e double, n double")
+    ring = df.select(F.explode(S.box_ring("e", "n", F.col("e") + 2560, F.col("n") + 1280)).alias("c"), "e", "n").select("e", "n", S.to_grid("c.lat", "c.lon").alias("g"), "c.*").collect()
+    for k in (0, 5):
+        corners = [(r.g.easting - r.e, r.g.northing - r.n) for r in ring[k : k + 5]]
+        assert np.allclose(corners, [(0, 0), (2560, 0), (2560, 1280), (0, 1280), (0, 0)], atol=1e-3) and all(55 < r.lat < 70 and 8 < r.lon < 25 for r in ring)
+
+
+def test_background_date(spark):
+    day = lambda t: dt.date.fromisoformat(t)
+    rows = [("a", day("2016-06-02"), True), ("a", day("2016-07-05"), False), ("a", day("2015-07-09"), True), ("b", day("2015-06-01"), True), ("b", day("2015-08-16"), True), ("b", day("2016-08-17"), True), ("c", day("2017-07-01"), True), ("d", day("2016-07-08"), True), ("d", day("2016-07-10"), True)]
+    got = W.background_date(spark.createDataFrame(rows, "t string, day date, ok boolean"), "t", "day", "ok").collect()
+    assert {r.t: str(r.day) for r in got} == {"a": "2016-06-02", "b": "2015-06-01", "d": "2016-07-08"}
