@@ -915,6 +915,16 @@ def aux_alignment(s, d):
 # ---------------------------------------------------------------- iterative, raster, streaming
 
 
+@query("SELECT c_custkey, abs(c_acctbal * 10 - (10 + c_custkey % 3) * 10) < 1e-6 AS matches FROM (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN c_custkey % 7 + 8 ELSE 10 + c_custkey % 3 END AS c_acctbal FROM customer)")
+def box_contract(s, d):
+    """Q-15: whether a tile's box is as wide as its pixels."""
+    k = F.col("c_custkey")
+    width = F.when(k % 5 == 0, k % 7 + 8).otherwise(10 + k % 3)
+    x = t(s, d, "customer").select("c_custkey", (k * 10.0).alias("west"), (k * 10.0 + width * 10).alias("east"), (10 + k % 3).alias("size"))
+    return x.select("c_custkey", Q.box_matches("west", "east", "size").alias("matches"))
+
+
+
 @query()
 def set_cover(s, d):
     """I-2: nations whose suppliers together have a part in every order, most of them needed; checked in tests against a plain loop."""
@@ -923,13 +933,28 @@ def set_cover(s, d):
     return I.set_cover(pairs.distinct(), "l_orderkey", "s_nationkey")
 
 
-@query()
+def _greedy(points: str, group: str, unique: str, distance: float) -> str:
+    """Points of each group in order ``r``, each kept unless a kept one is nearer than ``distance``: one step of the recursion takes one point of every group."""
+    return f"""WITH RECURSIVE e AS ({points}), st AS (SELECT DISTINCT {group}, 0::BIGINT AS r, []::STRUCT(u BIGINT, x DOUBLE, y DOUBLE)[] AS kept FROM e UNION ALL
+      SELECT e.{group}, e.r, CASE WHEN len(list_filter(kept, lambda k: (k.x - e.x) * (k.x - e.x) + (k.y - e.y) * (k.y - e.y) < {distance * distance})) > 0 THEN kept ELSE list_append(kept, {{'u': e.{unique}, 'x': e.x, 'y': e.y}}) END FROM st JOIN e ON e.{group} = st.{group} AND e.r = st.r + 1),
+    z AS (SELECT {group}, unnest(kept) AS k FROM st QUALIFY row_number() OVER (PARTITION BY {group} ORDER BY r DESC) = 1) SELECT {group}, k.u AS {unique} FROM z"""
+
+
+@query(_greedy("SELECT label, vec_id, (embedding[1]::FLOAT * 100::FLOAT)::DOUBLE AS x, (embedding[2]::FLOAT * 100::FLOAT)::DOUBLE AS y, row_number() OVER (PARTITION BY label ORDER BY list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE)) DESC, vec_id) AS r FROM embeddings", "label", "vec_id", 15.0))
 def suppress_near(s, d):
-    """I-4: detections nearer than a distance to a better one; checked in tests against a plain loop."""
+    """I-4: detections nearer than a distance to a better one."""
     e = t(s, d, "embeddings").select("vec_id", "label", (F.get("embedding", F.lit(0)) * 100).cast("double").alias("x"), (F.get("embedding", F.lit(1)) * 100).cast("double").alias("y"), P.magnitude("embedding").alias("score"))
     return I.suppress_near(e, "label", "x", "y", "score", "vec_id", 15.0).select("label", "vec_id")
 
 
+@query(_greedy("SELECT c_nationkey, c_custkey, ((c_custkey * 37) % 1000)::DOUBLE AS x, ((c_custkey * 91) % 1000)::DOUBLE AS y, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer", "c_nationkey", "c_custkey", 120.0))
+def spaced_points(s, d):
+    """I-3: places of each region in order, each at a distance from all that were taken before."""
+    k = F.col("c_custkey")
+    c = t(s, d, "customer").select("c_nationkey", "c_custkey", ((k * 37) % 1000).alias("x"), ((k * 91) % 1000).alias("y"))
+    return I.spaced_points(c, "c_nationkey", "x", "y", "c_custkey", 120.0).select("c_nationkey", "c_custkey")
+
+
 @query(
     """WITH RECURSIVE p AS (SELECT l_orderkey, min(l_partkey) AS p FROM lineitem GROUP BY 1), e AS (
       SELECT o_orderkey * 3 AS a, (o_custkey * 400 + (year(o_orderdate) - 1990) * 4 + quarter(o_orderdate)) * 3 + 1 AS b FROM orders
