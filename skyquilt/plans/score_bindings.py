@@ -190,3 +190,33 @@ def embedding_colours(s, d):
     ends = F.broadcast(x.agg(*[f(c).alias(f"{c}{n}") for c in "rgb" for n, f in (("0", F.min), ("1", F.max))]))
     j = x.join(ends, F.lit(True))
     return j.select("vec_id", *[r6(P.min_max(F.col(c), F.col(f"{c}0"), F.col(f"{c}1")), c) for c in "rgb"])
+
+
+# ---------------------------------------------------------------- analyzers
+
+_SCENE = """px AS (SELECT c_nationkey::VARCHAR AS tile, (o_custkey // 100)::BIGINT AS row, (dayofyear(o_orderdate) // 7)::BIGINT AS col, (min(o_orderkey) % 3)::INT AS cls, round(avg(o_totalprice) / 500000, 4) AS nir, round(max(o_totalprice) / 600000, 4) AS nir0,
+    round(min(o_totalprice) / 600000, 4) AS red, round(avg(o_totalprice) / 700000, 4) AS red0, round(avg(o_orderkey % 10) / 10, 4) AS green, round(avg(o_orderkey % 7) / 7, 4) AS edge FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3)"""
+_INDEX = "(nir - red) / (nir + red + 1e-10)"
+
+
+@query(
+    f"""WITH RECURSIVE {_SCENE}, ch AS (SELECT *, sqrt(power(red - red0, 2) + power(nir - nir0, 2)) > 0.15 AS hit, {_INDEX} AS ndvi FROM px), on_ AS (SELECT tile, row, col, row_number() OVER (ORDER BY tile, row, col) AS id FROM ch WHERE hit),
+    n AS (SELECT a.id AS u, b.id AS v FROM on_ a JOIN on_ b ON a.tile = b.tile AND abs(a.row - b.row) + abs(a.col - b.col) = 1), r AS (SELECT id AS u, id AS l FROM on_ UNION SELECT n.v, r.l FROM r JOIN n ON r.u = n.u), g AS (SELECT l, count(*) AS n FROM (SELECT u, min(l) AS l FROM r GROUP BY 1) GROUP BY 1 HAVING count(*) >= 3),
+    sq AS (SELECT a.tile, a.row, a.col, a.ndvi > 0.25 AS tl, b.ndvi > 0.25 AS tr, c.ndvi > 0.25 AS br, e.ndvi > 0.25 AS bl FROM ch a JOIN ch b ON b.tile = a.tile AND b.row = a.row AND b.col = a.col + 1 JOIN ch c ON c.tile = a.tile AND c.row = a.row + 1 AND c.col = a.col + 1 JOIN ch e ON e.tile = a.tile AND e.row = a.row + 1 AND e.col = a.col),
+    ed AS (SELECT tile, 'h' AS k, row, col FROM sq WHERE tl <> tr UNION SELECT tile, 'h', row + 1, col FROM sq WHERE bl <> br UNION SELECT tile, 'v', row, col FROM sq WHERE tl <> bl UNION SELECT tile, 'v', row, col + 1 FROM sq WHERE tr <> br),
+    m AS (SELECT 'change_detection' AS analyzer, 'changed' AS measure, avg(hit::INT) AS value FROM ch UNION ALL SELECT 'change_detection', 'regions', count(*) FROM g UNION ALL SELECT 'change_detection', 'region_pixels', coalesce(sum(n), 0) FROM g
+      UNION ALL SELECT 'spectral', 'vegetation', avg((ndvi > 0.3)::INT) FROM ch UNION ALL SELECT 'spectral', 'water', avg(((green - nir) / (green + nir + 1e-10) > -0.2)::INT) FROM ch UNION ALL SELECT 'nmd', 'ndvi_class_' || cls, avg(ndvi) FROM ch GROUP BY cls UNION ALL SELECT 'nmd', 'changed_before', avg(hit::INT) FROM ch
+      UNION ALL SELECT 'vegetation_edge', 'edge_vertices', count(*) FROM ed UNION ALL SELECT 'water_quality', 'ndci', avg((edge - red) / (edge + red + 1e-10)) FROM ch UNION ALL SELECT 'water_quality', 'mci', avg(edge - (red + 0.5 * (nir - red))) FROM ch)
+    SELECT analyzer, 'done' AS state, measure, round(value::DOUBLE, 6) + 0.0 AS value FROM m UNION ALL SELECT 'cot', 'off', NULL, NULL"""
+)
+def scene_analyzers(s, d):
+    """UD-1, UD-2, UD-3: the library's analyzers of scenes, chosen and set by a YAML file; one uses what another found, one is off."""
+    from skyquilt.plans.analyzers import SETTINGS, analyze, load_settings
+
+    o = t(s, d, "orders").join(t(s, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    p, k = F.col("o_totalprice"), F.col("o_orderkey")
+    px = o.groupBy(F.col("c_nationkey").cast("string").alias("tile"), F.floor(F.col("o_custkey") / 100).alias("row"), F.floor(F.dayofyear("o_orderdate") / 7).cast("long").alias("col")).agg(
+        (F.min(k) % 3).cast("int").alias("cls"), F.round(F.avg(p) / 500000, 4).alias("nir"), F.round(F.max(p) / 600000, 4).alias("nir0"), F.round(F.min(p) / 600000, 4).alias("red"), F.round(F.avg(p) / 700000, 4).alias("red0"),
+        F.round(F.avg(k % 10) / 10, 4).alias("green"), F.round(F.avg(k % 7) / 7, 4).alias("edge"),
+    )
+    return analyze(px, load_settings(SETTINGS)).withColumn("value", r6(F.col("value"), "value"))

@@ -456,3 +456,19 @@ def test_background_date(spark):
     rows = [("a", day("2016-06-02"), True), ("a", day("2016-07-05"), False), ("a", day("2015-07-09"), True), ("b", day("2015-06-01"), True), ("b", day("2015-08-16"), True), ("b", day("2016-08-17"), True), ("c", day("2017-07-01"), True), ("d", day("2016-07-08"), True), ("d", day("2016-07-10"), True)]
     got = W.background_date(spark.createDataFrame(rows, "t string, day date, ok boolean"), "t", "day", "ok").collect()
     assert {r.t: str(r.day) for r in got} == {"a": "2016-06-02", "b": "2015-06-01", "d": "2016-07-08"}
+
+
+def test_analyzers_from_a_file(spark, tmp_path):
+    """Settings from JSON as from YAML; what lacks a band fails by itself, and what needs the failed one's result fails too."""
+    from skyquilt.plans import analyzers
+
+    assert analyzers.load_settings(analyzers.SETTINGS)["cot"]["enabled"] is False
+    path = tmp_path / "s.json"
+    path.write_text('{"change_detection": {"min_region_pixels": 1}, "nmd": null, "water_quality": {"k": 1.0}, "spectral": {"enabled": false}}')
+    rows = [("t", r, c, 1, 0.2, 0.3, 0.4 + 0.1 * c, 0.5, 0.3) for r in range(3) for c in range(3)]
+    df = spark.createDataFrame(rows, "tile string, row long, col long, cls int, green double, red double, edge double, nir double, nir0 double")
+    got = {(r.analyzer, r.state): r.value for r in analyzers.analyze(df, analyzers.load_settings(str(path))).where("measure IS NULL OR measure = 'mci'").collect()}
+    assert set(got) == {("change_detection", "failed"), ("spectral", "off"), ("nmd", "failed"), ("cot", "off"), ("vegetation_edge", "off"), ("water_quality", "done")}
+    assert math.isclose(got["water_quality", "done"], 0.5 - 0.5)
+    whole = analyzers.analyze(df.withColumn("red0", F.col("red") + F.col("col") * 0.2), analyzers.load_settings(str(path))).collect()
+    assert {r.measure: r.value for r in whole if r.analyzer == "change_detection"} == {"changed": 1.0, "regions": 1.0, "region_pixels": 9.0}
