@@ -86,21 +86,25 @@ def _percentiles_of_all(values: DataFrame, shares: list[float], buckets: int) ->
 def exact_percentiles(df: DataFrame, value: str, shares: list[float], keys: list[str] = (), buckets: int = 64) -> DataFrame:
     """``p``, the exact percentiles (interpolated) of the values that aren't null, and ``n``, their number, for each key.
 
-    With keys, values are counted, cut into ranges, and ranked range by range, with the ranges' offsets added: neither a task nor a buffer holds all
-    values of a key. Without keys, the input is read three times and only the ranges that hold the percentiles are sorted.
+    The input is read three times: for approximate cuts, for one count a range, and for the ranges that hold the percentiles, the only ones that are
+    shuffled and sorted. Neither a task nor a buffer holds all values of a key.
     """
     if not keys:
         return _percentiles_of_all(df.select(F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL"), shares, buckets)
     keys, at = list(keys), [f"__h{i}" for i in range(len(shares))]
-    counts = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL").groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
-    cuts = counts.groupBy(*keys).agg(F.percentile_approx("__v", [k / buckets for k in range(1, buckets)], 10000).alias("__cuts"))
-    joined = counts.join(cuts, keys)
-    ranged = joined.withColumn("__r", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
-    sums = ranged.groupBy(*keys, "__r").agg(F.sum("__n").alias("__s"))
+    known = df.select(*keys, F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL")
+    cuts = known.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("__v", [k / buckets for k in range(1, buckets)], 1000)).alias("__cuts"))
+    steps = F.array(*[F.lit(1 << k) for k in range(buckets.bit_length() - 1, -1, -1)])
+    below = F.aggregate(steps, F.lit(0), lambda found, width: F.when(F.get("__cuts", found + width - 1) < F.col("__v"), found + width).otherwise(found))  # how many cuts, by halving steps
+    ranged = known.join(cuts, keys).withColumn("__r", below).drop("__cuts")
     w = Window.partitionBy(*keys)  # at most ``buckets`` rows a key
-    sums = sums.select(*keys, "__r", (F.sum("__s").over(w.orderBy("__r")) - F.col("__s")).alias("__o"), F.sum("__s").over(w).alias("__all"))
+    sums = ranged.groupBy(*keys, "__r").agg(F.count("*").alias("__s"))
+    sums = sums.select(*keys, "__r", "__s", (F.sum("__s").over(w.orderBy("__r")) - F.col("__s")).alias("__o"), F.sum("__s").over(w).alias("__all"))
+    ranks = F.array(*[f(F.lit(float(q)) * (F.col("__all") - 1)) for q in shares for f in (F.floor, F.ceil)])
+    wanted = sums.where(F.exists(ranks, lambda k: (F.col("__o") <= k) & (k < F.col("__o") + F.col("__s")))).drop("__s")
+    counts = ranged.join(wanted, [*keys, "__r"]).groupBy(*keys, "__r", "__v", "__o", "__all").agg(F.count("*").alias("__n"))
     run = Window.partitionBy(*keys, "__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    c = ranged.join(sums, [*keys, "__r"]).withColumn("__to", F.col("__o") + F.sum("__n").over(run)).withColumn("__from", F.col("__to") - F.col("__n"))
+    c = counts.withColumn("__to", F.col("__o") + F.sum("__n").over(run)).withColumn("__from", F.col("__to") - F.col("__n"))
     c = c.withColumns({h: F.lit(float(q)) * (F.col("__all") - 1) for h, q in zip(at, shares, strict=True)})
     value_at = lambda k: F.max(F.when((F.col("__from") <= k) & (k < F.col("__to")), F.col("__v")))
     ends = [x.alias(f"{h}{side}") for h in at for side, x in (("a", value_at(F.floor(h))), ("b", value_at(F.ceil(h))))]
