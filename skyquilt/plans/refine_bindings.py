@@ -196,13 +196,13 @@ _SHIFTS = [(1, -1), (-2, 1), (0, 0)]
 
 
 @query(
-    """WITH px AS (SELECT c_nationkey::VARCHAR AS tile, max(o_custkey // 25) + 1 AS h, max(dayofyear(o_orderdate) // 6) + 1 AS w FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
+    """WITH px AS (SELECT c_mktsegment AS tile, max(o_custkey // 5) + 1 AS h, max(dayofyear(o_orderdate) // 6) + 1 AS w FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
     SELECT tile, slot::INT AS slot, dy::DOUBLE AS dy, dx::DOUBLE AS dx, (h * w)::BIGINT AS pixels, true AS alike FROM px, (VALUES (0, 0, 0), (1, -1, 1), (2, 2, -1), (3, 0, 0)) AS v(slot, dy, dx)"""
 )
 def registered_frames(s, d):
     """K-2, K-3, K-5: smooth frames moved by whole pixels are laid on the first again: shifts within 0.05 of those planted, values as in the anchor."""
-    o = t(s, d, "orders").join(t(s, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
-    b = o.groupBy(F.col("c_nationkey").cast("string").alias("tile"), F.floor(F.col("o_custkey") / 25).alias("row"), F.floor(F.dayofyear("o_orderdate") / 6).cast("long").alias("col")).agg(F.sum("o_totalprice").alias("g"))
+    o = t(s, d, "orders").join(t(s, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("tile")), "o_custkey")
+    b = o.groupBy("tile", F.floor(F.col("o_custkey") / 5).alias("row"), F.floor(F.dayofyear("o_orderdate") / 6).cast("long").alias("col")).agg(F.sum("o_totalprice").alias("g"))
     origin = b.select("tile", F.lit(0).cast("long").alias("row"), F.lit(0).cast("long").alias("col"), F.lit(0.0).alias("g")).distinct()
     whole = I._table(RF.box_means(RF.dense(b.unionByName(origin), ["g"]).drop("n"), "g", 3))
     extent = whole.groupBy("tile").agg((F.max("row") + 1).alias("h"), (F.max("col") + 1).alias("w"), F.max("g").alias("top"))
