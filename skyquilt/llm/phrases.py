@@ -1,12 +1,12 @@
 """Phrases of two to five words that occur together more often than their parts suggest, by suffix automata.
 
-Two passes look for what can't be in a frequent phrase. The first counts the words of each language. The second counts 64-bit hashes of the pairs of
-neighbours both of which are frequent words; unlike pairs that share a hash add up, so that no frequent pair is missed. What is
-frequent goes to the tasks as a bit set of ``MOST_BITS`` bits at most; a bit set by another pair costs time, and changes nothing.
+Three passes look for what can't be in a frequent phrase. The first counts the words of each language. The second counts 64-bit hashes of the pairs of
+neighbours both of which are frequent words, the third those of the triples both of whose pairs are frequent; unlike ones that share a hash add up, so that none that is frequent is missed. What is
+frequent goes to the tasks as a bit set of ``MOST_BITS`` bits at most; a bit set by another pair or triple costs time, and changes nothing.
 
-The third pass cuts each text into runs of words whose neighbours are frequent pairs. A task gathers distinct runs with their numbers into
+The last pass cuts each text into runs of words in which all pairs and triples are frequent (runs may share a word, but no pair). A task gathers distinct runs with their numbers into
 shards of about ``SHARD_WORDS`` words, and builds the generalised suffix automaton of each. Endpos counts, added up along the suffix links, are the counts of all
-substrings of a state; those of two to ``LONGEST`` words are enumerated and added up over the shards by Spark. With each substring goes the word
+substrings of a state; those of two to ``LONGEST`` words are enumerated and added up over the shards, by the task and then by Spark. With each substring goes the word
 that always precedes it (it isn't the longest of its state, so that its suffix link's end is shorter than itself and the longer members have its
 occurrences) and the one that always follows it (a transition to a state of the same count), if there is one; a phrase is
 subsumed if all shards name the same one. No longer candidate can have a phrase's count unless one longer by a word has it, so that
@@ -102,8 +102,13 @@ def _pairs(key: np.ndarray) -> np.ndarray:
     return ragged.mix(key[:-1] * _FIRST + key[1:])
 
 
-def _count_pairs(words):
-    """Hashes of pairs of neighbouring frequent words, and how many of them a task has met."""
+def _triples(pairs: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Keys of three words in a row, from those of their first pairs and of single words."""
+    return ragged.mix(pairs[:-1] * _FIRST + key[2:])
+
+
+def _count_keys(words, pairs=None):
+    """Hashes of pairs of neighbouring frequent words, or with ``pairs`` of three words whose pairs are frequent, and how many of them a task has met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -117,8 +122,13 @@ def _count_pairs(words):
 
         for batch in batches:
             for _, _, _, key, _, joined in _tokens(batch):
-                known = _hit(words.value, key)
-                held.append(_pairs(key)[joined & known[:-1] & known[1:]])
+                if pairs is None:
+                    known = _hit(words.value, key)
+                    held.append(_pairs(key)[joined & known[:-1] & known[1:]])
+                else:
+                    both = _pairs(key)
+                    go = joined & _hit(pairs.value, both)
+                    held.append(_triples(both, key)[go[:-1] & go[1:]])
                 if sum(map(len, held)) > HELD_KEYS:
                     yield from flush()
         yield from flush()
@@ -213,25 +223,41 @@ class Automaton:
 PHRASE_SCHEMA = "lang string, phrase string, m int, a bigint, before string, after string"
 
 
-def _shards(pairs, longest: int):
-    """Substrings of the automata of a task's shards."""
+def _shards(pairs, triples, longest: int):
+    """Substrings of the automata of a task's shards, added up as far as the task's memory goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: dict[int, int] = {}
         names: list[tuple[str, str]] = []
         runs: Counter = Counter()
+        found: dict[bytes, list[int]] = {}
         size = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
+        def build() -> None:
+            """Add the substrings of the shard at hand to those of the shards before."""
             nonlocal size
             machine = Automaton()
             for raw, weight in runs.items():
                 machine.add(np.frombuffer(raw, np.int32).tolist(), weight)
-            rows: list[tuple] = []
+            text = np.array(machine.text, np.int32).tobytes()
             for start, end, count, before, after in machine.substrings(2, longest):
-                x, m = machine.text[start:end], end - start
-                name = lambda c: None if c < 0 or m == longest else names[c][1]  # noqa: B023, E731
-                rows.append((names[x[0]][0], " ".join([names[c][1] for c in x]), m, count, name(before), name(after)))
+                if end - start == longest:  # longer ones aren't candidates
+                    before = after = -1
+                held = found.setdefault(text[4 * start : 4 * end], [0, before, after])
+                held[0] += count
+                if held[1] != before:
+                    held[1] = -1
+                if held[2] != after:
+                    held[2] = -1
+            runs.clear()
+            size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            name = lambda c: None if c < 0 else names[c][1]
+            rows: list[tuple] = []
+            for raw, (count, before, after) in found.items():
+                x = np.frombuffer(raw, np.int32).tolist()
+                rows.append((names[x[0]][0], " ".join([names[c][1] for c in x]), len(x), count, name(before), name(after)))
                 if len(rows) == 50_000:
                     yield _batch(rows)
                     rows = []
@@ -239,13 +265,16 @@ def _shards(pairs, longest: int):
                 yield _batch(rows)
             ids.clear()
             names.clear()
-            runs.clear()
-            size = 0
+            found.clear()
 
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for part, starts, ends, key, text, joined in _tokens(batch):
-                go = joined & _hit(pairs.value, _pairs(key))
+                both = _pairs(key)
+                go = joined & _hit(pairs.value, both)
+                linked = go[:-1] & go[1:] & _hit(triples.value, _triples(both, key))  # a pair goes on into the next one
+                first_pairs = np.flatnonzero(go & ~np.concatenate([[False], linked]))
+                last_pairs = np.flatnonzero(go & ~np.concatenate([linked, [False]]))
                 inside = np.zeros(len(key), bool)
                 inside[:-1] |= go
                 inside[1:] |= go
@@ -259,14 +288,17 @@ def _shards(pairs, longest: int):
                         ids[k] = len(names)
                         names.append((_of_lang(langs[text[w]]), part[starts[w] : ends[w]].tobytes().decode("utf-8", "surrogatepass")))
                     known.append(ids[k])
-                flat = np.array(known, np.int32)[which].tobytes()
-                goes_on = np.concatenate([go, [False]])[words]
-                stop = (np.flatnonzero(~goes_on) + 1) * 4
-                cut = [flat[a:b] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist(), strict=True)]
+                number = np.zeros(len(key), np.int32)
+                number[words] = np.array(known, np.int32)[which]
+                flat = number.tobytes()
+                cut = [flat[4 * a : 4 * b + 8] for a, b in zip(first_pairs.tolist(), last_pairs.tolist(), strict=True)]
                 size += sum(map(len, set(cut) - runs.keys())) // 4
                 runs.update(cut)
                 if size > SHARD_WORDS:
-                    yield from flush()
+                    build()
+                    if len(found) > HELD_WORDS:
+                        yield from flush()
+        build()
         yield from flush()
 
     return run
@@ -292,9 +324,10 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     words = materialize(docs.mapInArrow(_count_words, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     frequent = materialize(words.where(F.col("n") >= least).select("lang", "word").mapInArrow(_word_keys, "key bigint"), "word-keys")
     known = sc.broadcast(bit_set(frequent))
-    pairs = docs.mapInArrow(_count_pairs(known), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
-    joined = sc.broadcast(bit_set(materialize(pairs, "pair-keys")))
-    found = docs.mapInArrow(_shards(joined, longest), PHRASE_SCHEMA).groupBy("lang", "phrase")
+    frequent_keys = lambda f, name: materialize(docs.mapInArrow(f, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key"), name)
+    pairs = sc.broadcast(bit_set(frequent_keys(_count_keys(known), "pair-keys")))
+    triples = sc.broadcast(bit_set(frequent_keys(_count_keys(known, pairs), "triple-keys")))
+    found = docs.mapInArrow(_shards(pairs, triples, longest), PHRASE_SCHEMA).groupBy("lang", "phrase")
     phrases = found.agg(F.max("m").alias("m"), F.sum("a").alias("a"), (_always("before") | _always("after")).alias("subsumed")).where(F.col("a") >= least)
     return words, materialize(phrases, "phrases")
 
