@@ -182,14 +182,26 @@ def survey_round_trip(s, d):
     return T.survey_points(s, [f"{path}/0", f"{path}/1"], names, "SE", 2016, ["Brand#1", "Brand#2", "Brand#3"]).select("point_id", "lat", "lon", "code", "year")
 
 
-@query(
-    """WITH f AS (SELECT s_name || chr(10) AS c FROM supplier), h AS (SELECT sha256(c) AS h, strlen(c) AS n FROM f) SELECT count(*) AS files, sum(n)::BIGINT AS bytes, sha256(string_agg(h, chr(10) ORDER BY h)) AS set_sha256 FROM h"""
-)
-def input_manifest(s, d):
-    """IO-12: digests of files and of the whole set, whatever its order."""
+_SET = """WITH f AS (SELECT s_name || chr(10) AS c FROM supplier), h AS (SELECT sha256(c) AS h, strlen(c) AS n FROM f), p AS (SELECT substr(h, 1, 3) AS p, count(*) AS n, sum(n) AS b, sha256(string_agg(h, chr(10) ORDER BY h)) AS d FROM h GROUP BY 1),
+    m AS (SELECT sum(n)::BIGINT AS files, sum(b)::BIGINT AS bytes, sha256(string_agg(p || d, chr(10) ORDER BY p || d)) AS set_sha256 FROM p)"""
+
+
+def _inputs(s, d):
     path = _folder(s, "inputs")
     t(s, d, "supplier").select(F.col("s_suppkey").alias("part"), F.col("s_name").alias("value")).repartition("part").write.partitionBy("part").text(path)
-    return T.manifest(T.file_digests(s, path))
+    return T.file_digests(s, path)
+
+
+@query(f"{_SET} SELECT * FROM m")
+def input_manifest(s, d):
+    """IO-12: digests of files and of the whole set, whatever its order."""
+    return T.manifest(_inputs(s, d))
+
+
+@query(f"""{_SET} SELECT m.*, '0a1b2c' AS revision, sha256('{{"bands":["B04","B08"],"size":256}}') AS config_sha256 FROM m""")
+def provenance(s, d):
+    """IO-12: where a result comes from: its inputs, the code's revision, the settings."""
+    return T.provenance(_inputs(s, d), "0a1b2c", {"size": 256, "bands": ["B04", "B08"]})
 
 
 @query("SELECT l_linenumber AS epoch, round(avg(l_discount), 4) AS loss FROM lineitem GROUP BY 1")
