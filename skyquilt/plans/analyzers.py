@@ -6,6 +6,7 @@ A pixel has ``tile``, ``row``, ``col``, a class ``cls``, bands ``green``, ``red`
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import Column, DataFrame
@@ -17,15 +18,15 @@ from skyquilt.operators import lines as L
 from skyquilt.plans.registry import Registry
 
 SCENES = Registry()
-SETTINGS = os.path.join(os.path.dirname(__file__), "scene_analyzers.yaml")
+SETTINGS = os.path.join(os.path.dirname(__file__), "scene_analyzers.json")
 
 
-def load_settings(path: str) -> dict[str, dict]:
-    """Settings by analyzer from a YAML or JSON file; an analyzer with nothing but its name is on."""
+def load_settings(path: str) -> dict[str, dict] | None:
+    """Settings by analyzer from a JSON file, or a YAML one where that library is installed; an analyzer with nothing but its name is on. Without a file all run."""
+    if not os.path.exists(path):
+        return None
     with open(path) as f:
         if path.endswith(".json"):
-            import json
-
             read = json.load(f)
         else:
             import yaml
@@ -88,7 +89,7 @@ def water_quality(df: DataFrame, k: float = 0.389) -> DataFrame:
     return _measures(df, ndci=F.avg(P.ndci("edge", "red")), mci=F.avg(P.mci("edge", "nir", "red", k)))
 
 
-def analyze(df: DataFrame, settings: dict[str, dict]) -> DataFrame:
+def analyze(df: DataFrame, settings: dict[str, dict] | None) -> DataFrame:
     """``analyzer, state, measure, value``: the measures of analyzers that ran, and a row without a measure for those that are off or failed."""
     out = None
     for r in SCENES.run(df, settings):

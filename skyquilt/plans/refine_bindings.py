@@ -11,7 +11,7 @@ from skyquilt.operators import lines as L
 from skyquilt.operators import polygons as G
 from skyquilt.operators import rasters as R
 from skyquilt.operators import refine as RF
-from skyquilt.plans.bindings import _PIXELS, _RASTER, _pixels, query, r6, raster, t
+from skyquilt.plans.bindings import _RASTER, _pixels, query, r6, raster, t
 
 # ---------------------------------------------------------------- polygons
 

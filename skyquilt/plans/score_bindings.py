@@ -210,7 +210,7 @@ _INDEX = "(nir - red) / (nir + red + 1e-10)"
     SELECT analyzer, 'done' AS state, measure, round(value::DOUBLE, 6) + 0.0 AS value FROM m UNION ALL SELECT 'cot', 'off', NULL, NULL"""
 )
 def scene_analyzers(s, d):
-    """UD-1, UD-2, UD-3: the library's analyzers of scenes, chosen and set by a YAML file; one uses what another found, one is off."""
+    """UD-1, UD-2, UD-3: the library's analyzers of scenes, chosen and set by a file; one uses what another found, one is off."""
     from skyquilt.plans.analyzers import SETTINGS, analyze, load_settings
 
     o = t(s, d, "orders").join(t(s, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")

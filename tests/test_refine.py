@@ -3,6 +3,7 @@
 import bisect
 import datetime as dt
 import hashlib
+import importlib.util
 import math
 import random
 from collections import Counter, defaultdict
@@ -462,7 +463,10 @@ def test_analyzers_from_a_file(spark, tmp_path):
     """Settings from JSON as from YAML; what lacks a band fails by itself, and what needs the failed one's result fails too."""
     from skyquilt.plans import analyzers
 
-    assert analyzers.load_settings(analyzers.SETTINGS)["cot"]["enabled"] is False
+    assert analyzers.load_settings(analyzers.SETTINGS)["cot"]["enabled"] is False and analyzers.load_settings(str(tmp_path / "none.json")) is None
+    (tmp_path / "s.yaml").write_text("cot:\n  enabled: false\n  thin: 0.02\nnmd:\n")
+    if importlib.util.find_spec("yaml"):
+        assert analyzers.load_settings(str(tmp_path / "s.yaml")) == {"cot": {"enabled": False, "thin": 0.02}, "nmd": {"enabled": True}}
     path = tmp_path / "s.json"
     path.write_text('{"change_detection": {"min_region_pixels": 1}, "nmd": null, "water_quality": {"k": 1.0}, "spectral": {"enabled": false}}')
     rows = [("t", r, c, 1, 0.2, 0.3, 0.4 + 0.1 * c, 0.5, 0.3) for r in range(3) for c in range(3)]
