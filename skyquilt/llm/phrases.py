@@ -15,6 +15,8 @@ this is all containment.
 Parts of candidates are as frequent as these, hence counted already; they are found by two joins. The best of a language are
 ranked within parts of its candidates first.
 
+Within a task words are told apart by 64-bit hashes, which unlike words share with a probability of about 2 ** -64; counts of single words are by the words themselves.
+
 Defined cases: a null text has no words; a null language is ``und``; long texts are cut like others; repeated rows count as often as they occur; ties in score go by count,
 then by the bytes of the phrase; an empty table gives no rows; columns other than those named are ignored.
 """
