@@ -65,8 +65,8 @@ def brightness(df: DataFrame, key: str) -> DataFrame:
 
 @ANALYZERS.add("change")
 def change(df: DataFrame, previous: dict[str, DataFrame], above: float) -> DataFrame:
-    """Keys whose mean, as found before, lies above a limit."""
-    return previous["brightness"].where(F.col("mean") > above)
+    """Keys whose mean, as found before, lies above a limit; to 12 places, so that a mean at the limit isn't above it by the order of its sum."""
+    return previous["brightness"].where(F.round("mean", 12) > above)
 
 
 @ANALYZERS.add("vegetation")

@@ -476,3 +476,14 @@ def test_analyzers_from_a_file(spark, tmp_path):
     assert math.isclose(got["water_quality", "done"], 0.0, abs_tol=1e-12)
     whole = analyzers.analyze(df.withColumn("red0", F.col("red") + F.col("col") * 0.2), analyzers.load_settings(str(path))).collect()
     assert {r.measure: r.value for r in whole if r.analyzer == "change_detection"} == {"changed": 1.0, "regions": 1.0, "region_pixels": 9.0}
+
+
+def test_change_at_the_limit(spark):
+    """A mean at the limit isn't above it, in whatever order its values are added."""
+    from skyquilt.plans.registry import ANALYZERS
+
+    orders = [[0.1, 0.05, 0.0], [0.0, 0.05, 0.1], [0.05, 0.0, 0.1]]
+    assert sum(orders[0]) / 3 > 0.05
+    df = spark.createDataFrame([(k, v) for k, order in enumerate(orders) for v in order] + [(99, 0.051)], "key int, value double").coalesce(1)
+    results = ANALYZERS.run(df, {"brightness": {"key": "key"}, "change": {"above": 0.05}})
+    assert [r["key"] for r in results[1].output.collect()] == [99]
