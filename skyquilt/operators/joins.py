@@ -174,11 +174,11 @@ def nearest_key(df: DataFrame, key: str, choices: list[int], out: str) -> DataFr
     return df.withColumn(out, best["c"])
 
 
-def best_overlap(requests: DataFrame, items: DataFrame, request_id: str, a: tuple, b: tuple, item_id: str, cell: float) -> DataFrame:
-    """For each request the item whose box overlaps it most; the lower item id of equal ones."""
+def best_overlap(requests: DataFrame, items: DataFrame, request_id: str, a: tuple, b: tuple, item_id: str, cell: float, digits: int = 4) -> DataFrame:
+    """For each request the item whose box overlaps it most; the lower item id of equal ones. Areas are compared at ``digits`` places, below which they are the noise of their bounds."""
     from skyquilt.functions.scalars import overlap_area
 
-    pairs = overlapping_boxes(requests, items, a, b, cell).withColumn("area", overlap_area(list(a), list(b)))
+    pairs = overlapping_boxes(requests, items, a, b, cell).withColumn("area", F.round(overlap_area(list(a), list(b)), digits))
     best = F.max_by(F.struct(item_id, "area"), F.struct(F.col("area"), -F.col(item_id)))
     return pairs.groupBy(request_id).agg(best.alias("best")).select(request_id, "best.*")
 

@@ -234,3 +234,12 @@ def test_stages():
     s1 = I.advance(stages, {})
     s2 = I.advance(stages, s1)
     assert s1 == {"a": "done"} and s2 == {"a": "done", "b": "halted"} and I.advance(stages, s2) == s2
+
+
+def test_best_overlap_of_equal_areas(spark):
+    """Of areas that are equal but for the noise of their bounds the lower item wins."""
+    a = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 10.0)], "r long, w double, s double, e double, n double")
+    i = spark.createDataFrame([(5, 0.0, 0.0, 0.3, 10.0), (7, 0.0, 0.0, 0.1 + 0.2, 10.0)], "i long, w2 double, s2 double, e2 double, n2 double")
+    assert 0.1 + 0.2 > 0.3
+    got = J.best_overlap(a, i, "r", ("w", "s", "e", "n"), ("w2", "s2", "e2", "n2"), "i", 1.0).collect()
+    assert [tuple(r) for r in got] == [(1, 5, 3.0)]
