@@ -122,9 +122,11 @@ def sigma0(dn, lut) -> Column:
     return v * v
 
 
-def decibel(x) -> Column:
-    """10 log10 x; what isn't finite becomes 0."""
-    return F.when(col(x) > 0, F.lit(10.0) * F.log10(col(x).cast("double"))).otherwise(0.0)
+def decibel(x, finite: bool = True) -> Column:
+    """10 log10 x; what isn't finite becomes 0, or without ``finite`` stays: minus infinity of 0, NaN below, null of null."""
+    v = col(x).cast("double")
+    out = F.when(v > 0, F.lit(10.0) * F.log10(v))
+    return out.otherwise(0.0) if finite else out.when(v == 0, float("-inf")).when(v.isNotNull(), float("nan"))
 
 
 def stretch(df: DataFrame, bands: list[str], low: float = 0.02, high: float = 0.98, exclude: Column | None = None) -> DataFrame:

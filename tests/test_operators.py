@@ -243,3 +243,19 @@ def test_best_overlap_of_equal_areas(spark):
     assert 0.1 + 0.2 > 0.3
     got = J.best_overlap(a, i, "r", ("w", "s", "e", "n"), ("w2", "s2", "e2", "n2"), "i", 1.0).collect()
     assert [tuple(r) for r in got] == [(1, 5, 3.0)]
+
+
+def test_decibel_of_zero(spark):
+    """A logarithm of zero is minus infinity where a query asks for it as it is."""
+    x = spark.createDataFrame([(0.0,), (100.0,), (-1.0,), (None,)], "a double")
+    got = [r.d for r in x.select(P.decibel("a", finite=False).alias("d")).collect()]
+    assert got[:2] == [-math.inf, 20.0] and math.isnan(got[2]) and got[3] is None
+    assert [r.d for r in x.select(P.decibel("a").alias("d")).collect()] == [0.0, 20.0, 0.0, 0.0]
+
+
+def test_event_expressions_of_zero(spark, tmp_path):
+    from skyquilt.plans import bindings
+
+    spark.createDataFrame([(1, "view", 0.0), (2, "error", 10.0)], "event_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    got = {r.event_id: r.db for r in bindings.QUERIES["event_expressions"](spark, str(tmp_path)).collect()}
+    assert got == {1: -math.inf, 2: 10.0}
