@@ -270,8 +270,8 @@ def funnel(df: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
     return df.agg(*cols)
 
 
-def progress(df: DataFrame, done_at: str, total: int, now: Column, recent_minutes: int = 30) -> DataFrame:
-    """Done, percent, rates an hour over all time and lately, and hours left at the latter if there is one."""
+def progress(df: DataFrame, done_at: str, total: int, now: Column, recent_minutes: int = 30, surplus: bool = False) -> DataFrame:
+    """Done, percent, rates an hour over all time and lately, and hours left at the latter if there is one. With ``surplus`` what is done beyond ``total`` counts below 0, else as nothing left."""
     t = F.unix_micros(F.col(done_at).cast("timestamp")) / 1e6
     n = F.unix_micros(now.cast("timestamp")) / 1e6
     a = df.agg(F.count("*").alias("done"), F.min(t).alias("first"), F.max(t).alias("last"), F.count_if(t > n - recent_minutes * 60).alias("recent"))
@@ -279,7 +279,8 @@ def progress(df: DataFrame, done_at: str, total: int, now: Column, recent_minute
     recent = F.col("recent") * (60.0 / recent_minutes)
     overall = F.col("done") / hours
     rate = F.when(F.col("recent") > 0, recent).otherwise(overall)
-    left = F.greatest(F.lit(total) - F.col("done"), F.lit(0))
+    left = F.lit(total) - F.col("done")
+    left = left if surplus else F.greatest(left, F.lit(0))
     return a.select("done", (100.0 * F.col("done") / total).alias("percent"), left.alias("remaining"), overall.alias("rate_overall"), recent.alias("rate_recent"), (left / F.nullif(rate, F.lit(0.0))).alias("eta_hours"))
 
 

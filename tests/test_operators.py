@@ -259,3 +259,12 @@ def test_event_expressions_of_zero(spark, tmp_path):
     spark.createDataFrame([(1, "view", 0.0), (2, "error", 10.0)], "event_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
     got = {r.event_id: r.db for r in bindings.QUERIES["event_expressions"](spark, str(tmp_path)).collect()}
     assert got == {1: -math.inf, 2: 10.0}
+
+
+def test_progress_beyond_the_total(spark):
+    now = dt.datetime(2024, 1, 1, 12)
+    df = spark.createDataFrame([(now - dt.timedelta(minutes=i / 2 + 0.1),) for i in range(60)], "t timestamp")
+    r = one(A.progress(df, "t", 45, F.lit(now), surplus=True))
+    assert r.remaining == -15 and r.eta_hours == pytest.approx(-0.125)
+    r = one(A.progress(df, "t", 45, F.lit(now)))
+    assert r.remaining == 0 and r.eta_hours == 0
