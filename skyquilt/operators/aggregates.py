@@ -326,10 +326,10 @@ def growing_season(pixels: DataFrame, tile: str, start: str, end: str, least: in
     return a.where((F.col("n") >= F.greatest(F.lit(float(least)), least_share * F.col("all"))) & (F.col("first_day") < F.col("last_day"))).select(tile, "n", "first_day", "last_day")
 
 
-def segment_vote(df: DataFrame, segment: str, cls: str, p: str, mode: str = "mean_prob") -> DataFrame:
-    """A class for each segment from rows of class probabilities; the lowest class wins a tie."""
+def segment_vote(df: DataFrame, segment: str, cls: str, p: str, mode: str = "mean_prob", digits: int = 9) -> DataFrame:
+    """A class for each segment from rows of class probabilities; the lowest class wins a tie. Scores are compared at ``digits`` places, as the order of their sums is open."""
     score = {"mean_prob": F.avg(p), "weighted_mean": F.sum(F.col(p) * F.col(p)) / F.nullif(F.sum(p), F.lit(0.0)), "majority_vote": F.count_if(F.col(p) >= 0.5)}[mode]
-    s = df.groupBy(segment, cls).agg(score.cast("double").alias("score"))
+    s = df.groupBy(segment, cls).agg(F.round(score.cast("double"), digits).alias("score"))
     return s.groupBy(segment).agg(F.max_by(cls, F.struct("score", -F.col(cls))).alias(cls))
 
 

@@ -268,3 +268,10 @@ def test_progress_beyond_the_total(spark):
     assert r.remaining == -15 and r.eta_hours == pytest.approx(-0.125)
     r = one(A.progress(df, "t", 45, F.lit(now)))
     assert r.remaining == 0 and r.eta_hours == 0
+
+
+def test_segment_vote_of_equal_scores(spark):
+    """Means that are equal but for the order of their sums are a tie."""
+    assert (0.1 + 0.2) / 2 > 0.3 / 2
+    df = spark.createDataFrame([(0, 1, 0.3), (0, 1, 0.0), (0, 2, 0.1), (0, 2, 0.2)], "seg long, cls int, p double").coalesce(1)
+    assert A.segment_vote(df, "seg", "cls", "p").collect()[0].cls == 1
