@@ -275,3 +275,19 @@ def test_segment_vote_of_equal_scores(spark):
     assert (0.1 + 0.2) / 2 > 0.3 / 2
     df = spark.createDataFrame([(0, 1, 0.3), (0, 1, 0.0), (0, 2, 0.1), (0, 2, 0.2)], "seg long, cls int, p double").coalesce(1)
     assert A.segment_vote(df, "seg", "cls", "p").collect()[0].cls == 1
+
+
+def test_suppression_writes_no_pairs(spark, tmp_path, monkeypatch):
+    """Many detections in one place: what a round writes follows them, not their pairs; those without a place or score stay."""
+    rows = [(0, float(i % 7), float(i % 5), float(i % 11), i) for i in range(2000)] + [(0, None, 1.0, 5.0, 3000), (0, float("nan"), 1.0, 5.0, 3001), (0, 1.0, 1.0, None, 3002), (0, 200.0, 1.0, float("nan"), 3003), (0, 201.0, 1.0, 99.0, 3004)]
+    written, table = [], I._table
+
+    def counted(df):
+        out = table(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(I, "_table", counted)
+    df = spark.createDataFrame(rows, "g int, x double, y double, s double, u int")
+    got = {r.u for r in I.suppress_near(df, "g", "x", "y", "s", "u", 15.0).collect()}
+    assert got == {10, 3000, 3001, 3002, 3003} and max(written) <= len(rows)
