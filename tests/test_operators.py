@@ -291,3 +291,19 @@ def test_suppression_writes_no_pairs(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame(rows, "g int, x double, y double, s double, u int")
     got = {r.u for r in I.suppress_near(df, "g", "x", "y", "s", "u", 15.0).collect()}
     assert got == {10, 3000, 3001, 3002, 3003} and max(written) <= len(rows)
+
+
+def test_components_shrink(spark, monkeypatch):
+    """What a round writes shrinks from round to round, even along a path of ascending ids."""
+    written, table = [], I._table
+
+    def counted(df):
+        out = table(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(I, "_table", counted)
+    path = spark.range(300).selectExpr("id AS a", "id + 1 AS b").unionByName(spark.range(1000, 1100).selectExpr("id AS a", "id + 1 AS b"))
+    got = {r.id: r.component for r in I.components(path).collect()}
+    assert got == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1101)}
+    assert min(n for n in written if n) < 100
