@@ -93,18 +93,19 @@ def overlapping_boxes(left: DataFrame, right: DataFrame, a: tuple[str, ...], b:
 
     keys = ["__l", "__cx", "__cy"]
     l, r = _dealt(raised(left, "__la", b_levels), a, cell), _dealt(raised(right, "__lb", a_levels), b, cell)  # noqa: E741
-    if split:
+    if split:  # by a given number of partitions, as the pairs may be many more than the boxes, by whose bytes Spark would join parts
         l, r = _salted(l, r, keys, split)  # noqa: E741
+        r = r.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "__part")
     size = F.pow(F.lit(2.0), F.col("__l")) * cell
     meet = ~((be < aw) | (bw > ae) | (bn < as_) | (bs > an)) & (F.col("__l") == F.greatest("__la", "__lb"))
     corner = (F.floor(F.greatest(aw, bw) / size) == F.col("__cx")) & (F.floor(F.greatest(as_, bs) / size) == F.col("__cy"))
     return l.join(r, [*keys, *(["__part"] if split else [])]).where(meet & corner).drop(*keys, "__la", "__lb", "__part")
 
 
-def range_join(left: DataFrame, right: DataFrame, low: str, high: str, low2: str, high2: str, width: float) -> DataFrame:
-    """Pairs of intervals [low, high] that share a point; as boxes in one dimension."""
+def range_join(left: DataFrame, right: DataFrame, low: str, high: str, low2: str, high2: str, width: float, split: int | None = None) -> DataFrame:
+    """Pairs of intervals [low, high] that share a point; as boxes in one dimension. ``split``: cells with more left rows than this are dealt over several tasks."""
     flat = lambda df, lo, hi, p: df.withColumns({f"__{p}0": F.lit(0.0), f"__{p}1": F.lit(0.0)})
-    out = overlapping_boxes(flat(left, low, high, "a"), flat(right, low2, high2, "b"), (low, "__a0", high, "__a1"), (low2, "__b0", high2, "__b1"), width)
+    out = overlapping_boxes(flat(left, low, high, "a"), flat(right, low2, high2, "b"), (low, "__a0", high, "__a1"), (low2, "__b0", high2, "__b1"), width, split)
     return out.drop("__a0", "__a1", "__b0", "__b1")
 
 

@@ -307,3 +307,12 @@ def test_components_shrink(spark, monkeypatch):
     got = {r.id: r.component for r in I.components(path).collect()}
     assert got == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1101)}
     assert min(n for n in written if n) < 100
+
+
+def test_range_join_deals_a_dense_cell(spark):
+    """Pairs of one cell come from several tasks, each pair once."""
+    a = spark.range(300).selectExpr("id AS i", "10.0D + id * 1e-3 AS lo", "20.0D AS hi")
+    b = spark.range(300).selectExpr("id AS j", "11.0D + id * 1e-3 AS lo2", "19.0D AS hi2")
+    got = J.range_join(a, b, "lo", "hi", "lo2", "hi2", 100, split=20).select("i", "j", F.spark_partition_id().alias("p")).collect()
+    assert len(got) == len({(r.i, r.j) for r in got}) == 90_000
+    assert max(sum(r.p == p for r in got) for p in {r.p for r in got}) < 60_000
