@@ -211,10 +211,11 @@ def map_box(x_min, y_min, x_max, y_max, west: float, north: float, step: float =
     return F.struct(e(x_min).alias("west"), n(y_max).alias("south"), e(x_max).alias("east"), n(y_min).alias("north"))
 
 
-def box_ring(west, south, east, north) -> Column:
-    """A box of the grid as a closed ring of latitudes and longitudes, from the south-west corner counter-clockwise."""
+def box_ring(west, south, east, north, digits: int | None = None) -> Column:
+    """A box of the grid as a closed ring of latitudes and longitudes, from the south-west corner counter-clockwise; rounded here, not by a function of the array, within which Spark would evaluate all of it uncompiled."""
     corners = [(west, south), (east, south), (east, north), (west, north), (west, south)]
-    return F.array(*[from_grid(e, n) for e, n in corners])
+    ring = [from_grid(e, n) for e, n in corners]
+    return F.array(*(ring if digits is None else [F.struct(*[F.round(c[k], digits).alias(k) for k in ("lat", "lon")]) for c in ring]))
 
 
 def centred_box(easting, northing, size_px: int, step: float = 10) -> Column:

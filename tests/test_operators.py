@@ -316,3 +316,13 @@ def test_range_join_deals_a_dense_cell(spark):
     got = J.range_join(a, b, "lo", "hi", "lo2", "hi2", 100, split=20).select("i", "j", F.spark_partition_id().alias("p")).collect()
     assert len(got) == len({(r.i, r.j) for r in got}) == 90_000
     assert max(sum(r.p == p for r in got) for p in {r.p for r in got}) < 60_000
+
+
+def test_rings_are_compiled(spark):
+    """No function of an array holds the series, as Spark evaluates what is in one uncompiled; the ring closes."""
+    from skyquilt.plans import score_bindings  # noqa: F401
+    from skyquilt.plans.bindings import QUERIES
+
+    got = QUERIES["pixel_rings"](spark, "/root/testdata/sf0.001")
+    assert "transform(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert all(len(r.ring) == 5 and r.ring[0] == r.ring[4] for r in got.limit(5).collect())
