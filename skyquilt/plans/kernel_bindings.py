@@ -188,7 +188,7 @@ _SET = """WITH f AS (SELECT s_name || chr(10) AS c FROM supplier), h AS (SELECT
 
 def _inputs(s, d):
     path = _folder(s, "inputs")
-    t(s, d, "supplier").select(F.col("s_suppkey").alias("part"), F.col("s_name").alias("value")).repartition("part").write.partitionBy("part").text(path)
+    T.write_files(t(s, d, "supplier"), "s_suppkey", "s_name", path)
     return T.file_digests(s, path)
 
 

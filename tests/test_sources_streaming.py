@@ -211,3 +211,11 @@ def test_limits_and_jobs_streams(spark, tmp_path):
     stateful.run_available(stateful.job_states(stream, "k"), str(tmp_path / "jobs"), str(tmp_path / "s2"))
     batch = control.job_states(spark.createDataFrame(rows, schema), "k", ["ts", "event"], "kind")
     assert last("jobs", "state") == {r.k: (r.state, r.events) for r in batch.collect()}
+
+
+def test_files_share_folders(spark, tmp_path):
+    """A file a row, many a folder; what is read back is what was written."""
+    n = T.write_files(spark.range(300).selectExpr("id", "concat('name ', id) AS name"), "id", "name", f"file://{tmp_path}/in", folders=8)
+    d = T.file_digests(spark, str(tmp_path / "in")).collect()
+    assert n == len(d) == 300 and len(list((tmp_path / "in").iterdir())) == 8
+    assert (tmp_path / "in").joinpath(*next(r.path for r in d if r.path.endswith("/42")).split("/")[-2:]).read_text() == "name 42\n"
