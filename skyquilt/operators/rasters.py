@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyquilt.operators.iterative import _saved
+
 KEYS = ("tile", "row", "col")
 
 
@@ -140,11 +142,14 @@ def local_contrast(df: DataFrame, value: str, reach: int) -> DataFrame:
 # -- kernels on whole arrays
 
 
+def _turned(waves: np.ndarray, shape: tuple[int, int], dy: float, dx: float) -> np.ndarray:
+    fy, fx = np.fft.fftfreq(shape[0])[:, None], np.fft.rfftfreq(shape[1])[None, :]
+    return np.fft.irfft2(waves * (np.exp(-2j * np.pi * dy * fy) * np.exp(-2j * np.pi * dx * fx)), s=shape)
+
+
 def shift_image(image: np.ndarray, dy: float, dx: float) -> np.ndarray:
     """A sub-pixel shift by the shift theorem, the edges wrapped."""
-    fy, fx = np.fft.fftfreq(image.shape[0])[:, None], np.fft.rfftfreq(image.shape[1])[None, :]
-    turned = np.fft.rfft2(image) * np.exp(-2j * np.pi * (fy * dy + fx * dx))
-    return np.fft.irfft2(turned, s=image.shape)
+    return _turned(np.fft.rfft2(image), image.shape, dy, dx)
 
 
 def _peak(a: float, b: float, c: float) -> float:
@@ -276,6 +281,128 @@ def register_frames(df: DataFrame, value: str, anchor: int | DataFrame, method:
     return coregistered(df, value, anchor, method).groupBy("tile", "slot").agg(F.first("dy").alias("dy"), F.first("dx").alias("dx"))
 
 
+#: Pixels of a strip of a long frame, and the rows of its neighbours that it has above and below.
+STRIP, HALO, BINS = 1 << 18, 32, 48
+
+
+def _strips(df: DataFrame, parts: int) -> DataFrame:
+    """Lines dealt to the ``n`` strips of their frame, of ``h`` rows: ``tile slot strip n h`` and ``line``, all lines of the strip in order, with ``HALO`` rows from beyond its ends, the frame's ends wrapped. A frame that is one strip has no more than its own lines."""
+    low = lambda k: F.floor(F.col("h") * k / F.col("n"))
+    own = F.floor(((F.col("row") + 1) * F.col("n") - 1) / F.col("h"))
+    d = df.withColumn("k", own).withColumns({"lo": low(F.col("k")), "hi": low(F.col("k") + 1)})
+    up, down = F.pmod(F.col("k") - 1, F.col("n")), F.pmod(F.col("k") + 1, F.col("n"))
+    at = lambda k, place: F.struct(k.cast("int").alias("strip"), place.cast("long").alias("at"))
+    several = F.col("n") > 1
+    to = F.array(
+        at(F.col("k"), F.col("row") - F.col("lo") + HALO),
+        F.when(several & (F.col("row") - F.col("lo") < HALO), at(up, F.col("row") - F.col("lo") + HALO + low(up + 1) - low(up))),
+        F.when(several & (F.col("hi") - F.col("row") <= HALO), at(down, F.col("row") - F.col("hi") + HALO)),
+    )
+    sent = d.withColumn("to", F.explode(F.array_compact(to))).select("tile", "slot", "n", "h", "to.strip", "to.at", "line")
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x["line"])
+    return sent.repartition(parts, "tile", "strip").groupBy("tile", "strip", "slot", "n", "h").agg(F.flatten(lines).alias("line"))
+
+
+def _binned(a: np.ndarray, low: float, high: float) -> np.ndarray:
+    return np.clip(((a - low) * (BINS / ((high - low) or 1.0))).astype(np.int64), 0, BINS - 1)
+
+
+def _joint_counts(asked: dict[tuple, list[tuple[float, float]]], margin: int):
+    """Counts of joint bins of a strip and its shifted frame, for each shift asked for, added up over a task's strips; rows and columns at the frame's edges aren't counted."""
+
+    def run(parts):
+        held: dict[tuple, np.ndarray] = {}
+        for pdf in parts:
+            for r in pdf.itertuples():
+                shape = (-1, r.w)
+                moving, fixed = np.asarray(r.line, float).reshape(shape), np.asarray(r.fixed, float).reshape(shape)
+                lo, hi = r.h * r.strip // r.n, r.h * (r.strip + 1) // r.n
+                inner = np.s_[HALO + max(0, margin - lo) : HALO + min(hi, r.h - margin) - lo, margin:-margin]
+                a = _binned(fixed[inner], r.low, r.high) * BINS
+                waves = np.fft.rfft2(moving)
+                for k, shift in enumerate(asked[r.tile, r.slot]):
+                    n = np.bincount((a + _binned(_turned(waves, moving.shape, *shift)[inner], r.low2, r.high2)).ravel(), minlength=BINS * BINS)
+                    held[r.tile, r.slot, k] = held.get((r.tile, r.slot, k), 0) + n
+        if held:
+            yield pd.DataFrame([(*key, n) for key, n in held.items()], columns=["tile", "slot", "k", "counts"])
+
+    return run
+
+
+def _information(counts: np.ndarray) -> float:
+    joint = counts.reshape(BINS, BINS) / counts.sum()
+    outer = joint.sum(1, keepdims=True) * joint.sum(0, keepdims=True)
+    on = joint > 0
+    return float((joint[on] * np.log(joint[on] / outer[on])).sum())
+
+
+def _long_offsets(pairs: DataFrame, kind: str, search: float, margin: int = 4) -> dict[tuple, tuple[float, float]]:
+    """``information_offset`` of frames of several strips: each round counts the joint bins of all strips for the shifts asked for. One row a frame and shift reaches the driver."""
+    frames = [(r["tile"], r["slot"]) for r in pairs.select("tile", "slot").distinct().collect()]
+
+    def scores(asked: dict[tuple, list[tuple[float, float]]]) -> dict[tuple, list[float]]:
+        here = pairs.where(F.struct("tile", "slot").isin([F.struct(F.lit(a), F.lit(b)) for a, b in asked])) if len(asked) < len(frames) else pairs
+        counts = here.mapInPandas(_joint_counts(asked, margin), f"tile {kind}, slot int, k int, counts array<bigint>")
+        total = lambda key, pdf: pd.DataFrame([(*key, _information(np.sum(pdf["counts"].tolist(), axis=0)))])
+        out = {key: [0.0] * len(v) for key, v in asked.items()}
+        for r in counts.groupBy("tile", "slot", "k").applyInPandas(total, f"tile {kind}, slot int, k int, value double").collect():
+            out[r["tile"], r["slot"]][r["k"]] = r["value"]
+        return out
+
+    start = {k: v[0] for k, v in scores({f: [(0.0, 0.0)] for f in frames}).items()} if frames else {}
+    state = {f: (start[f], (0.0, 0.0), search / 2) for f in frames}  # best, where, step
+    while asked := {f: [(y, x) for dy in (-s, 0.0, s) for dx in (-s, 0.0, s) if (dy or dx) and max(abs(y := at[0] + dy), abs(x := at[1] + dx)) <= search] for f, (_, at, s) in state.items() if s > 0.02}:
+        for f, values in scores(asked).items():
+            best, at, step = state[f]
+            top = int(np.argmax(values)) if values else 0
+            state[f] = (values[top], asked[f][top], step) if values and values[top] > best else (best, at, step / 2)
+    return {f: (0.0, 0.0) if best <= start[f] or max(map(abs, at)) >= 0.95 * search else at for f, (best, at, _) in state.items()}
+
+
+def coregistered_lines(df: DataFrame, value: str, anchor: int, search: float = 3.0, least: float = 0.05, strip: int = STRIP) -> DataFrame:
+    """``coregistered`` of frames that come as lines, ``tile slot row`` and an array of a line's values from column 0: ``tile slot strip``, ``line`` and ``fixed`` (the strip's and
+    the anchor's values, row by row), ``dy dx``.
+
+    Frames have all their lines. A task has one strip of a frame, of about ``strip`` pixels, and that of its anchor, however long frames are; shifts are found by mutual information over all strips. A strip is shifted with
+    ``HALO`` rows of its neighbours. Frames of another shape than the anchor, or without one, stay, and have no ``fixed``.
+    """
+    kind = dict(df.dtypes)["tile"]
+    p = df.select("tile", F.col("slot").cast("int").alias("slot"), F.col("row").cast("long").alias("row"), F.col(value).alias("line"))
+    shapes = _saved(p.groupBy("tile", "slot").agg((F.max("row") + 1).alias("h"), F.max(F.size("line")).alias("w"), F.min(F.array_min("line")).alias("low"), F.max(F.array_max("line")).alias("high")))
+    n = lambda: F.greatest(F.lit(1), F.floor(F.col("h") / F.greatest(F.lit(2 * HALO), F.floor(strip / F.col("w"))))).cast("int")
+    pixels = shapes.agg(F.sum(F.col("h") * F.col("w"))).first()[0] or 0
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), pixels // (8 * STRIP))  # by number: the rows are few, and the work behind them isn't
+    s = _strips(p.join(shapes, ["tile", "slot"]).withColumn("n", n()), parts)
+    ranges = shapes.select("tile", "slot", "w", F.col("low").alias("low2"), F.col("high").alias("high2"))
+    fixed = s.where(F.col("slot") == anchor).join(shapes.where(F.col("slot") == anchor).select("tile", "w", "low", "high"), "tile")
+    fixed = fixed.select("tile", "strip", F.col("h").alias("fh"), F.col("w").alias("fw"), "low", "high", F.col("line").alias("fixed"))
+    pairs = s.where(F.col("slot") != anchor).join(ranges, ["tile", "slot"]).join(fixed, ["tile", "strip"], "left")
+    alike = F.coalesce((F.col("fh") == F.col("h")) & (F.col("fw") == F.col("w")), F.lit(False))
+    pairs = _saved(pairs.withColumn("fixed", F.when(alike, F.col("fixed"))).drop("fh", "fw"))
+    found = _long_offsets(pairs.where("n > 1 AND w >= 12 AND fixed IS NOT NULL"), kind, search)
+
+    def lay(parts):
+        for pdf in parts:
+            out = []
+            for r in pdf.itertuples():
+                image, dy, dx = np.asarray(r.line, float).reshape(-1, r.w), 0.0, 0.0
+                own = np.s_[HALO : HALO + r.h * (r.strip + 1) // r.n - r.h * r.strip // r.n] if r.n > 1 else np.s_[:]
+                there = None if r.fixed is None else np.asarray(r.fixed, float).reshape(-1, r.w)
+                if there is not None and min(r.h, r.w) >= 12:
+                    dy, dx = found.get((r.tile, r.slot), (0.0, 0.0)) if r.n > 1 else information_offset(there, image, search)
+                    if max(abs(dy), abs(dx)) < least or max(abs(dy), abs(dx)) > search:
+                        dy, dx = 0.0, 0.0
+                if dy or dx:
+                    image = shift_image(image, dy, dx)
+                out.append((r.tile, r.slot, r.strip, image[own].ravel(), None if there is None else there[own].ravel(), float(dy), float(dx)))
+            yield pd.DataFrame(out, columns=["tile", "slot", "strip", "line", "fixed", "dy", "dx"])
+
+    laid = pairs.mapInPandas(lay, f"tile {kind}, slot int, strip int, line array<double>, fixed array<double>, dy double, dx double")
+    zero = F.lit(0.0)
+    own = p.where(F.col("slot") == anchor).select("tile", "slot", F.col("row").cast("int").alias("strip"), "line", F.col("line").alias("fixed"), zero.alias("dy"), zero.alias("dx"))  # lines as they came
+    return laid.unionByName(own)
+
+
 def rasterize_tiles(tiles: DataFrame, polygons: DataFrame, size: int, step: float = 10) -> DataFrame:
     """Class of every pixel of each tile from the polygons that overlap it, in order of ``rank``: ``tile row col value``.
 

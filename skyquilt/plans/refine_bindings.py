@@ -203,13 +203,13 @@ def registered_frames(s, d):
     """K-2, K-3, K-5: smooth frames moved by whole pixels are laid on the first again: shifts within 0.05 of those planted, values as in the anchor."""
     o = t(s, d, "orders").join(t(s, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("tile")), "o_custkey")
     b = o.groupBy("tile", F.floor(F.col("o_custkey") / 5).alias("row"), F.floor(F.dayofyear("o_orderdate") / 6).cast("long").alias("col")).agg(F.sum("o_totalprice").alias("g"))
-    origin = b.select("tile", F.lit(0).cast("long").alias("row"), F.lit(0).cast("long").alias("col"), F.lit(0.0).alias("g")).distinct()
-    whole = I._table(RF.box_means(RF.dense(b.unionByName(origin), ["g"]).drop("n"), "g", 3))
-    extent = whole.groupBy("tile").agg((F.max("row") + 1).alias("h"), (F.max("col") + 1).alias("w"), F.max("g").alias("top"))
-    wide = I._table(whole.join(extent, "tile").withColumn("g", F.col("g") / F.col("top")))
+    lines = I._saved(RF.line_means(b, "g", 3))
+    top = I._saved(lines.groupBy("tile").agg(F.max(F.array_max("line")).alias("top")))
+    wide = lines.join(top, "tile").withColumn("g", F.transform("line", lambda v: v / F.col("top")))
     at = F.explode(F.array(*[F.struct(F.lit(k).alias("slot"), F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for k, (dy, dx) in enumerate([(0, 0), *_SHIFTS])])).alias("s")
-    frames = wide.select("*", at).select("tile", "s.slot", F.pmod(F.col("row") + F.col("s.dy"), F.col("h")).alias("row"), F.pmod(F.col("col") + F.col("s.dx"), F.col("w")).alias("col"), "g")
-    got = R.coregistered(frames, "g", 0, "information")
-    true = got.join(wide.select("tile", "row", "col", F.col("g").alias("v")), ["tile", "row", "col"])
+    turned = lambda v, w, k: F.concat(F.slice(v, w - k + 1, k), F.slice(v, F.lit(1), w - k))
+    frames = wide.select("*", at).select("tile", "s.slot", F.pmod(F.col("row") + F.col("s.dy"), F.col("h")).alias("row"), turned(F.col("g"), F.col("w"), F.pmod(F.col("s.dx"), F.col("w"))).alias("g"))
+    got = R.coregistered_lines(frames, "g", 0)
+    apart = F.array_max(F.transform(F.arrays_zip("line", "fixed"), lambda x: F.abs(x["line"] - x["fixed"])))
     near = lambda c: F.when(F.abs(F.col(c) - F.round(c)) < 0.05, F.round(c) + 0.0).otherwise(F.col(c)).alias(c)
-    return true.groupBy("tile", "slot", near("dy"), near("dx")).agg(F.count("*").alias("pixels"), (F.max(F.abs(F.col("g") - F.col("v"))) < 0.05).alias("alike"))
+    return got.groupBy("tile", "slot", near("dy"), near("dx")).agg(F.sum(F.size("line").cast("long")).alias("pixels"), (F.max(apart) < 0.05).alias("alike"))

@@ -349,6 +349,44 @@ def test_coregistered(spark):
     assert by["b", 2] == (0.0, 0.0) and abs(by["b", 0][0] + 1.75) <= 0.05 and abs(by["b", 0][1] - 0.5) <= 0.05
 
 
+def test_coregistered_lines(spark):
+    """Frames in strips: the shift is that of the whole frame, and no task has more of a frame than its strip."""
+    rng = np.random.Generator(np.random.PCG64(5))
+    base = R.smooth(rng.random((400, 24)), 1.5)
+    base = (base - base.min()) / (base.max() - base.min())
+    frames = {("a", 0): base, ("a", 1): R.shift_image(base, 0.7, -1.25), ("a", 2): base[:300], ("b", 1): base} | {("a", 3): np.roll(base, (2, -1), (0, 1))}
+    df = spark.createDataFrame([(t, s, r, a[r].tolist()) for (t, s), a in frames.items() for r in range(len(a))], "tile string, slot int, row int, v array<double>")
+    got = [r for r in R.coregistered_lines(df, "v", 0, strip=3000).collect()]
+    for (t, s), a in frames.items():
+        mine = sorted((r for r in got if (r.tile, r.slot) == (t, s)), key=lambda r: r.strip)
+        assert np.concatenate([r.line for r in mine]).shape == (a.size,) and len({(r.dy, r.dx) for r in mine}) == 1
+        if s in (1, 3) and t == "a":
+            assert len(mine) == 3 and max(len(r.line) for r in mine) < 3500
+            want = {1: (-0.7, 1.25), 3: (-2, 1)}[s]
+            assert max(abs(mine[0].dy - want[0]), abs(mine[0].dx - want[1])) <= 0.05
+            assert np.abs(np.concatenate([r.line for r in mine]) - base.ravel()).max() < 0.05
+            assert (np.concatenate([r.fixed for r in mine]) == base.ravel()).all()
+        else:
+            assert (mine[0].dy, mine[0].dx) == (0.0, 0.0) and (np.concatenate([r.line for r in mine]) == a.ravel()).all()
+            assert s == 0 or all(r.fixed is None for r in mine)
+
+
+@pytest.mark.parametrize("strip", [1 << 18, 40])
+def test_line_means(spark, monkeypatch, strip):
+    monkeypatch.setattr(RF, "STRIP", strip)
+    rng = np.random.Generator(np.random.PCG64(6))
+    a = {"a": rng.random((37, 9)), "b": rng.random((3, 5))}
+    sparse = {k: np.where(rng.random(v.shape) < 0.2, v, np.nan) for k, v in a.items()}
+    for v in sparse.values():
+        v[-1, -1] = 0.5
+        v[8:20] = np.nan
+    got = {(r.tile, r.row): r for r in RF.line_means(tiles(spark, sparse), "v", 3).collect()}
+    assert len(got) == 40
+    for (t, row), r in got.items():
+        full = np.nan_to_num(sparse[t])
+        assert (r.h, r.w) == full.shape and np.allclose(r.line, [full[max(0, row - 3) : row + 4, max(0, c - 3) : c + 4].mean() for c in range(r.w)])
+
+
 def test_smoothed(spark):
     rng = np.random.Generator(np.random.PCG64(4))
     a = holed(rng, (14, 17))
