@@ -213,6 +213,33 @@ def test_limits_and_jobs_streams(spark, tmp_path):
     assert last("jobs", "state") == {r.k: (r.state, r.events) for r in batch.collect()}
 
 
+def test_keys_share_states(spark, tmp_path):
+    """Keys, null among them, share the states of a few buckets; calls of Python number as the buckets, and claims of one bucket go stale at their own times."""
+    rows = [(None if i % 50 == 0 else i % 50, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=7 * i), i, "x", "claim", i % 5 > 0, "start") for i in range(200)]
+    schema = "k long, ts timestamp, event long, who string, action string, ok boolean, kind string"
+    for part in range(2):
+        spark.createDataFrame(rows[part * 100 : (part + 1) * 100], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream, calls = ST.file_stream(spark, str(tmp_path / "in"), schema, 1), spark.sparkContext.accumulator(0)
+
+    class Counted(stateful._Jobs):
+        def handleInputRows(self, key, rows, timerValues):
+            calls.add(1)
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    before, stateful._Jobs = stateful._Jobs, Counted
+    try:
+        stateful.run_available(stateful.job_states(stream, "k", buckets=3), str(tmp_path / "jobs"), str(tmp_path / "s1"))
+    finally:
+        stateful._Jobs = before
+    assert 0 < calls.value <= 2 * 4
+    got = {(r.k, r.events): r.state for r in spark.read.parquet(str(tmp_path / "jobs")).collect()}
+    assert got == {(k or None, n): "RUNNING" for k in range(50) for n in (2, 4)}
+    stateful.run_available(stateful.closed_claims(stream, "k", stale_hours=4, buckets=3), str(tmp_path / "claims"), str(tmp_path / "s2"))
+    micros = lambda t: int(t.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    want = [(k, "x", micros(ts), micros(ts) + 4 * 3_600_000_000, "stale") for k, ts, *_ in rows if micros(ts) + 4 * 3_600_000_000 < micros(rows[-1][1]) - 1_000_000]
+    assert sorted((tuple(r) for r in spark.read.parquet(str(tmp_path / "claims")).collect()), key=lambda r: r[2]) == want
+
+
 def test_files_share_folders(spark, tmp_path):
     """A file a row, many a folder; what is read back is what was written."""
     n = T.write_files(spark.range(300).selectExpr("id", "concat('name ', id) AS name"), "id", "name", f"file://{tmp_path}/in", folders=8)
