@@ -110,7 +110,7 @@ _GUIDED = f"""radii AS (SELECT unnest([1, 4]) AS k),
 @query(f"WITH {_BANDS}, {_GUIDED}")
 def guided_refinement(s, d):
     """K-12: shares smoothed within two radii, but not across edges of the guide."""
-    b = _bands(s, d)
+    b = I._saved(_bands(s, d))
     out = [RF.guided_filter(b, ["g"], ["p0", "p1"], k, 0.01).withColumn("radius", F.lit(k)) for k in (1, 4)]
     r5 = lambda c: (F.round(c, 5) + 0.0).alias(c)
     return out[0].unionByName(out[1]).select("radius", "tile", "row", "col", r5("p0"), r5("p1"))
@@ -119,7 +119,7 @@ def guided_refinement(s, d):
 @query(f"WITH {_RASTER}, radii AS (SELECT unnest([2, 9]) AS k) SELECT k AS radius, a.tile, a.row, a.col, round(avg(b.v), 6) + 0.0 AS v FROM px a JOIN px b ON a.tile = b.tile JOIN radii ON {_NEAR} GROUP BY ALL")
 def box_smoothed(s, d):
     """K-19, K-20: means of squares of two radii, by cumulative sums."""
-    p = raster(s, d)
+    p = I._saved(raster(s, d))
     out = [RF.box_means(p, "v", k).withColumn("radius", F.lit(k)) for k in (2, 9)]
     return out[0].unionByName(out[1]).select("radius", "tile", "row", "col", r6(F.col("v"), "v"))
 

@@ -320,6 +320,18 @@ def test_skeleton(spark):
 # -- registration
 
 
+def test_box_tasks(spark, monkeypatch):
+    """The pixels of a task stay as many when tiles grow: lines are dealt over tasks before their pixels are made, and sums along both axes have as many tasks."""
+    monkeypatch.setattr(RF, "TASK", 500)
+    df = spark.createDataFrame([("a", 0, 0, 1.0), ("a", 299, 49, 2.0)], PIXELS)
+    tasks = RF._tasks(RF._extent(df))
+    assert tasks == 30 and RF._tasks(RF._extent(df.limit(0))) == 4
+    for made in (RF.dense(df, ["v"]), RF.box_sums(RF.dense(df, ["v"]), ["v"], 2, tasks)):
+        sizes = [r["count"] for r in made.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 15_000 and len(sizes) >= 15 and max(sizes) <= 3000
+    assert RF.box_means(df, "v", 2).count() == 2
+
+
 def test_coregistered(spark):
     """Sub-pixel shifts planted in smooth images are found and undone; a frame without an anchor, or of another shape, stays."""
     rng = np.random.Generator(np.random.PCG64(3))
