@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyquilt.functions.spectral import col
+from skyquilt.operators.iterative import _saved
 
 #: Scene classes that hide the ground (shadow, two clouds, cirrus).
 CLOUD_CLASSES = (3, 8, 9, 10)
@@ -188,9 +189,19 @@ def background_date(dates: DataFrame, tile: str, day: str, weather_ok: str, year
     return first_per(dates.where(F.col(weather_ok)).withColumn("__n", F.coalesce(*near)).where("__n IS NOT NULL"), [tile], [F.col("__n"), F.col(day)]).select(tile, day)
 
 
+#: Rows of a task that chooses dates.
+TASK = 1 << 18
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows by key over as many tasks as their number asks for, never fewer than Spark's own number; work by the key, and by more columns with it, needs no further shuffle. Pass a written table: its rows are counted."""
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // TASK), key)
+
+
 def slot_plan(dates: DataFrame, slots: DataFrame, tile: str, tile_year: int, years: tuple[int, ...] = (2016, 2015), strict_cloud: float = 0.10, relaxed_cloud: float = 0.40) -> DataFrame:
     """``tile, slot, date`` of all five slots: 1 to 3 by ``slot_dates``; and only of tiles that have all three, the autumn before as slot 0 and a summer of the background years as slot 4, if they have one."""
-    grown = slot_dates(dates, slots, tile, strict_cloud, relaxed_cloud).where("slot BETWEEN 1 AND 3").select(tile, F.col("slot").cast("int").alias("slot"), "date")
+    dates = dealt(_saved(dates), tile)
+    grown = _saved(slot_dates(dates, slots, tile, strict_cloud, relaxed_cloud).where("slot BETWEEN 1 AND 3").select(tile, F.col("slot").cast("int").alias("slot"), "date"))
     going_on = dates.join(grown.select(tile).distinct(), tile, "left_semi")
     autumn = prior_autumn(going_on, tile, "date", F.lit(tile_year), "cloud", relaxed_cloud).select(tile, F.lit(0).alias("slot"), "date")
     summer = background_date(going_on, tile, "date", "weather_ok", years).select(tile, F.lit(4).alias("slot"), "date")

@@ -62,11 +62,11 @@ def plot_confusion(s, d):
 )
 def slot_plan(s, d):
     """T-4: dates of all five slots; a tile that lacks one of the season gets none at all, and slot 4 is of 1996 or else 1995."""
-    o = t(s, d, "orders").withColumn("tile", F.floor(F.col("o_custkey") / 10))
+    o = W.dealt(t(s, d, "orders").select(F.floor(F.col("o_custkey") / 10).alias("tile"), "o_orderdate", "o_totalprice", "o_orderpriority"), "tile")
     unknown = F.lit(None).cast("double")
     dates = o.groupBy("tile", F.to_date("o_orderdate").alias("date")).agg((F.min("o_totalprice") / 500000).alias("cloud"), F.bool_or(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("weather_ok")).withColumns({"snow": unknown, "seen": unknown})
     k = F.col("slot") * 3
-    slots = o.select("tile").distinct().withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(3)))).withColumns({"start": F.make_date(F.lit(1998), k, F.lit(1)), "end": F.make_date(F.lit(1998), k + 2, F.lit(28))})
+    slots = t(s, d, "orders").select(F.floor(F.col("o_custkey") / 10).alias("tile")).distinct().withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(3)))).withColumns({"start": F.make_date(F.lit(1998), k, F.lit(1)), "end": F.make_date(F.lit(1998), k + 2, F.lit(28))})
     return W.slot_plan(dates, slots, "tile", 1998, (1996, 1995))
 
 

@@ -326,3 +326,15 @@ def test_rings_are_compiled(spark):
     got = QUERIES["pixel_rings"](spark, "/root/testdata/sf0.001")
     assert "transform(" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert all(len(r.ring) == 5 and r.ring[0] == r.ring[4] for r in got.limit(5).collect())
+
+
+def test_dealt(spark, tmp_path, monkeypatch):
+    """A task that chooses dates has as many rows however many there are; choices by key and slot need no further shuffle."""
+    monkeypatch.setattr(W, "TASK", 100)
+    spark.range(3000).selectExpr("id % 600 AS tile", "id AS slot").write.parquet(str(tmp_path / "t"))
+    d = W.dealt(spark.read.parquet(str(tmp_path / "t")), "tile")
+    sizes = [r["count"] for r in d.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert d.rdd.getNumPartitions() == 30 and sum(sizes) == 3000 and max(sizes) <= 300
+    assert W.dealt(spark.read.parquet(str(tmp_path / "t")).limit(5), "tile").rdd.getNumPartitions() == 4
+    first = W.first_per(d, ["tile", "slot"], [F.col("slot")])
+    assert first._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
