@@ -337,7 +337,7 @@ def _information(counts: np.ndarray) -> float:
 
 
 def _long_offsets(pairs: DataFrame, kind: str, search: float, margin: int = 4) -> dict[tuple, tuple[float, float]]:
-    """``information_offset`` of frames of several strips: each round counts the joint bins of all strips for the shifts asked for. One row a frame and shift reaches the driver."""
+    """``information_offset`` of frames of several strips: each round counts the joint bins of all strips for the shifts asked for; bins span the values of whole frames before they are shifted. One row a frame and shift reaches the driver."""
     frames = [(r["tile"], r["slot"]) for r in pairs.select("tile", "slot").distinct().collect()]
 
     def scores(asked: dict[tuple, list[tuple[float, float]]]) -> dict[tuple, list[float]]:
