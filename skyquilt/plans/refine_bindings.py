@@ -138,14 +138,12 @@ def superpixel_labels(s, d):
 @query()
 def superpixel_classes(s, d):
     """K-12, A-45: connected superpixels, and their classes by mean, by vote and by weighted mean."""
-    seg = RF.segments(_bands(s, d), ["g"], 4, 0.5, 3, 5).select("tile", "row", "col", "segment")
-    long = _bands(s, d).select("tile", "row", "col", F.explode(F.array(*[F.struct(F.lit(k).alias("cls"), p.alias("p")) for k, p in enumerate((F.col("p0"), F.col("p1"), 1 - F.col("p0") - F.col("p1")))])).alias("c"))
-    px = seg.join(long.select("tile", "row", "col", "c.cls", "c.p"), ["tile", "row", "col"])
-    votes = {m: A.segment_vote(px, "segment", "cls", "p", m).withColumnRenamed("cls", m) for m in ("mean_prob", "majority_vote", "weighted_mean")}
-    sizes = seg.groupBy("segment").agg(F.count("*").alias("pixels"))
-    for v in votes.values():
-        sizes = sizes.join(v, "segment")
-    return sizes
+    b = I._saved(_bands(s, d))
+    seg = RF.segments(b.drop("p0", "p1"), ["g"], 4, 0.5, 3, 5).select("tile", "row", "col", "segment")
+    px = I._saved(seg.join(b, ["tile", "row", "col"]).select("segment", "p0", "p1"))
+    long = px.select("segment", F.explode(F.array(*[F.struct(F.lit(k).alias("cls"), p.alias("p")) for k, p in enumerate((F.col("p0"), F.col("p1"), 1 - F.col("p0") - F.col("p1")))])).alias("c"))
+    votes = A.segment_votes(long.select("segment", "c.cls", "c.p"), "segment", "cls", "p", ["mean_prob", "majority_vote", "weighted_mean"])
+    return px.groupBy("segment").agg(F.count("*").alias("pixels")).join(votes, "segment")
 
 
 @query(

@@ -537,3 +537,18 @@ def test_change_at_the_limit(spark):
     df = spark.createDataFrame([(k, v) for k, order in enumerate(orders) for v in order] + [(99, 0.051)], "key int, value double").coalesce(1)
     results = ANALYZERS.run(df, {"brightness": {"key": "key"}, "change": {"above": 0.05}})
     assert [r["key"] for r in results[1].output.collect()] == [99]
+
+
+def test_superpixels_keep_pixels_single(spark, monkeypatch):
+    """A pixel stays one row when it meets the centres around it; the classes by all votes come from one pass."""
+    written, table = [], RF._table
+    monkeypatch.setattr(RF, "_table", lambda df: (written.append(df._jdf.queryExecution().optimizedPlan().toString()), table(df))[1])
+    df = spark.createDataFrame([("t", i, j, float((i * 7 + j) % 5)) for i in range(12) for j in range(12)], "tile string, row long, col long, v double")
+    got = RF.superpixels(df, ["v"], 4, 1.0, 2)
+    assert got.count() == 144 and len(written) == 3
+    assert not any(line.lstrip(" :+-").startswith("Aggregate [tile#") and " row#" in line.split("]")[0] for plan in written for line in plan.splitlines())
+    p = spark.createDataFrame([(k % 3, k % 4, (k * 37 % 100) / 100) for k in range(200)], "segment long, cls int, p double")
+    modes = ["mean_prob", "majority_vote", "weighted_mean"]
+    at_once = {r.segment: tuple(r[m] for m in modes) for r in A.segment_votes(p, "segment", "cls", "p", modes).collect()}
+    single = [{r.segment: r.cls for r in A.segment_vote(p, "segment", "cls", "p", m).collect()} for m in modes]
+    assert at_once == {s: tuple(x[s] for x in single) for s in range(3)}
