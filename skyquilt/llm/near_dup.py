@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyquilt.llm import ragged
-from skyquilt.llm.common import discard, materialize, table
+from skyquilt.llm.common import discard, materialize, perhaps_among, table
 
 WIDTH, BANDS, ROWS, THRESHOLD = 5, 25, 5, 0.8
 #: Partners of a text that are compared with it in one task.
@@ -322,8 +322,10 @@ def near_duplicates(
     both = stars.join(sketches.toDF("a", "a_sketch"), "a").join(sketches.toDF("b", "b_sketch"), "b").select("a", "b", "a_sketch", "b_sketch")
     # the second and last pass over the texts: sets of all nodes that share a bucket
     wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    wanted = wanted.join(nodes.select("node", F.col("id").alias("own"), F.col("hash").alias("h")), "node")
-    asked = docs.join(wanted, (F.col("hash") == F.col("h")) & F.col("id").eqNullSafe(F.col("own"))).select("node", "text")
+    wanted = materialize(wanted.join(nodes.select("node", F.col("id").alias("own"), F.col("hash").alias("h")), "node"), "wanted")
+    # other texts are left out before texts are shuffled
+    near = perhaps_among(docs, F.col("hash"), wanted.select("h"), "near").where("near").drop("near")
+    asked = near.join(wanted, (F.col("hash") == F.col("h")) & F.col("id").eqNullSafe(F.col("own"))).select("node", "text")
     sets = materialize(asked.mapInArrow(_shingler(width), "node bigint, shingles binary").dropDuplicates(["node"]), "shingle-sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -383,4 +385,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the least id, and of rows that share it the least text by hash; of rows equal in both, all stay."""
     gone = near_duplicates(docs, keep_hash=True).where("NOT keep").select(F.col("doc_id").alias("gone_id"), F.col("hash").alias("gone_hash")).distinct()
     gone = materialize(gone, "near-copies")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_hash"]), "left_anti")
+    hash_ = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    # only texts that may be copies are shuffled
+    told = perhaps_among(docs, hash_, gone.select("gone_hash"), "__maybe")
+    maybe = told.where("__maybe").drop("__maybe")
+    left = maybe.join(gone, maybe["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(maybe["text"], F.lit(""))) == gone["gone_hash"]), "left_anti")
+    return told.where("NOT __maybe").drop("__maybe").unionByName(left)

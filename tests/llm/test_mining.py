@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skyquilt.llm import phrases, quality_fm, vector_codes
+from skyquilt.llm import common, near_dup, phrases, quality_fm, vector_codes
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -212,3 +212,23 @@ def test_vector_codes(spark):
     assert [r.code for r in vector_codes.compress(odd)[0].orderBy("vec_id").collect()] == ["00" * 16, "01" + "00" * 15]
     with pytest.raises(ValueError, match="length"):
         vector_codes.compress(odd.union(spark.createDataFrame([(9, [1.0], 1)], odd.schema)))
+
+
+def test_perhaps_among(spark):
+    """No row that is among the keys is told otherwise, few others are taken for one; the texts of a few near copies don't bring the others into a shuffle."""
+    keys = common.materialize(spark.range(0, 5000).select(F.xxhash64("id").alias("k")).unionByName(spark.createDataFrame([(-(2**63),), (2**63 - 1,), (0,)], "k long")), "keys")
+    df = spark.range(0, 50_000).select("id", F.xxhash64("id").alias("h")).unionByName(spark.createDataFrame([(-1, -(2**63)), (-2, 2**63 - 1), (-3, 0), (-4, None)], "id long, h long"))
+    got = {r.id: r.maybe for r in common.perhaps_among(df, F.col("h"), keys, "maybe").collect()}
+    assert len(got) == 50_004 and all(got[k] for k in (*range(5000), -1, -2, -3)) and not got[-4]
+    assert sum(got[k] for k in range(5000, 50_000)) < 0.2 * 45_000
+    assert not any(r.maybe for r in common.perhaps_among(df, F.col("h"), common.materialize(keys.limit(0), "keys"), "maybe").collect())
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(200)] + [(1000 + i, " ".join(f"w{i}x{k}" for k in range(40)) + " end") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = near_dup.stage(spark, docs, "")
+    assert sorted(r.doc_id for r in left.collect()) == list(range(200))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = near_dup.stage(spark, docs, "")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.startswith("Union") and "LeftAnti" in plan
