@@ -318,7 +318,11 @@ def near_duplicates(
     sums = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     centres = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("size"), *sums).where("size > 1")
     centres = materialize(centres.groupBy("centre", "size", "x1", "x2").agg(F.min("bucket").alias("bucket")).select("bucket", "centre", "size"), "buckets")
-    stars = materialize(members.join(centres, "bucket").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    # members of these buckets, once; most bands are of one node and go no further
+    shared = perhaps_among(members, F.col("bucket"), centres.select("bucket"), "met").where("met").drop("met")
+    shared = materialize(shared.join(centres, "bucket"), "shared")
+    discard(members, centres)
+    stars = materialize(shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     both = stars.join(sketches.toDF("a", "a_sketch"), "a").join(sketches.toDF("b", "b_sketch"), "b").select("a", "b", "a_sketch", "b_sketch")
     # the second and last pass over the texts: sets of all nodes that share a bucket
     wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
@@ -340,10 +344,10 @@ def near_duplicates(
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links = linked(both.mapInPandas(_alike(least), "a bigint, b bigint"))
     found = components(links)
-    left = centres.where("size > 2")  # two members were compared as centre and partner
+    left = shared.where("size > 2").select("bucket", "node", "size")  # two members were compared as centre and partner
     for last in (False, True):
         # buckets whose members aren't in one component yet
-        placed = members.join(left.select("bucket", "size"), "bucket").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        placed = left.join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
         open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.first("size").alias("size")).where("low <> high")
         open_ = materialize(open_.select("bucket", F.ceil(F.col("size") / block).cast("int").alias("parts")), "open-buckets")
         mine, i = F.col("mine"), F.col("with")
@@ -366,7 +370,7 @@ def near_duplicates(
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
-    discard(members, stars, sets)
+    discard(shared, stars, sets)
     classes = nodes.select("node", "id", "hash").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     head = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "hash")).alias("head"))
     classes = classes.join(head, "component").select(F.col("node").alias("digest"), F.col("head.id").alias("class_id"), F.col("head.hash").alias("head_hash"), F.col("id").alias("copy_of"))

@@ -232,3 +232,21 @@ def test_perhaps_among(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.startswith("Union") and "LeftAnti" in plan
+
+
+def test_bands_are_joined_once(spark, monkeypatch):
+    """Bands that no other node has are left out before they are shuffled to the buckets, and the buckets' members are found once, not in each round."""
+    written, materialize = [], near_dup.materialize
+
+    def noted(df, name):
+        out = materialize(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dup, "materialize", noted)
+    text = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    rows = [(i, text(i, 40)) for i in range(100)] + [(1000 + i, text(i, 40) + " end") for i in range(3)] + [(2000 + i, text(i, 39)) for i in range(3)]
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 1000 for i, _ in rows}
+    shared = [n for name, n in written if name == "shared"]
+    assert len(shared) == 1 and 6 <= shared[0] <= 9 * near_dup.BANDS
