@@ -51,19 +51,22 @@ def discard(*written: DataFrame | None) -> None:
             store.delete_dir(path)
 
 
-def perhaps_among(df: DataFrame, key: Column, keys: DataFrame, name: str) -> DataFrame:
+def perhaps_among(df: DataFrame, key: Column, keys: DataFrame, name: str, times: int = 2) -> DataFrame:
     """``df`` with a boolean that is false only where ``key`` (a hash) surely isn't among ``keys``, a written table of one long column.
 
     Rows that need not meet a large table can so be told before a shuffle. Hashes are marked in bitmaps of eight bits a key or more, a
-    row for 32,768 bits, which are broadcast: 32 MB at most, beyond which more rows are true in vain. An exact join of the true rows must follow.
+    row for 32,768 bits, which are broadcast: 32 MB at most, beyond which more rows are true in vain. Of the rows that aren't among them
+    an eighth at most is true in vain; with ``times`` = 2 a second bitmap, of the hashes' upper halves, leaves an eighth of these. An exact join of the true rows must follow.
     """
     bits = 1 << min(28, max(15, (8 * keys.count() - 1).bit_length()))
-    place = lambda c: F.pmod(c, F.lit(bits).cast("long")) + 1
-    at = place(F.col(keys.columns[0]))
-    marks = keys.groupBy(F.bitmap_bucket_number(at).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("__bits"))
-    met = df.withColumn("__at", place(key)).withColumn("__bucket", F.bitmap_bucket_number("__at")).join(F.broadcast(marks), "__bucket", "left").withColumn("__at", F.bitmap_bit_position("__at"))
-    marked = F.expr("(shiftright(cast(conv(hex(substring(__bits, cast(__at div 8 as int) + 1, 1)), 16, 10) as int), cast(__at % 8 as int)) & 1) = 1")
-    return met.select(*df.columns, F.coalesce(marked, F.lit(False)).alias(name))
+    columns, out = df.columns, F.lit(True)
+    for k in range(times):
+        place = lambda c: F.pmod(F.shiftrightunsigned(c, 32 * k), F.lit(bits).cast("long")) + 1  # noqa: B023, E731
+        at, own, mine = place(F.col(keys.columns[0])), f"__at{k}", f"__bits{k}"
+        marks = keys.groupBy(F.bitmap_bucket_number(at).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias(mine))
+        df = df.withColumn(own, place(key)).withColumn("__bucket", F.bitmap_bucket_number(own)).join(F.broadcast(marks), "__bucket", "left").drop("__bucket").withColumn(own, F.bitmap_bit_position(own))
+        out = out & F.coalesce(F.expr(f"(shiftright(cast(conv(hex(substring({mine}, cast({own} div 8 as int) + 1, 1)), 16, 10) as int), cast({own} % 8 as int)) & 1) = 1"), F.lit(False))
+    return df.select(*columns, out.alias(name))
 
 
 def let(value: Column, body) -> Column:

@@ -310,27 +310,31 @@ def near_duplicates(
     one = F.min(F.struct(F.col("id").isNull().alias("n"), "id", "hash")).alias("row")
     nodes = signed.groupBy(F.col("digest").alias("node")).agg(one, F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"))
     nodes = materialize(nodes.select("node", "row.id", "row.hash", "buckets", "sketch"), "nodes")
+    rows_of = materialize(signed.select("id", "hash", "digest"), "digests")
+    discard(signed)
     sketches = nodes.select("node", "sketch")
-    members = materialize(nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket")), "bands")
+    members = nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
     least = 0 if weighted else sketch_least(bands * rows, threshold)
 
+    # bands alone are counted first: most are of one node and go no further
+    met = materialize(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"), "met")
+    maybe = materialize(perhaps_among(members, F.col("bucket"), met, "met", times=1).where("met").drop("met"), "bands")
     # of buckets with the same members one counts; members are told by two sums of hashes
     sums = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
-    centres = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("size"), *sums).where("size > 1")
+    centres = maybe.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("size"), *sums).where("size > 1")
     centres = materialize(centres.groupBy("centre", "size", "x1", "x2").agg(F.min("bucket").alias("bucket")).select("bucket", "centre", "size"), "buckets")
-    # members of these buckets, once; most bands are of one node and go no further
-    shared = perhaps_among(members, F.col("bucket"), centres.select("bucket"), "met").where("met").drop("met")
-    shared = materialize(shared.join(centres, "bucket"), "shared")
-    discard(members, centres)
+    shared = materialize(maybe.join(centres, "bucket"), "shared")
+    discard(met, maybe, centres)
     stars = materialize(shared.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     both = stars.join(sketches.toDF("a", "a_sketch"), "a").join(sketches.toDF("b", "b_sketch"), "b").select("a", "b", "a_sketch", "b_sketch")
     # the second and last pass over the texts: sets of all nodes that share a bucket
     wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    wanted = materialize(wanted.join(nodes.select("node", F.col("id").alias("own"), F.col("hash").alias("h")), "node"), "wanted")
-    # other texts are left out before texts are shuffled
-    near = perhaps_among(docs, F.col("hash"), wanted.select("h"), "near").where("near").drop("near")
-    asked = near.join(wanted, (F.col("hash") == F.col("h")) & F.col("id").eqNullSafe(F.col("own"))).select("node", "text")
-    sets = materialize(asked.mapInArrow(_shingler(width), "node bigint, shingles binary").dropDuplicates(["node"]), "shingle-sets")
+    wanted = wanted.join(nodes.select("node", F.col("id").alias("own"), F.col("hash").alias("h")), "node")
+    wanted = materialize(wanted.select("node", "h", F.xxhash64("own", "h").alias("k")), "wanted")
+    # other texts, and copies of these, are left out before texts are shuffled; equal hashes are equal texts, of which one is taken where they meet
+    near = perhaps_among(docs, F.xxhash64("id", "hash"), wanted.select("k"), "near").where("near").drop("near")
+    asked = near.join(wanted, F.col("hash") == F.col("h")).groupBy("h", "node").agg(F.first("text").alias("text")).select("node", "text")
+    sets = materialize(asked.mapInArrow(_shingler(width), "node bigint, shingles binary"), "shingle-sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs that are similar. A centre with many partners goes to a task for each ``PART`` of them."""
@@ -374,7 +378,7 @@ def near_duplicates(
     classes = nodes.select("node", "id", "hash").join(found.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     head = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "hash")).alias("head"))
     classes = classes.join(head, "component").select(F.col("node").alias("digest"), F.col("head.id").alias("class_id"), F.col("head.hash").alias("head_hash"), F.col("id").alias("copy_of"))
-    out = signed.select("id", "hash", "digest").join(classes, "digest")
+    out = rows_of.join(classes, "digest")
     names = [F.col("id").alias("doc_id"), "class_id", "copy_of"]
     if not keep_hash:
         return out.select(*names)
@@ -391,7 +395,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = materialize(gone, "near-copies")
     hash_ = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     # only texts that may be copies are shuffled
-    told = perhaps_among(docs, hash_, gone.select("gone_hash"), "__maybe")
+    told = perhaps_among(docs, F.xxhash64(F.col("doc_id").cast("long"), hash_), gone.select(F.xxhash64("gone_id", "gone_hash").alias("k")), "__maybe")
     maybe = told.where("__maybe").drop("__maybe")
     left = maybe.join(gone, maybe["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(F.coalesce(maybe["text"], F.lit(""))) == gone["gone_hash"]), "left_anti")
     return told.where("NOT __maybe").drop("__maybe").unionByName(left)

@@ -234,6 +234,27 @@ def test_perhaps_among(spark):
     assert plan.startswith("Union") and "LeftAnti" in plan
 
 
+def test_few_texts_are_shuffled(spark, monkeypatch):
+    """Hardly a row is taken for one of the keys in vain; of a text with many copies one alone is sent to the sets; bands are counted before their nodes are sent."""
+    keys = common.materialize(spark.range(0, 5000).select(F.xxhash64("id").alias("k")), "keys")
+    told = common.perhaps_among(spark.range(5000, 50_000).select(F.xxhash64("id").alias("h")), F.col("h"), keys, "maybe")
+    assert told.where("maybe").count() < 0.02 * 45_000
+    seen, perhaps_among = defaultdict(int), near_dup.perhaps_among
+
+    def noted(df, key, keys, name, **kw):
+        out = perhaps_among(df, key, keys, name, **kw)
+        seen[name] += out.where(name).count()
+        return out
+
+    monkeypatch.setattr(near_dup, "perhaps_among", noted)
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    rows = [(i, text(i)) for i in range(100)] + [(1000 + k, text(7)) for k in range(300)] + [(2000, text(7) + " end"), (None, text(8)), (None, text(8)), (7, text(7))]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.class_id for r in got.where("doc_id IS NOT NULL").collect()} == {i: 7 if i >= 1000 else i for i, _ in rows if i is not None}
+    assert got.count() == len(rows) and [r.class_id for r in got.where("doc_id IS NULL").collect()] == [8, 8]
+    assert seen["near"] <= 6
+
+
 def test_bands_are_joined_once(spark, monkeypatch):
     """Bands that no other node has are left out before they are shuffled to the buckets, and the buckets' members are found once, not in each round."""
     written, materialize = [], near_dup.materialize
