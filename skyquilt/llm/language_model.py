@@ -5,8 +5,8 @@ text's first one. All these restaurants share one parent, that of words without
 the words of the training texts and one outcome for all others. A restaurant's tables are its parent's customers, so that
 contexts share what they know.
 
-Seating is sampled by Gibbs. Sweep 0 seats all customers one after another by the Chinese-restaurant rule (``seat``). Each later sweep takes
-``MOVES`` customers of each dish, drawn at random, from their tables and seats them anew (``move``); tables that close or open take or
+Seating is sampled by Gibbs. Sweep 0 seats all customers one after another by the Chinese-restaurant rule (``seat``). In each later sweep
+all customers of each dish are offered new tables, all together and ``MOVES`` times (``move``); tables that close or open take or
 bring a customer in the parent. Discounts and strengths are sampled after each sweep, by auxiliary variables, from
 totals over the restaurants. The probability of a word in a context is the average over the sweeps after the first ones.
 
@@ -211,14 +211,74 @@ class Seating:
             change -= np.sign(change)
 
     def move(self, which: np.ndarray, strength: float, d: float, all_tables: np.ndarray, p: np.ndarray, moves: int, rng: np.random.Generator) -> None:
-        """Customers of each dish leave their tables and are seated anew, one at a time.
+        """All customers of each dish leave their tables and are offered new ones together, ``moves`` times.
 
-        ``all_tables``: those of each dish's restaurant when the sweep began; ``p``: the parent's probability of each dish.
+        ``all_tables``: those of each dish's restaurant when the sweep began; ``p``: the parent's probability of each dish. A dish of c customers
+        has sizes m with probability in proportion to (r)_t p ** t / t! times the product of Sibuya's law of each size, where they add up to c; r is
+        strength / discount + the restaurant's other tables. An offer draws the number of other tables and their sizes, and leaves the rest of the
+        customers one table; it is weighed against that of the table of a customer drawn at random, by m z ** m P(m) (Metropolis and Hastings).
         """
-        every = np.array(all_tables, float)
-        for _ in range(moves):
-            every -= self.remove(which, rng)
-            every += self.add(which, (strength + d * np.maximum(every, 0)) * p, d, rng)
+        first, end = self._spans(which)
+        total = np.concatenate([[0], np.cumsum(self.sizes)])
+        c = total[end] - total[first]
+        on = c > 1  # one customer has one table
+        others = np.maximum(np.array(all_tables, float) - (end - first), 0.0)[on]
+        which, c, p, r = which[on], c[on], p[on], strength / d + others
+        z = tilt(c, r, p, d)
+        log_z, few = np.log(z), log_rise(np.arange(1, 1 << 12), d)
+
+        def weight(m: np.ndarray) -> np.ndarray:
+            out = few[np.minimum(m, len(few)) - 1]
+            far = np.flatnonzero(m > len(few))
+            out[far] = log_rise(m[far], d)
+            return out + m * log_z
+
+        share = np.minimum(p * (1 - (1 - z) ** d), 1 - 1e-9)
+        for _ in range(moves if len(which) else 0):
+            more = rng.poisson(rng.gamma(r + 1, share / (1 - share)))
+            fits = more < c
+            owner = np.repeat(np.arange(len(which)), np.where(fits, more, 0))
+            size = np.minimum(sibuya(d, z[owner], rng), c[owner])
+            rest = c - np.bincount(owner, weights=size, minlength=len(which)).astype(np.int64)
+            first, end = self._spans(which)
+            now = self.sizes[self._pick(self.sizes, first, end, rng.random(len(which)))]
+            taken = fits & (rest > 0) & (np.log(1 - rng.random(len(which))) <= weight(np.maximum(rest, 1)) - weight(now))
+            gone = np.zeros(self.n_dishes, bool)
+            gone[which[taken]] = True
+            stay, new = ~gone[self.dish], taken[owner]
+            sizes, dish = np.concatenate([self.sizes[stay], rest[taken], size[new]]), np.concatenate([self.dish[stay], which[taken], which[owner[new]]])
+            order = np.argsort(dish, kind="stable")
+            self.sizes, self.dish = sizes[order], dish[order]
+
+
+def log_rise(m: np.ndarray, d: float) -> np.ndarray:
+    """The logarithm of m times Sibuya's law at m, but for a constant."""
+    return log_gamma(m - d) - log_gamma(m.astype(float))
+
+
+def tilt(c: np.ndarray, r: np.ndarray, p: np.ndarray, d: float) -> np.ndarray:
+    """z in (0, 1) by which sizes are tilted, so that a dish's tables hold about as many customers as it has."""
+    low, a, b = np.full(len(c), -14.0), r * p * d, 1 - p
+    for width in 41.0 / 2 ** np.arange(1, 9):  # of the logit
+        x = low + width
+        e = np.exp(x)
+        whole = (1 + e) ** -d  # y ** d, where y = 1 - z = 1 / (1 + e)
+        low = np.where(a * e * whole > c * (b + p * whole), low, x)
+    return 1 / (1 + np.exp(-low))
+
+
+def sibuya(d: float, z: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Sizes m with probability in proportion to z ** m times Sibuya's law: the first success of trials, the j-th with chance d / j."""
+    out = np.ones(len(z), np.int64)
+    left = np.arange(len(z))
+    while len(left):
+        x = np.ones(len(left), np.int64)
+        longer = np.flatnonzero(rng.random(len(left)) >= d)
+        x[longer] += rng.geometric(np.maximum(rng.beta(d, 2 - d, len(longer)), 1e-15))
+        kept = rng.random(len(longer)) < z[left[longer]] ** (x[longer] - 1)
+        out[left] = x
+        left = left[longer[~kept]]
+    return out
 
 
 def _rare(values: np.ndarray, chance, integral, rng: np.random.Generator, most: int = 1 << 16) -> int:

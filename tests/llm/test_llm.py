@@ -554,6 +554,28 @@ def test_gibbs_moves_keep_the_posterior():
     assert seating.tables.mean() == pytest.approx(want, rel=0.03)
 
 
+def test_moves_seat_all_customers_anew():
+    """A few sweeps bring a dish of many customers from one table to its posterior, whatever the number; against a long chain of single customers."""
+    lm, d, strength = language_model, 0.6, 1.5
+    for n, p, other, copies in ((400, 0.02, 300, 1500), (60, 0.4, 40, 1500), (30, 0.0001, 5000, 1500), (3000, 0.3, 400, 600)):
+        rng, every, logs = np.random.default_rng(7), np.arange(copies), np.full(n + 2, -np.inf)
+        logs[1] = 0.0  # generalised Stirling numbers
+        t = np.arange(n + 2)
+        for m in range(1, n):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                logs[1:] = np.logaddexp(logs[:-1], np.where(m > d * t[1:], np.log(np.maximum(m - d * t[1:], 1e-300)), -np.inf) + logs[1:])
+            logs[0] = -np.inf
+        weight = logs[1 : n + 1] + np.cumsum(np.log((strength + d * (other + np.arange(n))) * p))
+        share = np.exp(weight - weight.max())
+        want = (share * np.arange(1, n + 1)).sum() / share.sum()
+        seating, means = lm.Seating(np.full(copies, n), np.arange(copies), copies), []
+        for k in range(25):
+            seating.move(every, strength, d, other + seating.tables, np.full(copies, p), 2, rng)
+            assert (seating.customers == n).all() and (seating.sizes > 0).all() and (np.diff(seating.dish) >= 0).all()
+            means.append(seating.tables.mean())
+        assert means[4] == pytest.approx(want, rel=0.08) and np.mean(means[5:]) == pytest.approx(want, rel=0.03)
+
+
 def test_parameters_are_recovered():
     """Discount and strength of restaurants seated by known ones."""
     rng, d, strength = np.random.default_rng(3), 0.6, 2.0
