@@ -107,6 +107,16 @@ def log_scaled(x) -> Column:
     return F.log1p(F.greatest(col(x).cast("double"), F.lit(0.0)))
 
 
+def rounded(x, places: int) -> Column:
+    """Rounded as DuckDB does: the nearest whole number of ``x * 10 ** places``, halves away from zero. Spark's ``round`` takes the halves of the
+    decimals that a double is written with, which are others."""
+    v, scale = col(x).cast("double"), F.lit(10.0**places)
+    scaled = v * scale
+    even, away = F.rint(scaled), F.signum(scaled) / 2
+    out = F.when(scaled - even == away, even + away * 2).otherwise(even) / scale
+    return F.when(F.isnan(out) | (F.abs(out) == float("inf")), v).otherwise(out)
+
+
 def z_score(x, mean, std) -> Column:
     return (col(x) - col(mean)) / F.greatest(col(std), F.lit(1e-6))
 
@@ -150,10 +160,10 @@ def parcel_weight(area_ha, smallest: float = 0.25, most: float = 4.0) -> Column:
 
 
 def cloud_gate(overpass_pct, autumn=None) -> Column:
-    """How much cloud to accept in a scene, given the forecast's cloud cover: wider in autumn."""
-    f = F.least(F.greatest(col(overpass_pct).cast("double"), F.lit(0.0)), F.lit(50.0)) / 50.0
+    """How much cloud to accept in a scene, given the forecast's cloud cover: wider in autumn. Products come before quotients, as in SQL from left to right."""
+    f = F.least(F.greatest(col(overpass_pct).cast("double"), F.lit(0.0)), F.lit(50.0))
     wide = F.lit(False) if autumn is None else col(autumn)
-    return F.when(wide, 0.30 + 0.25 * f).otherwise(0.20 + 0.10 * f)
+    return F.when(wide, 0.30 + 0.25 * f / 50.0).otherwise(0.20 + 0.10 * f / 50.0)
 
 
 def coastal_class(water_index, vegetation_index, water: float = 0.0, vegetation: float = 0.3, wet: float = -0.1) -> Column:

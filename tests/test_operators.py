@@ -261,6 +261,22 @@ def test_event_expressions_of_zero(spark, tmp_path):
     assert got == {1: -math.inf, 2: 10.0}
 
 
+def test_event_expressions_of_halves(spark, tmp_path):
+    """A gate whose seventh place is a half is rounded as in the SQL, which has 0.307407 for 0.3074065."""
+    import duckdb
+
+    from skyquilt.plans import bindings
+
+    values = [1.4813, 1.8311, 4.8283, 8.1753, -1.0, 0.0, float("inf"), float("nan"), None, *[k / 10000 for k in range(1, 500_000, 97)]]
+    df = spark.createDataFrame([(k, "error" if k % 5 else "view", v) for k, v in enumerate(values)], "event_id long, event_type string, value double")
+    df.write.parquet(str(tmp_path / "events.parquet"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = {r[0]: repr(r) for r in db.sql(bindings.ORACLE_SQL["event_expressions"]).fetchall()}
+    got = {r.event_id: repr(tuple(r)) for r in bindings.QUERIES["event_expressions"](spark, str(tmp_path)).collect()}
+    assert got == want
+
+
 def test_progress_beyond_the_total(spark):
     now = dt.datetime(2024, 1, 1, 12)
     df = spark.createDataFrame([(now - dt.timedelta(minutes=i / 2 + 0.1),) for i in range(60)], "t timestamp")
