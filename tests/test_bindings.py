@@ -91,6 +91,36 @@ def test_linked_components_are_many(spark):
     assert got.count() > 100 and got.agg(F.max("n")).first()[0] > 3
 
 
+def test_linked_components_by_any_part(spark, tmp_path):
+    """Orders that share a month of a part that isn't the least of either are linked; of other months they aren't."""
+    import datetime as dt
+
+    day = lambda m: dt.datetime(1996, m, 5)
+    orders = [(1, 1, day(1)), (2, 2, day(1)), (3, 3, day(2)), (4, 3, day(3))]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1, 5), (1, 9), (2, 6), (2, 9), (3, 9)], "l_orderkey long, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {r.id: r.component for r in bindings.QUERIES["linked_components"](spark, str(tmp_path)).collect()}
+    assert {k: got[k * 3] for k in range(1, 5)} == {1: 3, 2: 3, 3: 9, 4: 9} and len(got) == 11
+
+
+@pytest.mark.parametrize("alone", [0, 40, 100_000])
+def test_components_whatever_is_left_alone(spark, alone):
+    edges = [(k * 7919 % 503, k * 104729 % 503 + 503) for k in range(420)] + [(k + 2000, k + 2001) for k in range(120)]
+    parent = {x: x for edge in edges for x in edge}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert {r.id: r.component for r in I.components(df, alone=alone).collect()} == {x: find(x) for x in parent}
+    assert I.components(df.where("a < 0"), alone=alone).count() == 0
+
+
 def test_set_cover_takes_the_best_each_round(spark):
     nation = {r.s_suppkey: r.s_nationkey for r in spark.read.parquet(f"{DATA}/supplier.parquet").collect()}
     covers = {}
