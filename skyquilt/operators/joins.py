@@ -175,12 +175,51 @@ def nearest_key(df: DataFrame, key: str, choices: list[int], out: str) -> DataFr
     return df.withColumn(out, best["c"])
 
 
-def best_overlap(requests: DataFrame, items: DataFrame, request_id: str, a: tuple, b: tuple, item_id: str, cell: float, digits: int = 4) -> DataFrame:
-    """For each request the item whose box overlaps it most; the lower item id of equal ones. Areas are compared at ``digits`` places, below which they are the noise of their bounds."""
-    from skyquilt.functions.scalars import overlap_area
+def best_overlap(requests: DataFrame, items: DataFrame, request_id: str, a: tuple, b: tuple, item_id: str, cell: float, digits: int = 4, rounds: int = 3, split: int = 20_000) -> DataFrame:
+    """For each request the item whose box overlaps it most; the lower item id of equal ones. Areas are compared at ``digits`` places, below which they are the noise of their bounds.
 
-    pairs = overlapping_boxes(requests, items, a, b, cell).withColumn("area", F.round(overlap_area(list(a), list(b)), digits))
-    best = F.max_by(F.struct(item_id, "area"), F.struct(F.col("area"), -F.col(item_id)))
+    Requests of about the same size and place are a tile, and items meet tiles first. No request of a tile is wider than its hull or narrower than its core, so
+    an item goes from a tile if it overlaps the hull by less than another surely overlaps the core, or if a lower item's part of the hull holds its own.
+    Each round cuts tiles into quarters of their sides, which only take what their tile has kept; requests then meet the few items of their last tile.
+    ``split``: cells with more items than this are dealt over several tasks.
+    """
+    from skyquilt.functions.scalars import overlap_area
+    from skyquilt.operators.iterative import _saved
+
+    (aw, as_, ae, an), (bw, bs, be, bn), i = map(F.col, a), map(F.col, b), -F.col(item_id)
+    keys, hull, core = ["__lx", "__ly", "__tx", "__ty"], ["__w0", "__s0", "__e0", "__n0"], ["__w1", "__s1", "__e1", "__n1"]
+    level = lambda lo, hi: F.ceil(F.log2(F.greatest(hi - lo, F.lit(cell / 16)) / cell)).cast("int")
+    side = lambda lo, of: F.floor(lo / (F.pow(F.lit(2.0), F.col(of)) * cell) * 4**rounds).cast("long")
+    placed = requests.select(request_id, *a).where(aw.isNotNull() & as_.isNotNull() & ae.isNotNull() & an.isNotNull()).withColumns({"__lx": level(aw, ae), "__ly": level(as_, an)})
+    placed = placed.withColumns({"__tx": side(aw, "__lx"), "__ty": side(as_, "__ly")})
+    ends = [F.min(F.least(aw, ae)), F.min(F.least(as_, an)), F.max(F.greatest(aw, ae)), F.max(F.greatest(as_, an)), F.max(aw), F.max(as_), F.min(ae), F.min(an)]
+    finest = _saved(placed.groupBy(*keys).agg(*[x.alias(c) for x, c in zip(ends, hull + core, strict=True)]))
+
+    def tiles(k: int) -> DataFrame:
+        """Those ``k`` rounds before the last."""
+        up = finest.withColumns({c: F.shiftright(c, 2 * k) for c in ("__tx", "__ty")})
+        return up.groupBy(*keys).agg(*[(F.min(c) if c in (*hull[:2], *core[2:]) else F.max(c)).alias(c) for c in hull + core])
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        clip = [F.greatest(bw, "__w0"), F.greatest(bs, "__s0"), F.least(be, "__e0"), F.least(bn, "__n0")]
+        sure = (be >= F.col("__w1")) & (bn >= F.col("__s1")) & (bw <= F.col("__e1")) & (bs <= F.col("__n1"))
+        x = pairs.withColumns({"__most": F.round(overlap_area(hull, list(b)), digits), "__least": F.round(overlap_area(core, list(b)), digits), **{f"__c{k}": c for k, c in enumerate(clip)}})
+        tile = Window.partitionBy(*keys)
+        x = x.withColumns({"__sure": F.max(F.when(sure, F.struct("__least", i.alias("i")))).over(tile), "__wide": F.max(F.struct("__most", i.alias("i"), *[f"__c{k}" for k in range(4)])).over(tile)})
+        less = (F.col("__most") < F.col("__sure.__least")) | ((F.col("__most") == F.col("__sure.__least")) & (i < F.col("__sure.i")))
+        held = (i < F.col("__wide.i")) & F.expr("__c0 >= __wide.__c0 AND __c1 >= __wide.__c1 AND __c2 <= __wide.__c2 AND __c3 <= __wide.__c3")
+        return x.where(~F.coalesce(less, F.lit(False)) & ~F.coalesce(held, F.lit(False))).select(*keys, item_id, *b)
+
+    def meet(box) -> Column:
+        w, s, e, n = map(F.col, box)
+        return (be >= w) & (bw <= e) & (bn >= s) & (bs <= n)
+
+    pairs = kept(overlapping_boxes(items.select(item_id, *b), tiles(rounds), b, tuple(hull), cell, split))
+    for k in range(rounds - 1, -1, -1):
+        within = tiles(k).withColumns({c.replace("t", "p"): F.shiftright(c, 2) for c in ("__tx", "__ty")})
+        pairs = kept(within.join(pairs.withColumnsRenamed({"__tx": "__px", "__ty": "__py"}), ["__lx", "__ly", "__px", "__py"]).where(meet(hull)))
+    pairs = placed.join(pairs, keys).where(meet(a)).withColumn("area", F.round(overlap_area(list(a), list(b)), digits))
+    best = F.max_by(F.struct(item_id, "area"), F.struct(F.col("area"), i))
     return pairs.groupBy(request_id).agg(best.alias("best")).select(request_id, "best.*")
 
 

@@ -245,6 +245,46 @@ def test_best_overlap_of_equal_areas(spark):
     assert [tuple(r) for r in got] == [(1, 5, 3.0)]
 
 
+def _boxes(rng, n, sizes, span, whole):
+    x, y = rng.uniform(-span, span, n), rng.uniform(-span, span, n)
+    w, h = rng.choice(sizes, n), rng.choice(sizes, n)
+    out = [[float(v) for v in box] for box in zip(x, y, x + w, y + h, strict=True)]
+    return [[float(round(v)) for v in box] for box in out] if whole else out
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_best_overlap_by_brute_force(spark, whole):
+    """Boxes of many sizes, points, copies, boxes that only touch, and ones without a bound."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    requests = [(k, *b) for k, b in enumerate(_boxes(rng, 300, [0.0, 3.0, 10.0, 60.0], 60, whole) + _boxes(rng, 300, [10.0], 15, whole))] + [(1000, None, 0.0, 1.0, 1.0), (1001, 900.0, 900.0, 901.0, 901.0)]
+    boxes = _boxes(rng, 250, [0.0, 4.0, 15.0, 200.0], 70, whole) + _boxes(rng, 250, [9.0, 16.0], 20, whole)
+    items = [(k, *b) for k, b in zip(rng.permutation(1000), boxes + boxes[::7], strict=False)] + [(2000, 0.0, None, 1.0, 1.0)]
+    items = [(int(k), *b) for k, *b in items]
+    want = {}
+    for k, *r in requests:
+        for i, *b in items:
+            if None not in (*r, *b) and not (b[2] < r[0] or b[0] > r[2] or b[3] < r[1] or b[1] > r[3]):
+                area = round(max(0.0, min(r[2], b[2]) - max(r[0], b[0])) * max(0.0, min(r[3], b[3]) - max(r[1], b[1])), 4)
+                want[k] = max(want.get(k, (-1.0, 0)), (area, -i))
+    a = spark.createDataFrame(requests, "r long, w double, s double, e double, n double")
+    i = spark.createDataFrame(items, "i long, w2 double, s2 double, e2 double, n2 double")
+    for cell in (1.0, 20.0):
+        got = {x.r: (x.area, -x.i) for x in J.best_overlap(a, i, "r", ("w", "s", "e", "n"), ("w2", "s2", "e2", "n2"), "i", cell, split=50).collect()}
+        assert got == want and 300 < len(got) < len(requests)
+
+
+def test_best_overlap_does_not_pair_all(spark, monkeypatch):
+    """Of requests and items that nearly all overlap not all pairs are made."""
+    paired, plain = [], J.overlapping_boxes
+    monkeypatch.setattr(J, "overlapping_boxes", lambda *args: paired.append(plain(*args)) or paired[-1])
+    a = spark.range(3000).selectExpr("id AS r", "id * 37 % 100 + 0.01 AS w", "0.0 AS s", "id * 37 % 100 + 200.01 AS e", "8.0 AS n")
+    i = spark.range(2000).selectExpr("id * 7 % 2000 AS i", "id * 91 % 100 - 50.0 AS w2", "3.0 AS s2", "id * 91 % 100 + 250.0 AS e2", "13.5 AS n2")
+    got = J.best_overlap(a, i, "r", ("w", "s", "e", "n"), ("w2", "s2", "e2", "n2"), "i", 100.0)
+    assert got.count() == 3000 and paired[0].count() < 100_000
+
+
 def test_decibel_of_zero(spark):
     """A logarithm of zero is minus infinity where a query asks for it as it is."""
     x = spark.createDataFrame([(0.0,), (100.0,), (-1.0,), (None,)], "a double")
