@@ -121,6 +121,15 @@ def test_components_whatever_is_left_alone(spark, alone):
     assert I.components(df.where("a < 0"), alone=alone).count() == 0
 
 
+def test_components_by_key(spark):
+    """The same as those of the links as edges: with keys of one node, of many, links that come twice, and none."""
+    links = [(k * 7919 % 401 + 50, (k * 104729 % 503) + 1000 * (k % 2)) for k in range(600)] * 2 + [(900, 5000), (901, 5001), (902, 5001)]
+    df = spark.createDataFrame([(a, -b if b < 500 else b + 2000) for a, b in links if b], "a long, b long")
+    got, want = I.components_by_key(df, "a", "b").collect(), I.components(df).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len({r.component for r in got}) > 2
+    assert I.components_by_key(df.where("a < 0"), "a", "b").count() == 0
+
+
 def test_set_cover_takes_the_best_each_round(spark):
     nation = {r.s_suppkey: r.s_nationkey for r in spark.read.parquet(f"{DATA}/supplier.parquet").collect()}
     covers = {}
